@@ -1,0 +1,20 @@
+"""Join helpers: broadcast only behind a checked row bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A side is broadcast only when it provably holds at most this many rows.
+DEFAULT_BROADCAST_ROWS = 100_000
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint when the row bound is checked; otherwise leave the plan to
+    Catalyst/AQE (shuffle join, or a runtime broadcast from real sizes)."""
+    return F.broadcast(df) if has_at_most(df, max_rows) else df
