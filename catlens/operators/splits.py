@@ -8,8 +8,11 @@
   first ones in ``(h, key)`` order. Exact and skew-free. Rows are counted per
   (label, hash bucket) with partial aggregation, a tiny per-label table finds
   the bucket where the quota is crossed, and a row_number runs only inside
-  that one boundary bucket per label (about n / buckets rows). A hot label
-  never goes through one task whole.
+  that one boundary bucket per label (about n / buckets rows), which yields
+  one threshold tuple per label. A hot label never goes through one task
+  whole, and the split itself is a narrow filter against k + 1 literals.
+  Without a key the row's cleaned content breaks hash ties, so identical
+  rows stay together (the quota then holds up to that group's size).
 """
 
 from __future__ import annotations
@@ -56,33 +59,76 @@ def auto_bucket_bits(max_label_rows: int) -> int:
     return min(24, max(10, (want - 1).bit_length()))
 
 
+def _bucket(bucket_bits: int):
+    return F.shiftright(F.col(SPLIT_HASH), HASH_BITS - bucket_bits)
+
+
 def stratified_plan(df: DataFrame, label_col: str, test_fraction: float, bucket_bits: int) -> DataFrame:
-    """Per label: the boundary bucket ``b_star`` and how many of its rows
-    (``need``) go to test. One row per label (at most k + 1 rows)."""
-    shift = HASH_BITS - bucket_bits
-    counts = (
-        df.withColumn("_b", F.shiftright(F.col(SPLIT_HASH), shift))
-        .groupBy(label_col, "_b")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
+    """Per label: the boundary bucket ``_b_star`` and how many of its rows
+    (``_need``) go to test; one row per label (at most k + 1 rows). Labels
+    whose quota is 0 have no row. Input: one partial+final aggregate to
+    (label, bucket) counts, then a window over that small table."""
+    counts = df.groupBy(label_col, _bucket(bucket_bits).alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
     w_cum = Window.partitionBy(label_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    w_all = Window.partitionBy(label_col)
     counts = (
         counts.withColumn("_cum", F.sum("_n").over(w_cum))
-        .withColumn("_total", F.sum("_n").over(w_all))
+        .withColumn("_total", F.sum("_n").over(Window.partitionBy(label_col)))
         .withColumn("_m", F.floor(F.col("_total") * F.lit(test_fraction) + F.lit(0.5)))
     )
-    # b_star: the first bucket whose running count reaches the quota m.
     crossing = counts.filter((F.col("_cum") >= F.col("_m")) & (F.col("_m") > 0))
-    b_star = crossing.groupBy(label_col).agg(
+    best = crossing.groupBy(label_col).agg(
         F.min(F.struct("_b", (F.col("_m") - (F.col("_cum") - F.col("_n"))).alias("need"))).alias("s")
     )
-    labels = counts.select(label_col).distinct()
-    return labels.join(b_star, label_col, "left").select(
-        label_col,
-        F.coalesce(F.col("s._b"), F.lit(-1).cast("long")).alias("_b_star"),
-        F.coalesce(F.col("s.need"), F.lit(0).cast("long")).alias("_need"),
-    )
+    return best.select(label_col, F.col("s._b").alias("_b_star"), F.col("s.need").alias("_need"))
+
+
+def _tie_cols(df: DataFrame, key_col: str | None, label_col: str, content_cols=None) -> list[str]:
+    """Order after the hash: the unique key, else the row's cleaned content
+    (never NULL; identical rows are interchangeable and stay on one side)."""
+    if key_col is not None:
+        return [key_col]
+    if content_cols is not None:
+        return list(content_cols)
+    return [c for c in df.columns if c not in (SPLIT_HASH, label_col)]
+
+
+def stratified_thresholds(
+    df: DataFrame, label_col: str, test_fraction: float, key_col: str | None, bucket_bits: int, content_cols=None
+) -> dict:
+    """label -> the last test row's (hash, tie...) tuple, i.e. the m-th row in
+    (hash, tie) order. Two passes: bucket counts, and a row_number over only
+    the boundary bucket of each label (about n_label / 2^bits rows). The
+    result has at most k + 1 entries."""
+    plan = stratified_plan(df, label_col, test_fraction, bucket_bits).collect()
+    if not plan:
+        return {}
+    b_star = F.create_map(*[x for r in plan for x in (F.lit(r[0]), F.lit(r[1]))])
+    need = F.create_map(*[x for r in plan for x in (F.lit(r[0]), F.lit(r[2]))])
+    tie = _tie_cols(df, key_col, label_col, content_cols)
+    order = [F.col(SPLIT_HASH)] + [qcol(c) for c in tie]
+    boundary = df.filter(_bucket(bucket_bits) == F.element_at(b_star, F.col(label_col)))
+    ranked = boundary.withColumn("_rn", F.row_number().over(Window.partitionBy(label_col).orderBy(*order)))
+    picked = ranked.filter(F.col("_rn") == F.element_at(need, F.col(label_col)))
+    rows = picked.select(label_col, SPLIT_HASH, *[qcol(c) for c in tie]).collect()
+    return {r[0]: tuple(r[1:]) for r in rows}
+
+
+def _tuple_le(cols: list, values: tuple):
+    """Lexicographic (c1, c2, ...) <= (v1, v2, ...) with literal values."""
+    out = None
+    for c, v in reversed(list(zip(cols, values))):
+        lit = F.lit(v)
+        out = c <= lit if out is None else (c < lit) | ((c == lit) & out)
+    return out
+
+
+def is_test_stratified(thresholds: dict, label_col: str, tie: list[str]):
+    """Row is test when its (hash, tie...) is at or below its label's threshold."""
+    cols = [F.col(SPLIT_HASH)] + [qcol(c) for c in tie]
+    expr = F.lit(False)
+    for label, values in thresholds.items():
+        expr = F.when(F.col(label_col) == F.lit(label), _tuple_le(cols, values)).otherwise(expr)
+    return expr
 
 
 def split_stratified(
@@ -92,30 +138,19 @@ def split_stratified(
     key_col: str | None,
     bucket_bits: int | None = None,
     max_label_rows: int | None = None,
+    content_cols=None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Exact stratified split (see module doc)."""
+    """Exact stratified split (see module doc); train and test are narrow
+    filters over ``df`` with the per-label thresholds inlined as literals.
+    ``content_cols`` (NULL-free) break hash ties when there is no key."""
     if bucket_bits is None:
         if max_label_rows is None:
             max_label_rows = df.groupBy(label_col).count().agg(F.max("count")).first()[0] or 1
         bucket_bits = auto_bucket_bits(max_label_rows)
-    shift = HASH_BITS - bucket_bits
-    # One row per label: a broadcast with a proven bound (k + 1 rows).
-    plan = F.broadcast(stratified_plan(df, label_col, test_fraction, bucket_bits))
-    tagged = df.withColumn("_b", F.shiftright(F.col(SPLIT_HASH), shift)).join(plan, label_col)
-
-    order = [F.col(SPLIT_HASH)] + ([qcol(key_col)] if key_col is not None else [])
-    boundary = tagged.filter(F.col("_b") == F.col("_b_star")).withColumn(
-        "_rn", F.row_number().over(Window.partitionBy(label_col).orderBy(*order))
-    )
-    inner = tagged.filter(F.col("_b") != F.col("_b_star"))
-    cols = df.columns
-    test = inner.filter(F.col("_b") < F.col("_b_star")).select(*cols).unionByName(
-        boundary.filter(F.col("_rn") <= F.col("_need")).select(*cols)
-    )
-    train = inner.filter(F.col("_b") > F.col("_b_star")).select(*cols).unionByName(
-        boundary.filter(F.col("_rn") > F.col("_need")).select(*cols)
-    )
-    return train, test
+    thresholds = stratified_thresholds(df, label_col, test_fraction, key_col, bucket_bits, content_cols)
+    tie = _tie_cols(df, key_col, label_col, content_cols)
+    t = F.coalesce(is_test_stratified(thresholds, label_col, tie), F.lit(False))
+    return df.filter(~t), df.filter(t)
 
 
 def split(df: DataFrame, cfg: JobConfig, max_label_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
@@ -125,7 +160,8 @@ def split(df: DataFrame, cfg: JobConfig, max_label_rows: int | None = None) -> t
         return split_random(df, cfg.test_fraction, cfg.seed)
     if cfg.split == "stratified":
         bits = None if cfg.stratify_buckets is None else max(1, int(cfg.stratify_buckets - 1).bit_length())
-        return split_stratified(df, cfg.label_col, cfg.test_fraction, cfg.key_col, bits, max_label_rows)
+        content = (cfg.code_out, cfg.hour_bucket_out, cfg.year_bucket_out, *cfg.categorical_cols)
+        return split_stratified(df, cfg.label_col, cfg.test_fraction, cfg.key_col, bits, max_label_rows, content)
     raise ValueError(f"unknown split {cfg.split!r}")
 
 

@@ -1,0 +1,19 @@
+"""Scan parallelism guard."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition a scan that yields fewer partitions than the
+    cluster can run at once (e.g. one small file with a single row group).
+
+    Planning only (no job). A large input already has many more partitions
+    than cores, so at scale this is a no-op and adds no shuffle.
+    """
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catlens.operators.joins import broadcast_if_bounded
+from catlens.sources.partitioning import ensure_parallelism
 
 TICKET_FIXTURE_COLUMNS = (
     "row_id", "code_raw", "time_raw", "year_raw", "segment", "zone", "color", "status", "priority", "nation",
@@ -26,12 +26,18 @@ def _s(c: Column) -> Column:
 
 
 def tickets_from_tables(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """Build the fixture rows. ``orders`` joins ``customer`` on the customer key
-    (Catalyst picks the strategy from sizes; AQE splits a hot key) and the
-    25-row ``nation`` table is broadcast after its bound is checked."""
-    o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    """Build the fixture rows.
+
+    Join strategy is left to Catalyst's size check: a side is broadcast only
+    when its estimated size is below ``spark.sql.autoBroadcastJoinThreshold``
+    (``nation`` always; ``customer`` at small scale), otherwise the join
+    shuffles on the key, and AQE re-plans from real sizes and splits a hot
+    customer key. No broadcast hint, so nothing unbounded is forced onto
+    every executor. A tiny ``orders`` scan with fewer partitions than cores
+    is spread first."""
+    o = ensure_parallelism(orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"))
     c = customer.select("c_custkey", "c_nationkey", "c_mktsegment")
-    n = broadcast_if_bounded(nation.select("n_nationkey", "n_name"), 10_000)
+    n = nation.select("n_nationkey", "n_name")
     j = o.join(c, o["o_custkey"] == c["c_custkey"]).join(n, c["c_nationkey"] == n["n_nationkey"])
 
     k = F.col("o_orderkey")

@@ -107,3 +107,17 @@ def test_materialize_modes(spark):
     c.unpersist()
     k = splits.materialize(df, "checkpoint")
     assert k.count() == n
+
+
+def test_stratified_without_key_keeps_identical_rows_together(spark):
+    raw = tickets_raw(spark, SF01).drop("row_id")
+    cfg = CFG.with_(key_col=None, split="stratified")
+    prep = job.prepare(raw, cfg)
+    train, test = prep.split()
+    content = [cfg.code_out, cfg.hour_bucket_out, cfg.year_bucket_out, *cfg.categorical_cols, "_split_h"]
+    assert train.select(*content).intersect(test.select(*content)).count() == 0
+    counts = {r[0]: r[1] for r in prep.counts.collect()}
+    got = {r[0]: r[1] for r in test.groupBy(cfg.label_col).count().collect()}
+    assert train.count() + test.count() == sum(counts.values())
+    for lab, n in counts.items():
+        assert abs(got.get(lab, 0) - int(n * 0.2 + 0.5)) <= max(2, n // 100), lab
