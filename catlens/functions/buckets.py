@@ -31,18 +31,26 @@ def time_of_day_bucket(c: Column | str) -> Column:
 
     ``hh % 12`` plus 12 for P, so 12xxA is hour 0 and 12xxP / 00xxP hour 12.
     """
-    s = F.upper(strip_ascii(c))
+    return time_bucket_normalized(normalize_time(c))
+
+
+def normalize_time(c: Column | str) -> Column:
+    """Stripped, upper-case clock text (computed once, then bucketed)."""
+    return F.upper(strip_ascii(c))
+
+
+def time_bucket_normalized(s: Column | str) -> Column:
+    """Bucket of an already stripped, upper-case clock text."""
+    s = _col(s)
     hh = F.substring(s, 1, 2).try_cast("int")
     mm = F.substring(s, 3, 2).try_cast("int")
     hour24 = (hh % 12) + F.when(F.substring(s, 5, 1) == "P", 12).otherwise(0)
-    ok = F.coalesce(s.rlike(CLOCK_PATTERN), F.lit(False))
-    return (
-        F.when(~ok | (hh > 12) | (mm > 59), F.lit(UNKNOWN))
-        .when(hour24 < 6, F.lit(LATE_NIGHT))
-        .when(hour24 < 12, F.lit(MORNING))
-        .when(hour24 < 18, F.lit(AFTERNOON))
-        .otherwise(F.lit(EVENING))
+    part = F.element_at(
+        F.array(F.lit(LATE_NIGHT), F.lit(MORNING), F.lit(AFTERNOON), F.lit(EVENING)),
+        F.floor(hour24 / 6).cast("int") + 1,
     )
+    ok = F.coalesce(s.rlike(CLOCK_PATTERN), F.lit(False))
+    return F.when(~ok | (hh > 12) | (mm > 59), F.lit(UNKNOWN)).otherwise(part)
 
 
 def year_bucket(c: Column | str, current_year: int = CURRENT_YEAR) -> Column:
@@ -52,11 +60,16 @@ def year_bucket(c: Column | str, current_year: int = CURRENT_YEAR) -> Column:
     the parsed double with the bound equals comparing its truncation, and no
     narrowing cast (which could overflow) is needed.
     """
-    s = strip_ascii(c)
+    return year_bucket_normalized(strip_ascii(c), current_year)
+
+
+def year_bucket_normalized(s: Column | str, current_year: int = CURRENT_YEAR) -> Column:
+    """Bucket of an already stripped year text."""
+    s = _col(s)
     ok = F.coalesce(s.rlike(NUMBER_PATTERN), F.lit(False))
-    y = s.try_cast("double")
+    y = F.when(ok, s.try_cast("double"))
     return (
-        F.when(~ok | y.isNull() | (y < 1970) | (y >= current_year + 2), F.lit(UNKNOWN))
+        F.when(y.isNull() | (y < 1970) | (y >= current_year + 2), F.lit(UNKNOWN))
         .when(y < 1990, F.lit(PRE_1990))
         .when(y < 2000, F.lit(Y1990S))
         .when(y < 2010, F.lit(Y2000S))

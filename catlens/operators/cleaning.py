@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catlens.config import JobConfig
-from catlens.functions import clean_category, lenient_int, time_of_day_bucket, year_bucket
+from catlens.functions import clean_category, lenient_int
+from catlens.functions.buckets import normalize_time, time_bucket_normalized, year_bucket_normalized
+from catlens.functions.text import strip_ascii
 
 SPLIT_HASH = "_split_h"
 
@@ -50,18 +52,32 @@ def with_code(df: DataFrame, cfg: JobConfig) -> DataFrame:
     return df.withColumn(cfg.code_out, lenient_int(qcol(cfg.code_col))).filter(F.col(cfg.code_out).isNotNull())
 
 
+_T = "_time_norm"
+_Y = "_year_norm"
+
+
 def clean(df: DataFrame, cfg: JobConfig) -> DataFrame:
-    """The usable, cleaned rows with the split hash attached."""
+    """The usable, cleaned rows with the split hash attached.
+
+    Output: key (if any), code, both buckets, the cleaned categories and the
+    split hash; the raw code/time/year text is not carried further (it is
+    what a cache of this table would otherwise hold for nothing). The time
+    and year text is normalised in its own projection, so the bucket rules
+    read it once instead of re-stripping it per branch.
+    """
     sel = select_needed(df, cfg.needed_cols)
     key = qcol(cfg.key_col) if cfg.key_col is not None else None
     sel = sel.withColumn(SPLIT_HASH, row_hash(key, cfg.needed_cols, cfg.split_salt))
     usable = with_code(sel, cfg)
+    norm = usable.withColumns({_T: normalize_time(qcol(cfg.time_col)), _Y: strip_ascii(qcol(cfg.year_col))})
     derived = {
-        cfg.hour_bucket_out: time_of_day_bucket(qcol(cfg.time_col)),
-        cfg.year_bucket_out: year_bucket(qcol(cfg.year_col), cfg.current_year),
+        cfg.hour_bucket_out: time_bucket_normalized(F.col(_T)),
+        cfg.year_bucket_out: year_bucket_normalized(F.col(_Y), cfg.current_year),
     }
     derived.update({c: clean_category(qcol(c)) for c in cfg.categorical_cols})
-    return usable.withColumns(derived)
+    keep = ([cfg.key_col] if cfg.key_col is not None else []) + [cfg.code_out, cfg.hour_bucket_out, cfg.year_bucket_out]
+    keep += [c for c in cfg.categorical_cols if c not in keep] + [SPLIT_HASH]
+    return norm.withColumns(derived).select(*[qcol(c) for c in keep])
 
 
 def require_rows(n_rows: int) -> int:

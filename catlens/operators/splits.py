@@ -113,22 +113,20 @@ def stratified_thresholds(
     return {r[0]: tuple(r[1:]) for r in rows}
 
 
-def _tuple_le(cols: list, values: tuple):
-    """Lexicographic (c1, c2, ...) <= (v1, v2, ...) with literal values."""
-    out = None
-    for c, v in reversed(list(zip(cols, values))):
-        lit = F.lit(v)
-        out = c <= lit if out is None else (c < lit) | ((c == lit) & out)
-    return out
+def is_test_stratified(thresholds: dict, label_col: str, tie: list[str], types: dict):
+    """Row is test when its (hash, tie...) struct is at or below its label's
+    threshold struct: one lexicographic struct comparison against a
+    (label -> threshold) map literal, each column referenced once."""
+    if not thresholds:
+        return F.lit(False)
+    names = [SPLIT_HASH] + list(tie)
 
+    def as_struct(values):
+        return F.struct(*[F.lit(v).cast(types[n]).alias(f"f{i}") for i, (n, v) in enumerate(zip(names, values))])
 
-def is_test_stratified(thresholds: dict, label_col: str, tie: list[str]):
-    """Row is test when its (hash, tie...) is at or below its label's threshold."""
-    cols = [F.col(SPLIT_HASH)] + [qcol(c) for c in tie]
-    expr = F.lit(False)
-    for label, values in thresholds.items():
-        expr = F.when(F.col(label_col) == F.lit(label), _tuple_le(cols, values)).otherwise(expr)
-    return expr
+    row = F.struct(*[qcol(n).alias(f"f{i}") for i, n in enumerate(names)])
+    lookup = F.create_map(*[x for label, values in thresholds.items() for x in (F.lit(label), as_struct(values))])
+    return row <= F.element_at(lookup, F.col(label_col))
 
 
 def split_stratified(
@@ -149,7 +147,8 @@ def split_stratified(
         bucket_bits = auto_bucket_bits(max_label_rows)
     thresholds = stratified_thresholds(df, label_col, test_fraction, key_col, bucket_bits, content_cols)
     tie = _tie_cols(df, key_col, label_col, content_cols)
-    t = F.coalesce(is_test_stratified(thresholds, label_col, tie), F.lit(False))
+    types = {f.name: f.dataType for f in df.schema.fields}
+    t = F.coalesce(is_test_stratified(thresholds, label_col, tie, types), F.lit(False))
     return df.filter(~t), df.filter(t)
 
 

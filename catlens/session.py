@@ -35,8 +35,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
     Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir). Only when neither is set (local tests) is a private
-    temporary folder created and registered.
+    checkpoint dir). Only when neither is set *and* the master is local
+    (tests, single machine) is a private temporary folder created; on a
+    cluster a machine-local folder would not be shared, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -44,6 +45,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         conf = tempfile.mkdtemp(prefix="catlens-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf

@@ -95,7 +95,9 @@ def test_hash_split_without_key(spark):
     prep = job.prepare(dup, cfg)
     tr, te = prep.split()
     assert tr.count() + te.count() == prep.labelled.count()
-    both = tr.select(*raw.columns).intersect(te.select(*raw.columns))
+    content = [c for c in tr.columns if c != cfg.label_col]
+    assert "_split_h" in content and "code_raw" not in content
+    both = tr.select(*content).intersect(te.select(*content))
     assert both.count() == 0
 
 
