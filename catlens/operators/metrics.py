@@ -71,3 +71,15 @@ def per_class_report(conf: DataFrame, label_col: str) -> DataFrame:
         )
         .orderBy(F.desc("n_test_examples"), F.asc(label_col))
     )
+
+
+def per_class_from_predictions(predictions: DataFrame, label_col: str) -> DataFrame:
+    """J6 as a row-level aggregate: avg of the ``correct`` flag (B8) and the
+    row count per actual class. Equal to ``per_class_report`` on the confusion
+    table; that one is used by the job because it needs no second pass."""
+    return (
+        predictions.withColumn("correct", correct_flag(label_col))
+        .groupBy(label_col)
+        .agg(F.avg("correct").alias("class_accuracy"), F.count(F.col(label_col)).alias("n_test_examples"))
+        .orderBy(F.desc("n_test_examples"), F.asc(label_col))
+    )

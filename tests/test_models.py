@@ -128,3 +128,30 @@ def test_summary_row_schema(nb_golden):
     row = nb_golden.tables["summary"].first().asDict()
     assert row["model"] == "nb" and row["rows_used"] == 14238
     assert row["total_seconds"] >= row["train_seconds"] >= 0
+
+
+def test_per_class_from_rows_equals_confusion_route(nb_golden):
+    ev = nb_golden.evaluation
+    a = sorted(tuple(r) for r in metrics.per_class_from_predictions(ev.predictions, CFG.label_col).collect())
+    b = sorted(tuple(r) for r in ev.per_class.collect())
+    assert a == b
+
+
+def test_cli_runs_on_csv_folder(spark, tmp_dir):
+    import os
+
+    from catlens.__main__ import main
+
+    raw = tickets_raw(spark, SF001)
+    names = {"code_raw": "Violation Code", "time_raw": "Violation Time", "year_raw": "Vehicle Year"}
+    cats = ["Registration State", "Plate Type", "Vehicle Body Type", "Vehicle Make", "Issuing Agency",
+            "Violation County", "Vehicle Color", "Unregistered Vehicle?", "Violation Precinct"]
+    src = ["nation", "status", "segment", "zone", "priority", "color", "color", "status", "zone"]
+    df = raw.select(*[F.col(a).alias(b) for a, b in names.items()], *[F.col(s).alias(c) for s, c in zip(src, cats)])
+    path = os.path.join(tmp_dir, "csv")
+    df.write.option("header", "true").csv(path)
+    out = os.path.join(tmp_dir, "out")
+    assert main([path, "--model", "nb", "--out", out]) == 0
+    summary = spark.read.parquet(os.path.join(out, "nb", "summary")).first()
+    assert summary["rows_used"] == job.prepare(raw, CFG).baseline.first()["n_rows"]
+    assert spark.read.parquet(os.path.join(out, "nb", "per_class")).count() > 0
