@@ -71,6 +71,9 @@ class JobConfig:
     stratify_buckets: int | None = None
 
     # models
+    # Fit the indexer (and NB) from one aggregation of (label, feature,
+    # category) counts instead of MLlib's per-stage passes.
+    fit_from_counts: bool = True
     smoothing: float = 1.0
     num_trees: int = NUM_TREES
     max_depth: int = MAX_DEPTH

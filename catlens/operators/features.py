@@ -9,7 +9,7 @@ an all-zero block and every training category keeps its own slot.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import IndexToString, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import IndexToString, OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,13 +61,118 @@ def feature_stages(cfg: JobConfig) -> list:
     return [index_stage(cfg), one_hot_stage(cfg), assemble_stage(cfg)]
 
 
-def indexer_model(pipeline_model):
-    return pipeline_model.stages[0]
+def vocabulary_counts(train: DataFrame, cfg: JobConfig) -> DataFrame:
+    """(label, feature, category, n) over the training rows: one pass.
+
+    The rows are unpivoted to (label, feature, category) and counted with
+    partial aggregation; the shuffle keys spread over all reducers, so a hot
+    label or category adds rows (one per map task) to a reducer rather than
+    one big buffer. The result has at most (labels x vocabulary) rows: the
+    size of the fitted model, not of the data. It gives both the indexer's
+    frequency order and the Naive Bayes sufficient statistics.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("category")) for c in cfg.feature_cols])
+    return (
+        train.select(F.col(cfg.label_col), F.inline(pairs))
+        .filter(F.col("category").isNotNull())
+        .groupBy(cfg.label_col, "feature", "category")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+def _freq_order(counts: dict) -> list[str]:
+    """Frequency descending, ties by value in UTF-16 code-unit order (the
+    order StringIndexer uses)."""
+    return [v for v, _ in sorted(counts.items(), key=lambda kv: (-kv[1], kv[0].encode("utf-16-be")))]
+
+
+class Vocabulary:
+    """Collected vocabulary counts (model-sized) and the derived orders."""
+
+    def __init__(self, rows, cfg: JobConfig):
+        self.cfg = cfg
+        self.rows = rows
+        per_feature: dict[str, dict[str, int]] = {c: {} for c in cfg.feature_cols}
+        label_n: dict[str, int] = {}
+        first = cfg.feature_cols[0]
+        for lab, feat, cat, n in rows:
+            per_feature[feat][cat] = per_feature[feat].get(cat, 0) + n
+            if feat == first:  # every row has exactly one category per feature
+                label_n[lab] = label_n.get(lab, 0) + n
+        self.label_n = label_n
+        self.labels = _freq_order(label_n)
+        self.arrays = [_freq_order(per_feature[c]) for c in cfg.feature_cols]
+
+    def indexers(self) -> list[StringIndexerModel]:
+        """H1 + H4 fitted from the counts (same labels as StringIndexer.fit):
+        one model per column, features first, the label last."""
+        feats = list(self.cfg.feature_cols)
+        out = [
+            StringIndexerModel.from_labels(arr, inputCol=c, outputCol=idx_col(c), handleInvalid="keep")
+            for c, arr in zip(feats, self.arrays)
+        ]
+        out.append(StringIndexerModel.from_labels(self.labels, inputCol=self.cfg.label_col, outputCol=LABEL, handleInvalid="keep"))
+        return out
+
+    def slot_of(self) -> dict[tuple[str, str], int]:
+        out, offset = {}, 0
+        for c, arr in zip(self.cfg.feature_cols, self.arrays):
+            for i, v in enumerate(arr):
+                out[(c, v)] = offset + i
+            offset += len(arr)
+        return out
+
+    @property
+    def num_slots(self) -> int:
+        return sum(len(a) for a in self.arrays)
+
+
+def fit_vocabulary(train: DataFrame, cfg: JobConfig) -> Vocabulary:
+    return Vocabulary([tuple(r) for r in vocabulary_counts(train, cfg).collect()], cfg)
+
+
+def fit_features(train: DataFrame, cfg: JobConfig):
+    """H1-H4 fitted on the training rows: (PipelineModel of indexers, encoder
+    and assembler, Vocabulary or None).
+
+    With ``cfg.fit_from_counts`` the indexers come from one aggregation of
+    vocabulary counts and the encoder reads only their metadata (no pass);
+    otherwise MLlib's StringIndexer.fit runs.
+    """
+    from pyspark.ml import Pipeline, PipelineModel
+
+    if not cfg.fit_from_counts:
+        return Pipeline(stages=feature_stages(cfg)).fit(train), None
+    vocab = fit_vocabulary(train, cfg)
+    stages = vocab.indexers()
+    indexed = train
+    for m in stages:
+        indexed = m.transform(indexed)
+    encoder = one_hot_stage(cfg).fit(indexed)
+    return PipelineModel(stages=stages + [encoder, assemble_stage(cfg)]), vocab
+
+
+def indexer_models(pipeline_model) -> list[StringIndexerModel]:
+    return [st for st in pipeline_model.stages if isinstance(st, StringIndexerModel)]
+
+
+def labels_arrays(pipeline_model) -> list[list[str]]:
+    """Label arrays of every indexed column, features first, label last."""
+    out = []
+    for m in indexer_models(pipeline_model):
+        out.extend(list(a) for a in m.labelsArray)
+    return out
+
+
+def apply_indexers(pipeline_model, df: DataFrame) -> DataFrame:
+    for m in indexer_models(pipeline_model):
+        df = m.transform(df)
+    return df
 
 
 def label_names(pipeline_model) -> list[str]:
-    """Training labels in index order (the label is the indexer's last column)."""
-    return list(indexer_model(pipeline_model).labelsArray[-1])
+    """Training labels in index order (the label is indexed last)."""
+    return labels_arrays(pipeline_model)[-1]
 
 
 def index_to_label(pipeline_model, df: DataFrame) -> DataFrame:
@@ -83,7 +188,7 @@ def category_index_table(spark: SparkSession, pipeline_model, cfg: JobConfig) ->
     Built from the model's label arrays, i.e. from the driver-held model
     (size = vocabulary, not rows). ``slot`` is the position in ``features``.
     """
-    arrays = indexer_model(pipeline_model).labelsArray
+    arrays = labels_arrays(pipeline_model)
     rows = []
     offset = 0
     for c, labels in zip(cfg.feature_cols, arrays):

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import NaiveBayes, RandomForestClassifier
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catlens.config import JobConfig
 from catlens.operators.cleaning import SPLIT_HASH, qcol
-from catlens.operators.features import FEATURES, LABEL, feature_stages, slot_names
+from catlens.operators.features import FEATURES, LABEL, Vocabulary, feature_stages, fit_features, slot_names
 
 
 def naive_bayes(cfg: JobConfig) -> NaiveBayes:
@@ -46,11 +47,44 @@ def canonical_layout(df: DataFrame, cfg: JobConfig) -> DataFrame:
     return df.repartition(p, F.col(SPLIT_HASH)).sortWithinPartitions(*order)
 
 
+def nb_from_vocabulary(spark: SparkSession, vocab: Vocabulary, cfg: JobConfig):
+    """I1 from the sufficient statistics: MLlib NaiveBayes fitted on one
+    weighted row per class (weight n_c, features cnt_c / n_c), which gives
+    the same class totals and per-slot sums as the full training rows (up to
+    one rounding of cnt / n_c * n_c)."""
+    slot = vocab.slot_of()
+    d = vocab.num_slots
+    per_label: dict[str, dict[int, float]] = {lab: {} for lab in vocab.labels}
+    for lab, feat, cat, n in vocab.rows:
+        j = slot[(feat, cat)]
+        per_label[lab][j] = per_label[lab].get(j, 0.0) + n
+    rows = []
+    for i, lab in enumerate(vocab.labels):
+        n_c = float(vocab.label_n[lab])
+        items = sorted(per_label[lab].items())
+        rows.append((float(i), n_c, Vectors.sparse(d, [j for j, _ in items], [v / n_c for _, v in items])))
+    compact = spark.createDataFrame(rows, ["label", "w", "features"])
+    return naive_bayes(cfg).setWeightCol("w").fit(compact)
+
+
 def fit(train: DataFrame, cfg: JobConfig, kind: str = "nb") -> PipelineModel:
-    """H5: fit indexer, encoder, assembler and classifier on the training rows."""
-    if kind == "rf":
-        train = canonical_layout(train, cfg)
-    return Pipeline(stages=feature_stages(cfg) + [classifier(cfg, kind)]).fit(train)
+    """H5: fit indexers, encoder, assembler and classifier on the training rows.
+
+    Default (``cfg.fit_from_counts``): one distributed aggregation of
+    (label, feature, category) counts gives the indexers and, for NB, the
+    whole model; the forest then trains on the canonical layout. With
+    ``fit_from_counts=False`` MLlib fits every stage itself.
+    """
+    if not cfg.fit_from_counts:
+        if kind == "rf":
+            train = canonical_layout(train, cfg)
+        return Pipeline(stages=feature_stages(cfg) + [classifier(cfg, kind)]).fit(train)
+    feats, vocab = fit_features(train, cfg)
+    if kind == "nb":
+        clf = nb_from_vocabulary(train.sparkSession, vocab, cfg)
+    else:
+        clf = classifier(cfg, kind).fit(feats.transform(canonical_layout(train, cfg)))
+    return PipelineModel(stages=list(feats.stages) + [clf])
 
 
 def nb_parameters(spark: SparkSession, pipeline_model: PipelineModel, labels: list[str], names: list[str]) -> tuple[DataFrame, DataFrame]:

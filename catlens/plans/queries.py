@@ -177,9 +177,7 @@ def q_split_stratified_rows(spark, sf_dir):
 def _feature_model(spark, sf_dir):
     prep = _prepared(spark, sf_dir)
     train, _ = prep.split()
-    from pyspark.ml import Pipeline
-
-    return prep, Pipeline(stages=features.feature_stages(CFG)).fit(train)
+    return prep, features.fit_features(train, CFG)[0]
 
 
 def q_category_index(spark, sf_dir):
@@ -199,8 +197,8 @@ def q_one_hot_long(spark, sf_dir):
     """H1-H3 applied to every usable row: its active one-hot slots."""
     prep, fm = _feature_model(spark, sf_dir)
     vocab = features.category_index_table(spark, fm, CFG)
-    n_vocab = sum(len(a) for a in features.indexer_model(fm).labelsArray[: len(CFG.feature_cols)])
-    indexed = features.indexer_model(fm).transform(prep.labelled)
+    n_vocab = sum(len(a) for a in features.labels_arrays(fm)[: len(CFG.feature_cols)])
+    indexed = features.apply_indexers(fm, prep.labelled)
     return features.one_hot_long(indexed, vocab, n_vocab, CFG, "row_id")
 
 

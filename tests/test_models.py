@@ -155,3 +155,23 @@ def test_cli_runs_on_csv_folder(spark, tmp_dir):
     summary = spark.read.parquet(os.path.join(out, "nb", "summary")).first()
     assert summary["rows_used"] == job.prepare(raw, CFG).baseline.first()["n_rows"]
     assert spark.read.parquet(os.path.join(out, "nb", "per_class")).count() > 0
+
+
+def test_fit_from_counts_equals_mllib_stage_fits(spark):
+    prep = job.prepare(tickets_raw(spark, SF01), CFG)
+    train, test = prep.split()
+    a = models.fit(train, CFG, "nb")
+    b = models.fit(train, CFG.with_(fit_from_counts=False), "nb")
+    assert features.labels_arrays(a) == features.labels_arrays(b)
+    assert np.abs(a.stages[-1].pi.toArray() - b.stages[-1].pi.toArray()).max() < 1e-12
+    assert np.abs(a.stages[-1].theta.toArray() - b.stages[-1].theta.toArray()).max() < 1e-12
+    pa = sorted(tuple(r) for r in job.evaluate(a, test, CFG).predictions.select("row_id", "predicted_label").collect())
+    pb = sorted(tuple(r) for r in job.evaluate(b, test, CFG).predictions.select("row_id", "predicted_label").collect())
+    assert pa == pb
+
+
+def test_vocabulary_counts_is_one_aggregate(spark):
+    prep = job.prepare(tickets_raw(spark, SF001), CFG)
+    train, _ = prep.split()
+    plan = features.vocabulary_counts(train, CFG)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan and "Generate" in plan
