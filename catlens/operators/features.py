@@ -20,6 +20,8 @@ FEATURES = "features"
 LABEL = "label"
 PREDICTION = "prediction"
 PREDICTED_LABEL = "predicted_label"
+# Reserved feature name of the per-class row counts in vocabulary_counts.
+ROWS = "__rows__"
 # A vocabulary table is broadcast only up to this many rows.
 BROADCAST_VOCAB_ROWS = 1_000_000
 
@@ -71,9 +73,12 @@ def vocabulary_counts(train: DataFrame, cfg: JobConfig) -> DataFrame:
     size of the fitted model, not of the data. It gives both the indexer's
     frequency order and the Naive Bayes sufficient statistics.
     """
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("category")) for c in cfg.feature_cols])
+    pairs = [F.struct(F.lit(c).alias("feature"), F.col(c).alias("category")) for c in cfg.feature_cols]
+    # plus one row-count entry per row, so class totals do not depend on
+    # any feature being non-NULL (NULLs are not vocabulary, as in StringIndexer)
+    pairs.append(F.struct(F.lit(ROWS).alias("feature"), F.lit("").alias("category")))
     return (
-        train.select(F.col(cfg.label_col), F.inline(pairs))
+        train.select(F.col(cfg.label_col), F.inline(F.array(*pairs)))
         .filter(F.col("category").isNotNull())
         .groupBy(cfg.label_col, "feature", "category")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -91,14 +96,14 @@ class Vocabulary:
 
     def __init__(self, rows, cfg: JobConfig):
         self.cfg = cfg
-        self.rows = rows
+        self.rows = [r for r in rows if r[1] != ROWS]
         per_feature: dict[str, dict[str, int]] = {c: {} for c in cfg.feature_cols}
         label_n: dict[str, int] = {}
-        first = cfg.feature_cols[0]
         for lab, feat, cat, n in rows:
-            per_feature[feat][cat] = per_feature[feat].get(cat, 0) + n
-            if feat == first:  # every row has exactly one category per feature
+            if feat == ROWS:
                 label_n[lab] = label_n.get(lab, 0) + n
+            else:
+                per_feature[feat][cat] = per_feature[feat].get(cat, 0) + n
         self.label_n = label_n
         self.labels = _freq_order(label_n)
         self.arrays = [_freq_order(per_feature[c]) for c in cfg.feature_cols]

@@ -256,6 +256,10 @@ strat_side AS (
         "round(weighted_precision, 6) AS weighted_precision, round(weighted_recall, 6) AS weighted_recall FROM metrics",
         "nb_per_class": _with(b, f, nb)
         + f"SELECT {lab}, round(tp / n_actual, 6) AS class_accuracy, n_actual AS n_test_examples FROM per_class",
+        "nb_per_class_rows": _with(b, f, nb)
+        + f"SELECT {lab}, round(avg(CASE WHEN {lab} = predicted_label THEN 1 ELSE 0 END), 6) AS class_accuracy, "
+        f"count({lab}) AS n_test_examples FROM predictions GROUP BY {lab}",
+        "label_counts_checkpointed": _with(b) + f"SELECT {lab}, count(*) AS count FROM labelled GROUP BY {lab}",
         "nb_samples": _with(b, f, nb) + f"SELECT {sample_cols} FROM predictions ORDER BY row_id LIMIT 20",
         "run_summary_nb": _with(b, f, nb) + summary,
     }

@@ -164,6 +164,20 @@ def q_split_stratified_counts(spark, sf_dir):
     return _side_counts(*_prepared(spark, sf_dir, cfg).split())
 
 
+def q_split_random_counts(spark, sf_dir):
+    """G1 as the original job does it: seeded randomSplit (layout dependent,
+    so rows-only; every label appears on both sides)."""
+    cfg = CFG.with_(split="random")
+    return _side_counts(*_prepared(spark, sf_dir, cfg).split())
+
+
+def q_label_counts_checkpointed(spark, sf_dir):
+    """The cleaned rows written as a reliable checkpoint (lineage cut),
+    then counted per label."""
+    prep = job.prepare(tickets_raw(spark, sf_dir), CFG, materialize="checkpoint")
+    return prep.labelled.groupBy(CFG.label_col).agg(F.count(F.lit(1)).alias("count"))
+
+
 def q_split_stratified_rows(spark, sf_dir):
     """The test rows of the stratified split (row ids)."""
     cfg = CFG.with_(split="stratified")
@@ -258,6 +272,12 @@ def q_nb_per_class(spark, sf_dir):
     return _rounded_per_class(_nb(spark, sf_dir)[2].per_class)
 
 
+def q_nb_per_class_rows(spark, sf_dir):
+    """J6 the row-level way: avg of the per-row correct flag (B8) and count."""
+    _, _, ev = _nb(spark, sf_dir)
+    return _rounded_per_class(metrics.per_class_from_predictions(ev.predictions, CFG.label_col))
+
+
 def q_nb_samples(spark, sf_dir):
     """First 20 test rows by key with display columns and prediction."""
     return _nb(spark, sf_dir)[2].samples
@@ -286,6 +306,10 @@ def q_rf_per_class(spark, sf_dir):
     return _rounded_per_class(_rf(spark, sf_dir)[2].per_class)
 
 
+def q_rf_confusion(spark, sf_dir):
+    return _rf(spark, sf_dir)[2].confusion
+
+
 def q_rf_importances_top10(spark, sf_dir):
     _, model, ev = _rf(spark, sf_dir)
     return models.feature_importances_named(spark, model, ev.predictions, 10)
@@ -309,6 +333,8 @@ QUERIES: dict[str, Query] = {
     "split_hash_counts": q_split_hash_counts,
     "split_stratified_counts": q_split_stratified_counts,
     "split_stratified_rows": q_split_stratified_rows,
+    "split_random_counts": q_split_random_counts,
+    "label_counts_checkpointed": q_label_counts_checkpointed,
     "category_index": q_category_index,
     "label_index": q_label_index,
     "one_hot_long": q_one_hot_long,
@@ -318,9 +344,11 @@ QUERIES: dict[str, Query] = {
     "nb_confusion": q_nb_confusion,
     "nb_metrics": q_nb_metrics,
     "nb_per_class": q_nb_per_class,
+    "nb_per_class_rows": q_nb_per_class_rows,
     "nb_samples": q_nb_samples,
     "run_summary_nb": q_run_summary_nb,
     "rf_metrics": q_rf_metrics,
     "rf_per_class": q_rf_per_class,
+    "rf_confusion": q_rf_confusion,
     "rf_importances_top10": q_rf_importances_top10,
 }

@@ -175,3 +175,15 @@ def test_vocabulary_counts_is_one_aggregate(spark):
     train, _ = prep.split()
     plan = features.vocabulary_counts(train, CFG)._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan and "Generate" in plan
+
+
+def test_vocabulary_with_null_feature_values_matches_mllib(spark):
+    """A raw feature with NULLs: NULL is not vocabulary, class totals still count every row."""
+    prep = job.prepare(tickets_raw(spark, SF001), CFG)
+    train, _ = prep.split()
+    train = train.withColumn("segment", F.when(F.col("row_id") % 5 == 0, F.lit(None)).otherwise(F.col("segment")))
+    a = models.fit(train, CFG, "nb")
+    b = models.fit(train, CFG.with_(fit_from_counts=False), "nb")
+    assert features.labels_arrays(a) == features.labels_arrays(b)
+    assert np.abs(a.stages[-1].pi.toArray() - b.stages[-1].pi.toArray()).max() < 1e-12
+    assert np.abs(a.stages[-1].theta.toArray() - b.stages[-1].theta.toArray()).max() < 1e-12

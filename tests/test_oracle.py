@@ -17,7 +17,7 @@ from conftest import SF001, SF01  # noqa: E402
 def test_every_query_has_oracle_or_is_forest():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"rf_metrics", "rf_per_class", "rf_importances_top10"}
+    assert set(q) - set(o) == {"rf_metrics", "rf_per_class", "rf_confusion", "rf_importances_top10", "split_random_counts"}
     for name in q:
         assert "pipeline" not in name and not name.startswith("op")
 
