@@ -78,8 +78,11 @@ class JobConfig:
     num_trees: int = NUM_TREES
     max_depth: int = MAX_DEPTH
     seed: int = SEED
-    # Fixed partition count for the canonical layout before a forest fit
-    # (None: the session's spark.sql.shuffle.partitions).
+    # Canonical layout before a forest fit: one hash shuffle of the training
+    # rows so the forest does not depend on the input's file layout. Off: no
+    # shuffle; the forest is then reproducible only for the same input layout.
+    canonical_layout: bool = True
+    # Fixed partition count for that layout (None: spark.sql.shuffle.partitions).
     layout_partitions: int | None = None
 
     # "cache" (MEMORY_AND_DISK, recomputed from lineage after executor loss)

@@ -41,6 +41,8 @@ def canonical_layout(df: DataFrame, cfg: JobConfig) -> DataFrame:
     One hash shuffle into a fixed partition count (AQE leaves an explicit
     count alone), then a local sort by (hash, key); no global sort.
     """
+    if not cfg.canonical_layout:
+        return df
     spark = df.sparkSession
     p = cfg.layout_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(SPLIT_HASH)] + ([qcol(cfg.key_col)] if cfg.key_col is not None else [])
