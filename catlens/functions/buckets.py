@@ -60,14 +60,19 @@ def year_bucket(c: Column | str, current_year: int = CURRENT_YEAR) -> Column:
     the parsed double with the bound equals comparing its truncation, and no
     narrowing cast (which could overflow) is needed.
     """
-    return year_bucket_normalized(strip_ascii(c), current_year)
+    return year_bucket_from_number(parse_year(c), current_year)
 
 
-def year_bucket_normalized(s: Column | str, current_year: int = CURRENT_YEAR) -> Column:
-    """Bucket of an already stripped year text."""
-    s = _col(s)
-    ok = F.coalesce(s.rlike(NUMBER_PATTERN), F.lit(False))
-    y = F.when(ok, s.try_cast("double"))
+def parse_year(c: Column | str) -> Column:
+    """Stripped year text as a double; NULL unless it is a plain decimal
+    number (computed once, then bucketed)."""
+    s = strip_ascii(c)
+    return F.when(F.coalesce(s.rlike(NUMBER_PATTERN), F.lit(False)), s.try_cast("double"))
+
+
+def year_bucket_from_number(y: Column | str, current_year: int = CURRENT_YEAR) -> Column:
+    """Bucket of a parsed year (double or NULL)."""
+    y = _col(y)
     return (
         F.when(y.isNull() | (y < 1970) | (y >= current_year + 2), F.lit(UNKNOWN))
         .when(y < 1990, F.lit(PRE_1990))

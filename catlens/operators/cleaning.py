@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 
 from catlens.config import JobConfig
 from catlens.functions import clean_category, lenient_int
-from catlens.functions.buckets import normalize_time, time_bucket_normalized, year_bucket_normalized
-from catlens.functions.text import strip_ascii
+from catlens.functions.buckets import normalize_time, parse_year, time_bucket_normalized, year_bucket_from_number
 
 SPLIT_HASH = "_split_h"
 
@@ -69,10 +68,10 @@ def clean(df: DataFrame, cfg: JobConfig) -> DataFrame:
     key = qcol(cfg.key_col) if cfg.key_col is not None else None
     sel = sel.withColumn(SPLIT_HASH, row_hash(key, cfg.needed_cols, cfg.split_salt))
     usable = with_code(sel, cfg)
-    norm = usable.withColumns({_T: normalize_time(qcol(cfg.time_col)), _Y: strip_ascii(qcol(cfg.year_col))})
+    norm = usable.withColumns({_T: normalize_time(qcol(cfg.time_col)), _Y: parse_year(qcol(cfg.year_col))})
     derived = {
         cfg.hour_bucket_out: time_bucket_normalized(F.col(_T)),
-        cfg.year_bucket_out: year_bucket_normalized(F.col(_Y), cfg.current_year),
+        cfg.year_bucket_out: year_bucket_from_number(F.col(_Y), cfg.current_year),
     }
     derived.update({c: clean_category(qcol(c)) for c in cfg.categorical_cols})
     keep = ([cfg.key_col] if cfg.key_col is not None else []) + [cfg.code_out, cfg.hour_bucket_out, cfg.year_bucket_out]
