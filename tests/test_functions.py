@@ -125,3 +125,33 @@ def test_year_bucket_matches_rules_on_random_strings(spark):
     vals = _random_strings(2, "0123456789.+-eE x") + [str(y) for y in range(1960, 2035)] + [f"{y}.5" for y in range(1965, 2030)]
     got = _eval(spark, vals, year_bucket)
     assert got == [py_year(v) for v in vals]
+
+
+def py_lenient_int(v):
+    import re
+
+    if v is None:
+        return None
+    m = re.fullmatch(r"([+-]?[0-9]+)([.][0-9]*)?", v.strip(WS))
+    if not m:
+        return None
+    n = int(m.group(1))
+    return n if -(2**31) <= n < 2**31 else None
+
+
+def py_clean(v):
+    if v is None or v.strip(WS) == "":
+        return "UNKNOWN"
+    return v.strip(WS)
+
+
+def test_lenient_int_matches_rules_on_random_strings(spark):
+    vals = _random_strings(3, "0123456789.+- e\tx") + ["2147483647", "2147483648", "-2147483648", "-2147483649"]
+    got = _eval(spark, vals, lenient_int)
+    assert got == [py_lenient_int(v) for v in vals]
+
+
+def test_clean_category_matches_rules_on_random_strings(spark):
+    vals = _random_strings(4, "ab \t\n\r\x0bY1") + [None]
+    got = _eval(spark, vals, clean_category)
+    assert got == [py_clean(v) for v in vals]

@@ -187,3 +187,15 @@ def test_vocabulary_with_null_feature_values_matches_mllib(spark):
     assert features.labels_arrays(a) == features.labels_arrays(b)
     assert np.abs(a.stages[-1].pi.toArray() - b.stages[-1].pi.toArray()).max() < 1e-12
     assert np.abs(a.stages[-1].theta.toArray() - b.stages[-1].theta.toArray()).max() < 1e-12
+
+
+@pytest.mark.parametrize("parts", [1, 3, 8])
+def test_nb_job_independent_of_partitioning(spark, parts):
+    raw = tickets_raw(spark, SF001)
+    base = job.run(spark, raw, CFG, "nb")
+    other = job.run(spark, raw.repartition(parts), CFG, "nb")
+    for k in ("rows_used", "majority_baseline", "accuracy", "f1", "weighted_precision", "weighted_recall"):
+        assert base.summary[k] == other.summary[k], k
+    assert sorted(tuple(r) for r in base.tables["samples"].collect()) == sorted(tuple(r) for r in other.tables["samples"].collect())
+    base.release()
+    other.release()
