@@ -31,6 +31,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--split", choices=["hash", "stratified", "random"], default="hash")
     p.add_argument("--key", default=None, help="unique row key column for the split")
     p.add_argument("--materialize", choices=["cache", "checkpoint", "none"], default="cache")
+    p.add_argument("--model-out", default=None, help="folder to save the fitted model(s) in")
     a = p.parse_args(argv)
 
     spark = SparkSession.builder.appName("catlens").getOrCreate()
@@ -47,6 +48,8 @@ def main(argv: list[str] | None = None) -> int:
         if a.out:
             for name, t in res.tables.items():
                 write_parquet(t, f"{a.out.rstrip('/')}/{kind}/{name}")
+        if a.model_out:
+            job.save_model(res.model, f"{a.model_out.rstrip('/')}/{kind}", res.prepared.labeller.top_codes)
         res.release()
     return 0
 

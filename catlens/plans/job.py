@@ -139,6 +139,27 @@ def run(spark: SparkSession, df: DataFrame, cfg: JobConfig, kind: str = "nb", im
     return JobResult(model, prep, ev, summary, tables)
 
 
+def save_model(model: PipelineModel, path: str, top_codes: list[int] | None = None) -> str:
+    """H5 persistence: the fitted stages (MLlib's own format), plus the top
+    codes that define the labels, so a later job can score new rows."""
+    model.write().overwrite().save(path)
+    if top_codes is not None:
+        spark = SparkSession.getActiveSession()
+        spark.createDataFrame([(int(c),) for c in top_codes], "code int").coalesce(1).write.mode("overwrite").parquet(
+            path.rstrip("/") + "_top_codes"
+        )
+    return path
+
+
+def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, list[int] | None]:
+    model = PipelineModel.load(path)
+    try:
+        codes = [r[0] for r in spark.read.parquet(path.rstrip("/") + "_top_codes").collect()]
+    except Exception:
+        codes = None
+    return model, codes
+
+
 def run_csv(spark: SparkSession, path: str, cfg: JobConfig | None = None, kind: str = "nb") -> JobResult:
     """The original job's entry: a CSV folder of ticket rows (A1, A2)."""
     from catlens.sources.csv_dir import read_csv_dir

@@ -199,3 +199,18 @@ def test_nb_job_independent_of_partitioning(spark, parts):
     assert sorted(tuple(r) for r in base.tables["samples"].collect()) == sorted(tuple(r) for r in other.tables["samples"].collect())
     base.release()
     other.release()
+
+
+def test_model_save_load_roundtrip(spark, tmp_dir):
+    import os
+
+    raw = tickets_raw(spark, SF001)
+    res = job.run(spark, raw, CFG, "nb")
+    path = job.save_model(res.model, os.path.join(tmp_dir, "nb_model"), res.prepared.labeller.top_codes)
+    model, codes = job.load_model(spark, path)
+    assert codes == res.prepared.labeller.top_codes
+    _, test = res.prepared.split()
+    a = sorted(tuple(r) for r in job.evaluate(model, test, CFG).predictions.select("row_id", "predicted_label").collect())
+    b = sorted(tuple(r) for r in res.evaluation.predictions.select("row_id", "predicted_label").collect())
+    assert a == b
+    res.release()
