@@ -15,12 +15,23 @@ def sample_columns(cfg: JobConfig) -> list[str]:
     return list(cfg.sample_cols) + [cfg.hour_bucket_out, cfg.label_col, PREDICTED_LABEL]
 
 
-def sample_predictions(predictions: DataFrame, cfg: JobConfig, n: int = 20) -> DataFrame:
-    """The first ``n`` test rows by key with their display columns
-    (a per-partition top-n, then an n-row merge; no global sort)."""
+def _sample_order(cfg: JobConfig) -> list:
     order = [qcol(cfg.key_col)] if cfg.key_col is not None else [F.col(SPLIT_HASH)]
+    # the label and display columns make the order total when there is no key
+    return order + [qcol(c) for c in [cfg.label_col, *cfg.sample_cols, cfg.hour_bucket_out]]
+
+
+def sample_predictions(model, test: DataFrame, cfg: JobConfig, n: int = 20) -> DataFrame:
+    """The first ``n`` test rows by key with their display columns and
+    prediction. The rows are picked first (a per-partition top-n over the
+    cleaned columns, then an n-row merge), and only those n rows go through
+    the model, not the whole test set."""
+    from catlens.operators.features import index_to_label
+
+    picked = test.orderBy(*_sample_order(cfg)).limit(n)
+    pred = index_to_label(model, model.transform(picked))
     cols = ([cfg.key_col] if cfg.key_col is not None else []) + sample_columns(cfg)
-    return predictions.orderBy(*order, *[qcol(c) for c in sample_columns(cfg)]).select(*[qcol(c) for c in cols]).limit(n)
+    return pred.orderBy(*_sample_order(cfg)).select(*[qcol(c) for c in cols])
 
 
 def summary_long(baseline: DataFrame, metric_row: DataFrame, digits: int | None = 6) -> DataFrame:

@@ -77,7 +77,7 @@ def evaluate(model: PipelineModel, test: DataFrame, cfg: JobConfig, persist: boo
         confusion=conf,
         metrics=metrics.metrics(conf, cfg.label_col),
         per_class=metrics.per_class_report(conf, cfg.label_col),
-        samples=report.sample_predictions(pred, cfg),
+        samples=report.sample_predictions(model, test, cfg),
     )
 
 
