@@ -48,11 +48,7 @@ def prepare(df: DataFrame, cfg: JobConfig, materialize: str = "none") -> Prepare
         cleaned = cleaned.persist(StorageLevel.MEMORY_AND_DISK)
     elif materialize == "checkpoint":
         cleaned = splits.materialize(cleaned, "checkpoint")
-    lab = labels.Labeller(cfg)
-    lab.freq = labels.code_frequency(cleaned, cfg.code_out)
-    if materialize in ("cache", "checkpoint"):
-        lab.freq = lab.freq.persist(StorageLevel.MEMORY_AND_DISK)  # tiny: one row per code
-    lab.top_codes = labels.collect_top_codes(lab.freq, cfg.code_out, cfg.top_n_classes)
+    lab = labels.Labeller(cfg).fit(cleaned, persist=materialize in ("cache", "checkpoint"))
     counts = lab.label_counts()
     return Prepared(cfg, cleaned, lab.transform(cleaned), lab, counts, labels.majority_baseline(counts))
 

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from catlens.config import FIXTURE_CONFIG, JobConfig
 from catlens.functions import year_bucket
 from catlens.operators import cleaning, features, labels, metrics, models, report, splits
-from catlens.operators.cleaning import SPLIT_HASH
 from catlens.plans import job
 from catlens.session import scratch_path
 from catlens.sources.csv_dir import read_csv_dir, write_csv_dir
