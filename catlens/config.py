@@ -84,6 +84,9 @@ class JobConfig:
     canonical_layout: bool = True
     # Fixed partition count for that layout (None: spark.sql.shuffle.partitions).
     layout_partitions: int | None = None
+    # Without a key, identical training rows are counted once and re-emitted
+    # in chunks of at most this many copies, each chunk placed on its own.
+    layout_chunk_rows: int = 100_000
 
     # "cache" (MEMORY_AND_DISK, recomputed from lineage after executor loss)
     # or "checkpoint" (reliable copy in spark.checkpoint.dir).

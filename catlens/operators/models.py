@@ -38,15 +38,35 @@ def canonical_layout(df: DataFrame, cfg: JobConfig) -> DataFrame:
     """Fixed partitioning and order, so the forest's per-partition bootstrap
     draws do not depend on how the input happened to be split.
 
-    One hash shuffle into a fixed partition count (AQE leaves an explicit
-    count alone), then a local sort by (hash, key); no global sort.
+    With a key: one hash shuffle into a fixed partition count (AQE leaves an
+    explicit count alone), then a local sort by (hash, key); no global sort.
+
+    Without a key, copies of a row share its hash, so hashing rows would put
+    a hot group of copies into one partition. Instead identical rows are
+    counted (partial aggregation map-side), each distinct row becomes
+    ceil(copies / chunk) chunk rows, the chunk rows are hash-partitioned by
+    (hash, chunk) and sorted, and only then expanded back to one row per
+    copy inside their partition. The forest sees the same rows, no partition
+    holds more than one chunk of any group, and the layout is still a
+    function of the data alone.
     """
     if not cfg.canonical_layout:
         return df
     spark = df.sparkSession
     p = cfg.layout_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col(SPLIT_HASH)] + ([qcol(cfg.key_col)] if cfg.key_col is not None else [])
-    return df.repartition(p, F.col(SPLIT_HASH)).sortWithinPartitions(*order)
+    if cfg.key_col is not None:
+        order = [F.col(SPLIT_HASH), qcol(cfg.key_col)]
+        return df.repartition(p, F.col(SPLIT_HASH)).sortWithinPartitions(*order)
+    cols = [qcol(c) for c in df.columns]
+    chunk = F.lit(int(cfg.layout_chunk_rows)).cast("long")
+    groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies"))
+    chunks = groups.withColumn(
+        "_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_copies") - 1) / chunk).cast("long")))
+    ).withColumn("_m", F.least(chunk, F.col("_copies") - F.col("_chunk") * chunk))
+    placed = chunks.repartition(p, F.col(SPLIT_HASH), F.col("_chunk")).sortWithinPartitions(
+        F.col(SPLIT_HASH), *cols, F.col("_chunk")
+    )
+    return placed.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_m")))).select(*cols)
 
 
 def nb_from_vocabulary(spark: SparkSession, vocab: Vocabulary, cfg: JobConfig):

@@ -7,10 +7,11 @@
 * ``stratified``: per label exactly ``floor(f * n + 0.5)`` test rows, the
   first ones in ``(h, key)`` order. Exact and skew-free. Rows are counted per
   (label, hash bucket) with partial aggregation, a tiny per-label table finds
-  the bucket where the quota is crossed, and a row_number runs only inside
-  that one boundary bucket per label (about n / buckets rows), which yields
-  one threshold tuple per label. A hot label never goes through one task
-  whole, and the split itself is a narrow filter against k + 1 literals.
+  the bucket where the quota is crossed, and a running count runs only inside
+  that one boundary bucket per label (about n / buckets rows, copies counted
+  once), which yields one threshold tuple per label. Neither a hot label nor
+  a hot group of copies goes through one task whole, and the split itself is
+  a narrow filter against k + 1 literals.
   Without a key the row's cleaned content breaks hash ties, so identical
   rows stay together (the quota then holds up to that group's size).
 """
@@ -54,7 +55,7 @@ def split_random(df: DataFrame, test_fraction: float, seed: int) -> tuple[DataFr
 
 def auto_bucket_bits(max_label_rows: int) -> int:
     """Buckets ~ sqrt(largest label): balances the per-label bucket table
-    against the boundary bucket that gets a row_number."""
+    against the boundary bucket that gets a running count."""
     want = max(1, int(math.isqrt(max(1, max_label_rows))))
     return min(24, max(10, (want - 1).bit_length()))
 
@@ -96,7 +97,7 @@ def stratified_thresholds(
     df: DataFrame, label_col: str, test_fraction: float, key_col: str | None, bucket_bits: int, content_cols=None
 ) -> dict:
     """label -> the last test row's (hash, tie...) tuple, i.e. the m-th row in
-    (hash, tie) order. Two passes: bucket counts, and a row_number over only
+    (hash, tie) order. Two passes: bucket counts, and a running count over only
     the boundary bucket of each label (about n_label / 2^bits rows). The
     result has at most k + 1 entries."""
     plan = stratified_plan(df, label_col, test_fraction, bucket_bits).collect()
@@ -107,8 +108,15 @@ def stratified_thresholds(
     tie = _tie_cols(df, key_col, label_col, content_cols)
     order = [F.col(SPLIT_HASH)] + [qcol(c) for c in tie]
     boundary = df.filter(_bucket(bucket_bits) == F.element_at(b_star, F.col(label_col)))
-    ranked = boundary.withColumn("_rn", F.row_number().over(Window.partitionBy(label_col).orderBy(*order)))
-    picked = ranked.filter(F.col("_rn") == F.element_at(need, F.col(label_col)))
+    # Copies (equal hash and tie values, possible without a key) collapse to
+    # one row with a count, partially aggregated map-side, so a hot group of
+    # identical rows never reaches the window task whole. The threshold is
+    # the tuple whose running count first reaches the quota.
+    tuples = boundary.groupBy(label_col, SPLIT_HASH, *[qcol(c) for c in tie]).agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(label_col).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = tuples.withColumn("_cum", F.sum("_n").over(w))
+    m = F.element_at(need, F.col(label_col))
+    picked = ranked.filter((F.col("_cum") >= m) & (F.col("_cum") - F.col("_n") < m))
     rows = picked.select(label_col, SPLIT_HASH, *[qcol(c) for c in tie]).collect()
     return {r[0]: tuple(r[1:]) for r in rows}
 

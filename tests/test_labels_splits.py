@@ -1,5 +1,7 @@
 """Labels (D1, D2, E1-E4) and splits (G1-G3): invariants and partition independence."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -123,3 +125,29 @@ def test_stratified_without_key_keeps_identical_rows_together(spark):
     assert train.count() + test.count() == sum(counts.values())
     for lab, n in counts.items():
         assert abs(got.get(lab, 0) - int(n * 0.2 + 0.5)) <= max(2, n // 100), lab
+
+
+def test_stratified_split_with_copies_matches_brute_force(spark):
+    """No key, every row three times: per label the test side is the rows at
+    or below the m-th row in (hash, content) order (m = floor(0.2 n + 0.5)),
+    computed here in plain Python; copies never straddle the split."""
+    raw = tickets_raw(spark, SF001).drop("row_id")
+    cfg = CFG.with_(key_col=None, split="stratified")
+    tripled = raw.unionByName(raw).unionByName(raw)
+    prep = job.prepare(tripled, cfg)
+    tr, te = prep.split()
+    content = [cfg.code_out, cfg.hour_bucket_out, cfg.year_bucket_out, *cfg.categorical_cols]
+    cols = [cfg.label_col, "_split_h", *content]
+    rows = [tuple(r) for r in prep.labelled.select(*cols).collect()]
+    by_label = {}
+    for r in rows:
+        by_label.setdefault(r[0], []).append(r[1:])
+    want = {}
+    for lab, items in by_label.items():
+        items.sort()
+        m = int(math.floor(0.2 * len(items) + 0.5))
+        want[lab] = sum(1 for x in items if m and x <= items[m - 1])
+    got = {r[0]: r[1] for r in te.groupBy(cfg.label_col).count().collect()}
+    assert {k: v for k, v in want.items() if v} == got
+    assert tr.count() + te.count() == len(rows)
+    assert tr.select("_split_h", *content).intersect(te.select("_split_h", *content)).count() == 0

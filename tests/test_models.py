@@ -214,3 +214,33 @@ def test_model_save_load_roundtrip(spark, tmp_dir):
     b = sorted(tuple(r) for r in res.evaluation.predictions.select("row_id", "predicted_label").collect())
     assert a == b
     res.release()
+
+
+def _partitions(df):
+    return [list(map(tuple, p)) for p in df.rdd.glom().collect()]
+
+
+def test_canonical_layout_without_key_spreads_copies(spark):
+    """No key: copies share a hash. The layout keeps every row, does not
+    depend on the input partitioning, and cuts a hot group into chunks that
+    land in several partitions instead of one."""
+    from catlens.operators.cleaning import SPLIT_HASH
+
+    cfg = CFG.with_(key_col=None, layout_chunk_rows=5, layout_partitions=8)
+    train, _ = job.prepare(tickets_raw(spark, SF001).drop("row_id"), cfg).split()
+    # few distinct values -> large groups of identical rows
+    df = train.select(cfg.label_col, (F.col(SPLIT_HASH) % 3).alias(SPLIT_HASH), "zone").cache()
+    hot = df.groupBy(*df.columns).count().orderBy(F.desc("count"), *df.columns).first()
+    hot_row, hot_n = tuple(hot[:3]), hot["count"]
+    assert hot_n > 4 * cfg.layout_chunk_rows
+
+    a = models.canonical_layout(df.repartition(1), cfg)
+    b = models.canonical_layout(df.repartition(5), cfg)
+    assert a.count() == df.count()
+    assert a.exceptAll(df).count() == 0 and df.exceptAll(a).count() == 0
+    pa, pb = _partitions(a), _partitions(b)
+    assert pa == pb and len(pa) == 8
+    per_part = [p.count(hot_row) for p in pa]
+    assert sum(per_part) == hot_n
+    assert sum(1 for n in per_part if n) > 1 and max(per_part) < hot_n
+    df.unpersist()
