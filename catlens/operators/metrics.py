@@ -29,13 +29,23 @@ def confusion(predictions: DataFrame, label_col: str) -> DataFrame:
 
 
 def per_class_scores(conf: DataFrame, label_col: str) -> DataFrame:
-    """Per actual class: n_actual, tp, n_predicted, precision, recall, f1."""
-    actual = conf.groupBy(label_col).agg(
-        F.sum("n").alias("n_actual"),
-        F.sum(F.when(F.col(label_col) == F.col(PREDICTED_LABEL), F.col("n")).otherwise(0)).alias("tp"),
+    """Per actual class: n_actual, tp, n_predicted, precision, recall, f1.
+
+    Each confusion cell counts once for its actual class and once for its
+    predicted class, so one aggregation by class gives all three counts (no
+    join); classes that never occur as actual labels are then dropped."""
+    a, p, n = F.col(label_col), F.col(PREDICTED_LABEL), F.col("n")
+    zero = F.lit(0).cast("long")
+    sides = F.array(
+        F.struct(a.alias("cls"), n.alias("n_actual"), F.when(a == p, n).otherwise(zero).alias("tp"), zero.alias("n_predicted")),
+        F.struct(p.alias("cls"), zero.alias("n_actual"), zero.alias("tp"), n.alias("n_predicted")),
+    )
+    s = (
+        conf.select(F.inline(sides))
+        .groupBy(F.col("cls").alias(label_col))
+        .agg(F.sum("n_actual").alias("n_actual"), F.sum("tp").alias("tp"), F.sum("n_predicted").alias("n_predicted"))
+        .filter(F.col("n_actual") > 0)
     )
-    predicted = conf.groupBy(F.col(PREDICTED_LABEL).alias(label_col)).agg(F.sum("n").alias("n_predicted"))
-    s = actual.join(predicted, label_col, "left").withColumn("n_predicted", F.coalesce("n_predicted", F.lit(0)))
     p = F.when(F.col("n_predicted") == 0, F.lit(0.0)).otherwise(F.col("tp") / F.col("n_predicted"))
     r = F.col("tp") / F.col("n_actual")
     s = s.withColumn("precision", p).withColumn("recall", r)

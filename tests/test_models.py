@@ -244,3 +244,24 @@ def test_canonical_layout_without_key_spreads_copies(spark):
     assert sum(per_part) == hot_n
     assert sum(1 for n in per_part if n) > 1 and max(per_part) < hot_n
     df.unpersist()
+
+
+def test_metrics_rules_on_edge_confusion(spark):
+    """Class c is predicted but never actual (ignored), class b is actual but
+    never predicted (precision 0). Values by hand."""
+    lab = CFG.label_col
+    conf = spark.createDataFrame(
+        [("a", "a", 3), ("a", "c", 1), ("b", "a", 2)], f"{lab} string, predicted_label string, n long"
+    )
+    s = {r[lab]: r for r in metrics.per_class_scores(conf, lab).collect()}
+    assert set(s) == {"a", "b"}
+    assert (s["a"]["n_actual"], s["a"]["tp"], s["a"]["n_predicted"]) == (4, 3, 5)
+    assert (s["b"]["n_actual"], s["b"]["tp"], s["b"]["n_predicted"]) == (2, 0, 0)
+    assert s["b"]["precision"] == 0.0 and s["b"]["f1"] == 0.0
+    m = metrics.metrics(conf, lab).first()
+    p_a, r_a = 3 / 5, 3 / 4
+    f_a = 2 * p_a * r_a / (p_a + r_a)
+    assert m["n_test"] == 6 and m["accuracy"] == pytest.approx(3 / 6)
+    assert m["weighted_precision"] == pytest.approx(4 / 6 * p_a)
+    assert m["weighted_recall"] == pytest.approx(4 / 6 * r_a)
+    assert m["f1"] == pytest.approx(4 / 6 * f_a)
