@@ -22,8 +22,6 @@ PREDICTION = "prediction"
 PREDICTED_LABEL = "predicted_label"
 # Reserved feature name of the per-class row counts in vocabulary_counts.
 ROWS = "__rows__"
-# A vocabulary table is broadcast only up to this many rows.
-BROADCAST_VOCAB_ROWS = 1_000_000
 
 
 def idx_col(c: str) -> str:
@@ -212,18 +210,41 @@ def category_index_table(spark: SparkSession, pipeline_model, cfg: JobConfig) ->
     return spark.createDataFrame(rows, schema)
 
 
-def one_hot_long(indexed: DataFrame, vocab: DataFrame, vocab_rows: int, cfg: JobConfig, key_col: str) -> DataFrame:
+def vocabulary_bytes(pipeline_model, cfg: JobConfig) -> int:
+    """Size of ``category_index_table`` in bytes, counted on the driver from
+    the fitted label arrays: UTF-8 text of feature, category and slot name
+    plus 32 bytes of fixed fields and overhead per row."""
+    total = 0
+    for c, arr in zip(cfg.feature_cols, labels_arrays(pipeline_model)):
+        fb, pb = len(c.encode()), len(vec_col(c).encode()) + 1
+        total += sum(fb + pb + 2 * len(v.encode()) + 32 for v in arr)
+    return total
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """The session's broadcast bound in bytes (-1 or 0: never broadcast)."""
+    v = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for u in sorted(units, key=len, reverse=True):
+        if v.endswith(u) and v[: -len(u)].strip().lstrip("-").isdigit():
+            return int(v[: -len(u)]) * units[u]
+    return int(v)
+
+
+def one_hot_long(indexed: DataFrame, vocab: DataFrame, vocab_bytes: int, cfg: JobConfig, key_col: str) -> DataFrame:
     """(key, feature, slot, slot_name) of every active one-hot slot.
 
     The index columns are unpivoted to (key, feature, idx) and joined to the
     fitted vocabulary on (feature, idx); an unseen value's index has no
     vocabulary row, which is the all-zero block. No vector is densified. The
-    vocabulary's size is known on the driver, so it is broadcast only below
-    the bound.
+    vocabulary's byte size is known exactly on the driver, so it is broadcast
+    only when within the session's ``autoBroadcastJoinThreshold``; above it
+    the join shuffles on (feature, idx) (AQE splits a hot category).
     """
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(idx_col(c)).cast("int").alias("idx")) for c in cfg.feature_cols])
     long = indexed.select(F.col(key_col), F.inline(pairs))
-    side = F.broadcast(vocab) if vocab_rows <= BROADCAST_VOCAB_ROWS else vocab
+    limit = broadcast_limit(indexed.sparkSession)
+    side = F.broadcast(vocab) if 0 < vocab_bytes <= limit else vocab
     return long.join(side, ["feature", "idx"]).select(key_col, "feature", "slot", "slot_name")
 
 

@@ -210,9 +210,8 @@ def q_one_hot_long(spark, sf_dir):
     """H1-H3 applied to every usable row: its active one-hot slots."""
     prep, fm = _feature_model(spark, sf_dir)
     vocab = features.category_index_table(spark, fm, CFG)
-    n_vocab = sum(len(a) for a in features.labels_arrays(fm)[: len(CFG.feature_cols)])
     indexed = features.apply_indexers(fm, prep.labelled)
-    return features.one_hot_long(indexed, vocab, n_vocab, CFG, "row_id")
+    return features.one_hot_long(indexed, vocab, features.vocabulary_bytes(fm, CFG), CFG, "row_id")
 
 
 # ---- I, J: Naive Bayes ---------------------------------------------------------

@@ -64,9 +64,16 @@ def test_one_hot_matches_vector(spark):
     vocab = features.category_index_table(spark, fm, CFG)
     n_vocab = vocab.count()
     out = fm.transform(prep.labelled)
-    longform = features.one_hot_long(out, vocab, n_vocab, CFG, "row_id")
+    vbytes = features.vocabulary_bytes(fm, CFG)
+    assert 0 < vbytes <= features.broadcast_limit(spark)
+    longform = features.one_hot_long(out, vocab, vbytes, CFG, "row_id")
+    assert "BroadcastHashJoin" in longform._jdf.queryExecution().executedPlan().toString()
+    rows = longform.collect()
+    # above the bound the join shuffles; same rows
+    shuffled = features.one_hot_long(out, vocab, 1 << 62, CFG, "row_id")
+    assert sorted(map(tuple, shuffled.collect())) == sorted(map(tuple, rows))
     by_row = {}
-    for r in longform.collect():
+    for r in rows:
         by_row.setdefault(r["row_id"], set()).add(r["slot"])
     dense = out.select("row_id", vector_to_array("features").alias("a")).collect()
     assert len(dense[0]["a"]) == n_vocab
@@ -265,3 +272,14 @@ def test_metrics_rules_on_edge_confusion(spark):
     assert m["weighted_precision"] == pytest.approx(4 / 6 * p_a)
     assert m["weighted_recall"] == pytest.approx(4 / 6 * r_a)
     assert m["f1"] == pytest.approx(4 / 6 * f_a)
+
+
+def test_broadcast_limit_reads_session_setting(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    try:
+        for v, want in (("10MB", 10 << 20), ("-1", -1), ("2048", 2048), ("64k", 64 << 10)):
+            spark.conf.set(key, v)
+            assert features.broadcast_limit(spark) == want
+    finally:
+        spark.conf.set(key, old)
