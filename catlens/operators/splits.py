@@ -1,8 +1,9 @@
 """Train/test splits and materialisation.
 
 * ``hash``: a row is test when ``h % 100 >= 100 * (1 - f)``, where ``h`` is a
-  32-bit md5 prefix of the key. No shuffle, and the same rows land on each
-  side for any partitioning or cluster size.
+  32-bit md5 prefix of the key (without a key, 32 bits of xxhash64 of the raw
+  row). No shuffle, and the same rows land on each side for any
+  partitioning or cluster size.
 * ``random``: ``randomSplit`` as the original job does (depends on layout).
 * ``stratified``: per label exactly ``floor(f * n + 0.5)`` test rows, the
   first ones in ``(h, key)`` order. Exact and skew-free. Rows are counted per

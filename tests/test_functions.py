@@ -155,3 +155,21 @@ def test_clean_category_matches_rules_on_random_strings(spark):
     vals = _random_strings(4, "ab \t\n\r\x0bY1") + [None]
     got = _eval(spark, vals, clean_category)
     assert got == [py_clean(v) for v in vals]
+
+
+def test_keyless_row_hash_separates_null_positions(spark):
+    from catlens.operators.cleaning import row_hash
+
+    df = spark.createDataFrame(
+        [(None, "x"), ("x", None), (None, None), ("x", "x"), ("x", "x")], "a string, b string"
+    )
+    rows = df.select(row_hash(None, ["a", "b"]).alias("h"), row_hash(None, ["a", "b"], "s").alias("hs")).collect()
+    h = [r.h for r in rows]
+    assert len(set(h[:4])) == 4 and h[3] == h[4]
+    assert all(0 <= v < 2**32 for v in h)
+    assert [r.hs for r in rows] != h
+    # keyed: md5 prefix of the key text, as the SQL oracle computes it
+    k = spark.createDataFrame([(7,)], "k long").select(row_hash(F.col("k"), []).alias("h")).first().h
+    import hashlib
+
+    assert k == int(hashlib.md5(b"7").hexdigest()[:8], 16)
