@@ -7,6 +7,6 @@ expressions, so the batch operators apply unchanged to such a stream; this
 module only wires them up. No operator here has semantics of its own.
 """
 
-from catlens.streaming.scoring import read_csv_dir_stream, score_stream
+from catlens.streaming.scoring import read_csv_dir_stream, score_stream, write_scored_stream
 
-__all__ = ["read_csv_dir_stream", "score_stream"]
+__all__ = ["read_csv_dir_stream", "score_stream", "write_scored_stream"]

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from catlens.config import JobConfig
 from catlens.operators import cleaning, features, labels
+from catlens.session import scratch_path
 
 
 def read_csv_dir_stream(spark: SparkSession, path: str, columns: list[str], max_files_per_trigger: int | None = None) -> DataFrame:
@@ -31,3 +32,25 @@ def score_stream(stream: DataFrame, model: PipelineModel, top_codes: list[int],
     pred = features.index_to_label(model, model.transform(labelled))
     keep = ([cfg.key_col] if cfg.key_col else []) + list(cfg.sample_cols) + [cfg.hour_bucket_out, cfg.label_col, features.PREDICTED_LABEL]
     return pred.select(*[cleaning.qcol(c) for c in keep])
+
+
+def write_scored_stream(
+    scored: DataFrame, out_path: str, checkpoint_location: str | None = None, available_now: bool = False
+):
+    """Start the scored stream into a Parquet folder (A4 for a stream).
+
+    The file sink and the source offsets are tracked in
+    ``checkpoint_location``, by default a fresh folder under the session's
+    shared ``spark.checkpoint.dir``. Pass the same location again to
+    resume: files already committed are neither re-read nor written twice,
+    so a lost driver or executor means a restart, not duplicates.
+    ``available_now`` processes what is there and stops.
+    """
+    if checkpoint_location is None:
+        checkpoint_location = scratch_path(scored.sparkSession, "scored-stream-ckpt")
+    w = scored.writeStream.format("parquet").outputMode("append").option("path", out_path).option(
+        "checkpointLocation", checkpoint_location
+    )
+    if available_now:
+        w = w.trigger(availableNow=True)
+    return w.start()
