@@ -32,11 +32,21 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--key", default=None, help="unique row key column for the split")
     p.add_argument("--materialize", choices=["cache", "checkpoint", "none"], default="cache")
     p.add_argument("--model-out", default=None, help="folder to save the fitted model(s) in")
+    p.add_argument("--layout-partitions", type=int, default=None,
+                   help="fixed partition count of the forest's canonical layout (keep it between runs)")
+    p.add_argument("--no-canonical-layout", action="store_true",
+                   help="skip the forest's layout shuffle (trees then depend on the input layout)")
     a = p.parse_args(argv)
 
     spark = SparkSession.builder.appName("catlens").getOrCreate()
     df = read_csv_dir(spark, a.input) if a.format == "csv" else spark.read.parquet(a.input)
-    cfg = JobConfig(split=a.split, key_col=a.key, materialize=a.materialize)
+    cfg = JobConfig(
+        split=a.split,
+        key_col=a.key,
+        materialize=a.materialize,
+        layout_partitions=a.layout_partitions,
+        canonical_layout=not a.no_canonical_layout,
+    )
     kinds = ["nb", "rf"] if a.model == "both" else [a.model]
     for kind in kinds:
         res = job.run(spark, df, cfg, kind)
