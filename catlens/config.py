@@ -86,7 +86,9 @@ class JobConfig:
     layout_partitions: int | None = None
     # Without a key, identical training rows are counted once and re-emitted
     # in chunks of at most this many copies, each chunk placed on its own.
-    layout_chunk_rows: int = 100_000
+    # None: a quarter of a fair partition share, ceil(train rows / (4 x layout
+    # partitions)), with the row count taken from the fit's vocabulary counts.
+    layout_chunk_rows: int | None = None
 
     # "cache" (MEMORY_AND_DISK, recomputed from lineage after executor loss)
     # or "checkpoint" (reliable copy in spark.checkpoint.dir).

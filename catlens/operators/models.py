@@ -34,7 +34,19 @@ def classifier(cfg: JobConfig, kind: str):
     raise ValueError(f"unknown model {kind!r}")
 
 
-def canonical_layout(df: DataFrame, cfg: JobConfig) -> DataFrame:
+DEFAULT_CHUNK_ROWS = 100_000
+
+
+def layout_chunk_rows(cfg: JobConfig, partitions: int, n_rows: int | None) -> int:
+    """Most copies of one row placed together by the keyless layout."""
+    if cfg.layout_chunk_rows is not None:
+        return max(1, int(cfg.layout_chunk_rows))
+    if n_rows:
+        return max(1, -(-int(n_rows) // (4 * partitions)))
+    return DEFAULT_CHUNK_ROWS
+
+
+def canonical_layout(df: DataFrame, cfg: JobConfig, n_rows: int | None = None) -> DataFrame:
     """Fixed partitioning and order, so the forest's per-partition bootstrap
     draws do not depend on how the input happened to be split.
 
@@ -46,8 +58,9 @@ def canonical_layout(df: DataFrame, cfg: JobConfig) -> DataFrame:
     counted (partial aggregation map-side), each distinct row becomes
     ceil(copies / chunk) chunk rows, the chunk rows are hash-partitioned by
     (hash, chunk) and sorted, and only then expanded back to one row per
-    copy inside their partition. The forest sees the same rows, no partition
-    holds more than one chunk of any group, and the layout is still a
+    copy inside their partition. ``chunk`` defaults to a quarter of a fair
+    partition share of ``n_rows``. The forest sees the same rows, a hot group
+    is spread over many partitions chunk by chunk, and the layout is still a
     function of the data alone.
     """
     if not cfg.canonical_layout:
@@ -58,7 +71,7 @@ def canonical_layout(df: DataFrame, cfg: JobConfig) -> DataFrame:
         order = [F.col(SPLIT_HASH), qcol(cfg.key_col)]
         return df.repartition(p, F.col(SPLIT_HASH)).sortWithinPartitions(*order)
     cols = [qcol(c) for c in df.columns]
-    chunk = F.lit(int(cfg.layout_chunk_rows)).cast("long")
+    chunk = F.lit(layout_chunk_rows(cfg, p, n_rows)).cast("long")
     groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies"))
     chunks = groups.withColumn(
         "_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_copies") - 1) / chunk).cast("long")))
@@ -105,7 +118,8 @@ def fit(train: DataFrame, cfg: JobConfig, kind: str = "nb") -> PipelineModel:
     if kind == "nb":
         clf = nb_from_vocabulary(train.sparkSession, vocab, cfg)
     else:
-        clf = classifier(cfg, kind).fit(feats.transform(canonical_layout(train, cfg)))
+        n_train = sum(vocab.label_n.values())  # known from the counts, no extra pass
+        clf = classifier(cfg, kind).fit(feats.transform(canonical_layout(train, cfg, n_train)))
     return PipelineModel(stages=list(feats.stages) + [clf])
 
 
