@@ -283,3 +283,12 @@ def test_broadcast_limit_reads_session_setting(spark):
             assert features.broadcast_limit(spark) == want
     finally:
         spark.conf.set(key, old)
+
+
+def test_layout_chunk_rows_rule():
+    keyless = CFG.with_(key_col=None)
+    assert models.layout_chunk_rows(keyless.with_(layout_chunk_rows=7), 16, 10**9) == 7
+    assert models.layout_chunk_rows(keyless, 16, 6400) == 100  # a quarter of 6400 / 16
+    assert models.layout_chunk_rows(keyless, 16, 6401) == 101  # rounded up
+    assert models.layout_chunk_rows(keyless, 16, 3) == 1
+    assert models.layout_chunk_rows(keyless, 16, None) == models.DEFAULT_CHUNK_ROWS
