@@ -50,13 +50,18 @@ def _powers(kind: str, n: int) -> np.ndarray:
     return have
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte starts, byte ends and row numbers of all words of the texts data[offsets[i]:offsets[i+1]]."""
+#: White space and ASCII punctuation: a text's bare words.
+BARE = _SPACE.copy()
+BARE[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
+
+
+def words(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte starts, byte ends and row numbers of all words of the texts data[offsets[i]:offsets[i+1]]; `between` marks the bytes between words."""
     n = len(data)
     if not n:
         z = np.zeros(0, dtype=np.int64)
         return z, z, z
-    black = ~_SPACE[data]
+    black = ~between[data]
     full = offsets[:-1][offsets[1:] > offsets[:-1]]
     ends = offsets[1:][offsets[1:] > offsets[:-1]] - 1
     before, after = np.zeros(n, dtype=bool), np.zeros(n, dtype=bool)
