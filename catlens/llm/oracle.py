@@ -17,4 +17,58 @@ SELECT w.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(
 FROM w JOIN r ON r.a = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id GROUP BY w.doc_id
 """
 
-ORACLE_SQL = {"op3_ngram_join": OP3}
+OP7 = f"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS ws FROM documents
+), v AS (
+  SELECT doc_id, s, md5(array_to_string(ws[s:s+49], ' ')) AS h FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS s FROM w WHERE len(ws) >= 50)
+), f AS (SELECT h, min(doc_id) AS d FROM v GROUP BY h
+), c AS (SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS p FROM v JOIN f USING (h) WHERE d < doc_id
+), q AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM w
+), k AS (SELECT q.doc_id, string_agg(word, ' ' ORDER BY p) AS kept, count(*) AS n FROM q ANTI JOIN c USING (doc_id, p) GROUP BY q.doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)
+"""
+
+
+def _filled(level: int) -> str:
+    """One level of the water-filling: table l<level> with each node's budget as given."""
+    cols = ["domain", "lang", "source"][: level + 1]
+    part = f"PARTITION BY {', '.join(cols[:-1])}" if level else ""
+    source = f"n{level} JOIN l{level - 1} USING ({', '.join(cols[:-1])})" if level else "n0, total"
+    before = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    return f"""
+n{level} AS (SELECT {', '.join(cols)}, sum(tokens) * 2 AS capacity FROM leaf GROUP BY ALL),
+r{level} AS (SELECT {', '.join(cols)}, capacity, given,
+  (given - coalesce(sum(capacity) OVER (w {before}), 0)) / (count(*) OVER ({part}) - coalesce(count(*) OVER (w {before}), 0)) AS level
+  FROM {source} WINDOW w AS ({part} ORDER BY capacity, {cols[-1]})),
+l{level} AS (SELECT {', '.join(cols)}, CASE WHEN capacity <= level * (1 + 1e-12) THEN CAST(capacity AS DOUBLE)
+  ELSE least(CAST(capacity AS DOUBLE), max(CASE WHEN capacity > level * (1 + 1e-12) THEN level END) OVER ({part})) END AS given FROM r{level})"""
+
+
+OP5 = f"""
+WITH d AS (
+  SELECT doc_id, lang, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS BIGINT) AS n,
+         coalesce(nullif(regexp_extract(source, '^[A-Za-z]+'), ''), 'none') AS domain FROM documents
+), leaf AS (SELECT domain, lang, source, sum(n) AS tokens FROM d GROUP BY ALL
+), total AS (SELECT CAST(0.5 * sum(tokens) AS DOUBLE) AS given FROM leaf
+),{_filled(0)},{_filled(1)},{_filled(2)},
+plan AS (
+  SELECT domain, lang, source, tokens, CAST(floor(given + 1e-6) AS BIGINT) AS budget, CAST(floor(given + 1e-6) AS BIGINT) // greatest(tokens, 1) AS epochs
+  FROM leaf JOIN l2 USING (domain, lang, source)
+), k AS (
+  SELECT d.*, budget, epochs, budget - epochs * tokens AS rest, md5('5:' || epochs || ':' || doc_id) AS key FROM d JOIN plan USING (domain, lang, source)
+), t AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY domain, lang, source ORDER BY key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM k)
+SELECT doc_id, domain, lang, source, n AS n_tokens, budget, CAST(epochs + CASE WHEN before < rest THEN 1 ELSE 0 END AS BIGINT) AS copies FROM t
+"""
+
+OP10 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages
+), d AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest FROM p
+), t AS (SELECT payload_digest, max(page_id) AS top FROM d WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, d.payload_digest, CASE WHEN top <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN top <> page_id THEN top END AS refers_to
+FROM d LEFT JOIN t ON t.payload_digest = d.payload_digest AND d.payload_bytes >= 1000
+"""
+
+ORACLE_SQL = {"op3_ngram_join": OP3, "op5_hierarchical_mixing": OP5, "op7_fm_index_dedup": OP7, "op10_warc_index": OP10}
