@@ -6,7 +6,7 @@ serves any messy categorical table. Defaults are the ticket job's values.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # Fixed values of the ticket job (must equal the original job's choices).
 TICKET_CATEGORICAL_COLUMNS = (
@@ -45,8 +45,9 @@ class JobConfig:
     time_col: str = "Violation Time"
     year_col: str = "Vehicle Year"
     categorical_cols: tuple[str, ...] = TICKET_CATEGORICAL_COLUMNS
-    # Unique row key used by the hash split and for ordered output. None: a
-    # hash of the selected raw columns (duplicates then share a side).
+    # Row key used by the hash split and for ordered output (NULL keys are
+    # hashed by the row's content). None: a hash of the selected raw columns,
+    # and copies of a row are shared out between the sides.
     key_col: str | None = None
 
     # derived column names
@@ -82,20 +83,16 @@ class JobConfig:
     # rows so the forest does not depend on the input's file layout. Off: no
     # shuffle; the forest is then reproducible only for the same input layout.
     canonical_layout: bool = True
-    # Fixed partition count for that layout (None: spark.sql.shuffle.partitions).
-    layout_partitions: int | None = None
-    # Without a key, identical training rows are counted once and re-emitted
-    # in chunks of at most this many copies, each chunk placed on its own.
-    # None: a quarter of a fair partition share, ceil(train rows / (4 x layout
-    # partitions)), with the row count taken from the fit's vocabulary counts.
-    layout_chunk_rows: int | None = None
+    # Fixed partition count of that layout, whatever the session's settings
+    # (raise it with the data: a partition should fit an executor's memory).
+    layout_partitions: int = 32
+    # At most this many copies of one row are placed together.
+    layout_chunk_rows: int = 10_000
 
     # "cache" (MEMORY_AND_DISK, recomputed from lineage after executor loss)
     # or "checkpoint" (reliable copy in spark.checkpoint.dir).
     materialize: str = "cache"
 
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
-
     @property
     def feature_cols(self) -> tuple[str, ...]:
         if self.features is not None:

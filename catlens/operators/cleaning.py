@@ -34,29 +34,24 @@ def preview(df: DataFrame, n: int = 5, order_by: str | None = None) -> DataFrame
     return df.limit(n)
 
 
+def content_text(cols) -> Column:
+    """The row's raw values as one text, NULL kept apart from blank (fixed form, so SQL can reproduce it)."""
+    return F.concat_ws("\x1f", *[F.coalesce(qcol(c).cast("string"), F.lit("\\N")) for c in cols])
+
+
 def row_hash(key: Column | None, raw_cols, salt: str = "") -> Column:
-    """32-bit split hash in [0, 2^32).
-
-    With a key: the first 8 hex digits of md5 of the key's text (external SQL
-    can reproduce it). Without a key: the high 32 bits of ``xxhash64`` over
-    the row's raw values plus a bitmask of which are NULL (xxhash64 skips
-    NULLs, so the mask keeps (NULL, x) apart from (x, NULL)); native and
-    codegen'd, about a third of the cost of md5 over the row as JSON. Either
-    way the split does not depend on partitioning, and exact duplicates land
-    on the same side.
+    """32-bit split hash in [0, 2^32): the first 8 hex digits of an md5 that SQL can reproduce.
+
+    With a key: of the key's text; a NULL key falls back to the row's raw
+    values, so no row is without a hash. Without a key: of the row's raw
+    values. Either way the hash does not depend on partitioning.
     """
+    text = content_text(raw_cols)
     if key is not None:
-        text = key.cast("string")
-        if salt:
-            text = F.concat(F.lit(salt), text)
-        return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
-    cols = [qcol(c) for c in raw_cols]
-    masks = [
-        sum((F.when(c.isNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i, c in enumerate(cols[j : j + 62])), F.lit(0)).cast("long")
-        for j in range(0, len(cols), 62)
-    ]
-    h = F.xxhash64(*([F.lit(salt)] if salt else []), *cols, *masks)
-    return F.shiftrightunsigned(h, 32)
+        text = F.coalesce(key.cast("string"), F.concat(F.lit("\x1e"), text))
+    if salt:
+        text = F.concat(F.lit(salt), text)
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
 
 
 def with_code(df: DataFrame, cfg: JobConfig) -> DataFrame:

@@ -4,14 +4,25 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import NaiveBayes, RandomForestClassifier
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catlens.config import JobConfig
+from catlens.operators import splits
 from catlens.operators.cleaning import SPLIT_HASH, qcol
-from catlens.operators.features import FEATURES, LABEL, Vocabulary, feature_stages, fit_features, slot_names
+from catlens.operators.features import (
+    FEATURES,
+    LABEL,
+    ROWS,
+    Vocabulary,
+    category_index_table,
+    class_counts,
+    feature_stages,
+    fit_features,
+    slot_names,
+)
 
 
 def naive_bayes(cfg: JobConfig) -> NaiveBayes:
@@ -34,71 +45,54 @@ def classifier(cfg: JobConfig, kind: str):
     raise ValueError(f"unknown model {kind!r}")
 
 
-DEFAULT_CHUNK_ROWS = 100_000
-
-
-def layout_chunk_rows(cfg: JobConfig, partitions: int, n_rows: int | None) -> int:
-    """Most copies of one row placed together by the keyless layout."""
-    if cfg.layout_chunk_rows is not None:
-        return max(1, int(cfg.layout_chunk_rows))
-    if n_rows:
-        return max(1, -(-int(n_rows) // (4 * partitions)))
-    return DEFAULT_CHUNK_ROWS
-
-
-def canonical_layout(df: DataFrame, cfg: JobConfig, n_rows: int | None = None) -> DataFrame:
+def canonical_layout(df: DataFrame, cfg: JobConfig) -> DataFrame:
     """Fixed partitioning and order, so the forest's per-partition bootstrap
     draws do not depend on how the input happened to be split.
 
-    With a key: one hash shuffle into a fixed partition count (AQE leaves an
-    explicit count alone), then a local sort by (hash, key); no global sort.
-
-    Without a key, copies of a row share its hash, so hashing rows would put
-    a hot group of copies into one partition. Instead identical rows are
-    counted (partial aggregation map-side), each distinct row becomes
-    ceil(copies / chunk) chunk rows, the chunk rows are hash-partitioned by
-    (hash, chunk) and sorted, and only then expanded back to one row per
-    copy inside their partition. ``chunk`` defaults to a quarter of a fair
-    partition share of ``n_rows``. The forest sees the same rows, a hot group
-    is spread over many partitions chunk by chunk, and the layout is still a
-    function of the data alone.
+    Identical rows are counted (partial aggregation map-side), cut into
+    chunks of ``cfg.layout_chunk_rows`` copies, and the chunks are
+    hash-partitioned by (split hash, chunk), sorted, and only then expanded
+    back to one row per copy inside their partition. The forest sees the
+    same rows, a hot group of copies is spread over many partitions, and
+    the layout is a function of the data and ``cfg`` alone. The split hash is
+    taken over the whole row here, so a repeated key is spread as well.
     """
     if not cfg.canonical_layout:
         return df
-    spark = df.sparkSession
-    p = cfg.layout_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if cfg.key_col is not None:
-        order = [F.col(SPLIT_HASH), qcol(cfg.key_col)]
-        return df.repartition(p, F.col(SPLIT_HASH)).sortWithinPartitions(*order)
     cols = [qcol(c) for c in df.columns]
-    chunk = F.lit(layout_chunk_rows(cfg, p, n_rows)).cast("long")
     groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies"))
-    chunks = groups.withColumn(
-        "_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_copies") - 1) / chunk).cast("long")))
-    ).withColumn("_m", F.least(chunk, F.col("_copies") - F.col("_chunk") * chunk))
-    placed = chunks.repartition(p, F.col(SPLIT_HASH), F.col("_chunk")).sortWithinPartitions(
-        F.col(SPLIT_HASH), *cols, F.col("_chunk")
+    spread = groups.withColumn("_own", F.col(SPLIT_HASH)).withColumn(SPLIT_HASH, F.xxhash64(*cols))
+    placed = splits.expand_copies(spread, F.col("_copies"), cfg.layout_partitions, sort=True, chunk_rows=cfg.layout_chunk_rows)
+    return placed.withColumn(SPLIT_HASH, F.col("_own")).select(*cols)
+
+
+def class_slot_counts(counts: DataFrame, vocab: Vocabulary, cfg: JobConfig) -> DataFrame:
+    """(label, slot, slot_name, n) for every class and slot, 0 where the class never has the value.
+
+    Classes (at most k + 1) are a literal array, so this is classes x slots rows, the size of the model.
+    """
+    slots = category_index_table(counts, cfg).select("feature", "category", "slot", "slot_name")
+    grid = slots.withColumn(cfg.label_col, F.explode(F.array(*[F.lit(lab) for lab in vocab.labels])))
+    seen = counts.filter(F.col("feature") != ROWS)
+    return grid.join(seen, [cfg.label_col, "feature", "category"], "left").select(
+        cfg.label_col, "slot", "slot_name", F.coalesce("n", F.lit(0)).alias("n")
     )
-    return placed.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_m")))).select(*cols)
 
 
-def nb_from_vocabulary(spark: SparkSession, vocab: Vocabulary, cfg: JobConfig):
+def nb_from_counts(counts: DataFrame, vocab: Vocabulary, cfg: JobConfig):
     """I1 from the sufficient statistics: MLlib NaiveBayes fitted on one
     weighted row per class (weight n_c, features cnt_c / n_c), which gives
     the same class totals and per-slot sums as the full training rows (up to
-    one rounding of cnt / n_c * n_c)."""
-    slot = vocab.slot_of()
-    d = vocab.num_slots
-    per_label: dict[str, dict[int, float]] = {lab: {} for lab in vocab.labels}
-    for lab, feat, cat, n in vocab.rows:
-        j = slot[(feat, cat)]
-        per_label[lab][j] = per_label[lab].get(j, 0.0) + n
-    rows = []
-    for i, lab in enumerate(vocab.labels):
-        n_c = float(vocab.label_n[lab])
-        items = sorted(per_label[lab].items())
-        rows.append((float(i), n_c, Vectors.sparse(d, [j for j, _ in items], [v / n_c for _, v in items])))
-    compact = spark.createDataFrame(rows, ["label", "w", "features"])
+    one rounding of cnt / n_c * n_c). The class rows are made on the executors
+    from the counts; each holds one number per slot, as the model does."""
+    cells = class_slot_counts(counts, vocab, cfg)
+    rows = cells.groupBy(cfg.label_col).agg(F.array_sort(F.collect_list(F.struct("slot", "n"))).alias("cells"))
+    index = F.create_map(*[F.lit(x) for i, lab in enumerate(vocab.labels) for x in (lab, float(i))])
+    rows = rows.join(class_counts(counts, cfg).withColumnRenamed("n", "w"), cfg.label_col)
+    shares = F.transform("cells", lambda x: x["n"] / F.col("w"))
+    compact = rows.select(
+        F.element_at(index, F.col(cfg.label_col)).alias(LABEL), F.col("w").cast("double").alias("w"), array_to_vector(shares).alias(FEATURES)
+    )
     return naive_bayes(cfg).setWeightCol("w").fit(compact)
 
 
@@ -114,51 +108,38 @@ def fit(train: DataFrame, cfg: JobConfig, kind: str = "nb") -> PipelineModel:
         if kind == "rf":
             train = canonical_layout(train, cfg)
         return Pipeline(stages=feature_stages(cfg) + [classifier(cfg, kind)]).fit(train)
-    feats, vocab = fit_features(train, cfg)
+    feats, vocab, counts = fit_features(train, cfg)
     if kind == "nb":
-        clf = nb_from_vocabulary(train.sparkSession, vocab, cfg)
+        clf = nb_from_counts(counts, vocab, cfg)
     else:
-        n_train = sum(vocab.label_n.values())  # known from the counts, no extra pass
-        clf = classifier(cfg, kind).fit(feats.transform(canonical_layout(train, cfg, n_train)))
+        clf = classifier(cfg, kind).fit(feats.transform(canonical_layout(train, cfg)))
+    counts.unpersist()
     return PipelineModel(stages=list(feats.stages) + [clf])
 
 
-def nb_parameters(spark: SparkSession, pipeline_model: PipelineModel, labels: list[str], names: list[str]) -> tuple[DataFrame, DataFrame]:
-    """The fitted NB as tables: (target_label, log_prior) and
-    (target_label, slot_name, theta). Sizes: classes and classes x slots."""
-    nb = pipeline_model.stages[-1]
-    pi = nb.pi.toArray()
-    theta = nb.theta.toArray()
-    priors = spark.createDataFrame(
-        [(labels[i], float(pi[i])) for i in range(len(pi))],
-        T.StructType([T.StructField("target_label", T.StringType()), T.StructField("log_prior", T.DoubleType())]),
-    )
-    rows = [(labels[i], names[j], float(theta[i, j])) for i in range(theta.shape[0]) for j in range(theta.shape[1])]
-    thetas = spark.createDataFrame(
-        rows,
-        T.StructType(
-            [
-                T.StructField("target_label", T.StringType()),
-                T.StructField("slot_name", T.StringType()),
-                T.StructField("theta", T.DoubleType()),
-            ]
-        ),
-    )
-    return priors, thetas
+def nb_parameters(counts: DataFrame, vocab: Vocabulary, cfg: JobConfig) -> tuple[DataFrame, DataFrame]:
+    """I1 as tables from the vocabulary counts: (label, log_prior) and (label, slot_name, theta).
+
+    log_prior = ln(n_c + l) - ln(N + K l); theta = ln(cnt + l) - ln(sum of the class's cnt + D l).
+    Nothing is collected: the tables equal the fitted MLlib model's pi and theta.
+    """
+    lam, lab = cfg.smoothing, cfg.label_col
+    total, k, d = sum(vocab.label_n.values()), len(vocab.labels), vocab.num_slots
+    priors = class_counts(counts, cfg).select(lab, (F.log(F.col("n") + lam) - F.log(F.lit(total + k * lam))).alias("log_prior"))
+    cells = class_slot_counts(counts, vocab, cfg)
+    sums = cells.groupBy(lab).agg(F.sum("n").alias("all"))
+    theta = F.log(F.col("n") + lam) - F.log(F.col("all") + d * lam)
+    return priors, cells.join(sums, lab).select(lab, "slot_name", theta.alias("theta"))
 
 
-def feature_importances_named(spark: SparkSession, pipeline_model: PipelineModel, transformed: DataFrame, top: int | None = 10) -> DataFrame:
-    """(name, importance) of the forest's one-hot slots, biggest first.
+def feature_importances_named(spark: SparkSession, pipeline_model: PipelineModel, cfg: JobConfig, top: int | None = 10) -> DataFrame:
+    """(feature_name, importance) of the forest's one-hot slots, biggest first, ties by name.
 
-    Names come from the ``features`` column's ML metadata. The table has one
-    row per slot (model-sized), built from the driver-held model.
+    The forest holds its importances on the driver as one vector; ``top`` of them are picked there, so no more
+    than ``top`` rows are made (None: one row per slot).
     """
-    rf = pipeline_model.stages[-1]
-    names = slot_names(transformed, rf.numFeatures)
-    scores = rf.featureImportances.toArray()
-    df = spark.createDataFrame(
-        [(names[i], float(scores[i])) for i in range(len(names))],
-        T.StructType([T.StructField("feature_name", T.StringType()), T.StructField("importance", T.DoubleType())]),
-    )
-    df = df.orderBy(F.desc("importance"), F.asc("feature_name"))
-    return df.limit(top) if top is not None else df
+    scores = pipeline_model.stages[-1].featureImportances.toArray()
+    ranked = sorted(zip(slot_names(pipeline_model, cfg), (float(x) for x in scores)), key=lambda r: (-r[1], r[0]))
+    rows = ranked if top is None else ranked[:top]
+    schema = T.StructType([T.StructField("feature_name", T.StringType()), T.StructField("importance", T.DoubleType())])
+    return spark.createDataFrame(rows, schema).orderBy(F.desc("importance"), F.asc("feature_name"))

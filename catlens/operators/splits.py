@@ -1,51 +1,108 @@
 """Train/test splits and materialisation.
 
-* ``hash``: a row is test when ``h % 100 >= 100 * (1 - f)``, where ``h`` is a
-  32-bit md5 prefix of the key (without a key, 32 bits of xxhash64 of the raw
-  row). No shuffle, and the same rows land on each side for any
-  partitioning or cluster size.
+Every split is first an assignment: the rows with a boolean ``IS_TEST`` column
+(``assign``); ``split`` filters on it. No row is lost: a NULL key is hashed by
+the row's content, and train + test always hold every row.
+
+* ``hash``: a row is test when ``rank >= T``, where ``rank`` orders the 32-bit
+  hash ``h`` by (h % 100, h div 100) in [0, M) and ``T = ceil((1 - f) * M)``; whole
+  percents are ``h % 100 >= 100 * (1 - f)`` and any other share is met to
+  1 / M. Narrow; the same rows land on each side for any cluster size. A key
+  that repeats keeps its rows on one side. Without a key equal rows are
+  counted (partial aggregation) and ``floor((n * (M - T) + rank) / M)`` of n copies go
+  to test, which is the rule above for n = 1 and keeps the share for any n.
 * ``random``: ``randomSplit`` as the original job does (depends on layout).
 * ``stratified``: per label exactly ``floor(f * n + 0.5)`` test rows, the
-  first ones in ``(h, key)`` order. Exact and skew-free. Rows are counted per
-  (label, hash bucket) with partial aggregation, a tiny per-label table finds
-  the bucket where the quota is crossed, and a running count runs only inside
-  that one boundary bucket per label (about n / buckets rows, copies counted
-  once), which yields one threshold tuple per label. Neither a hot label nor
-  a hot group of copies goes through one task whole, and the split itself is
-  a narrow filter against k + 1 literals.
-  Without a key the row's cleaned content breaks hash ties, so identical
-  rows stay together (the quota then holds up to that group's size).
+  first ones in ``(h, key, content)`` order; of copies at the border just as many
+  as are needed. Rows are counted per (label, hash bucket) with partial
+  aggregation, a tiny per-label table finds the bucket where the quota is
+  crossed, and a running count runs only inside that one boundary bucket per
+  label (about n / buckets rows, copies counted once), which yields one
+  threshold tuple per label. Neither a hot label nor a hot group of copies
+  goes through one task whole.
 """
 
 from __future__ import annotations
 
 import math
+from decimal import ROUND_CEILING, Decimal
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catlens.config import JobConfig
 from catlens.operators.cleaning import SPLIT_HASH, qcol
-from catlens.session import checkpoint_dir
+from catlens.session import scratch_path
 
 TRAIN = "train"
 TEST = "test"
 HASH_BITS = 32
 
 
-def train_percent(test_fraction: float) -> int:
-    return int(round(100 * (1.0 - test_fraction)))
+IS_TEST = "_is_test"
+# M: the number of hash ranks; 100 blocks (h % 100) of the values h div 100 can take.
+RANK_BLOCK = 42_949_673
+RANKS = 100 * RANK_BLOCK
+# Copies of one row that are expanded in one place.
+CHUNK_ROWS = 10_000
 
 
-def is_test_hash(test_fraction: float):
-    return (F.col(SPLIT_HASH) % 100) >= train_percent(test_fraction)
+def rank_threshold(test_fraction: float) -> int:
+    """T: ranks at or above it are test."""
+    return int(((1 - Decimal(str(test_fraction))) * RANKS).to_integral_value(ROUND_CEILING))
 
 
-def split_hash(df: DataFrame, test_fraction: float) -> tuple[DataFrame, DataFrame]:
-    """G1: deterministic hash split (narrow; no shuffle)."""
-    t = is_test_hash(test_fraction)
-    return df.filter(~t), df.filter(t)
+def hash_rank() -> Column:
+    h = F.col(SPLIT_HASH)
+    return (h % 100) * RANK_BLOCK + F.floor(h / 100)
+
+
+def is_test_hash(test_fraction: float) -> Column:
+    return hash_rank() >= F.lit(rank_threshold(test_fraction))
+
+
+def expand_copies(df: DataFrame, n: Column, partitions: int | None = None, sort: bool = False, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Each row n times (not at all for n < 1), in chunks of ``chunk_rows`` copies.
+
+    No array is longer than ``chunk_rows``: chunks are numbered in two steps. With
+    ``partitions`` the chunks are hash-partitioned by (split hash, chunk) before they
+    are expanded, so a hot row is spread, and with ``sort`` each partition is put in order.
+    """
+    cols = [qcol(c) for c in df.columns]
+    c = F.lit(chunk_rows).cast("long")
+    outer = df.withColumn("_n", n.cast("long")).filter("_n > 0")
+    outer = outer.withColumn("_c2", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / (c * c)).cast("long"))))
+    outer = outer.withColumn("_n", F.least(c * c, F.col("_n") - F.col("_c2") * c * c))
+    inner = outer.withColumn("_c1", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / c).cast("long"))))
+    inner = inner.withColumn("_n", F.least(c, F.col("_n") - F.col("_c1") * c))
+    if partitions:
+        inner = inner.repartition(partitions, F.col(SPLIT_HASH), F.col("_c2"), F.col("_c1"))
+    if sort:
+        inner = inner.sortWithinPartitions(F.col(SPLIT_HASH), *cols, F.col("_c2"), F.col("_c1"))
+    return inner.withColumn("_c0", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).select(*cols)
+
+
+def _copies_to_sides(groups: DataFrame, n: str, n_test: Column) -> DataFrame:
+    """groups (distinct rows with a count n) back to rows with IS_TEST: n_test copies are test, the rest train."""
+    t = n_test.cast("long")
+    sides = F.array(
+        F.struct(F.lit(True).alias(IS_TEST), t.alias("_side_n")), F.struct(F.lit(False).alias(IS_TEST), (F.col(n) - t).alias("_side_n"))
+    )
+    cols = [qcol(c) for c in groups.columns if c != n]
+    flat = groups.select(*cols, F.col(n), F.explode(sides).alias("_s")).select(*cols, F.col(f"_s.{IS_TEST}").alias(IS_TEST), F.col("_s._side_n").alias("_side_n"))
+    p = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return expand_copies(flat, F.col("_side_n"), p).select(*cols, F.col(IS_TEST))
+
+
+def assign_hash(df: DataFrame, test_fraction: float, keyed: bool = True) -> DataFrame:
+    """G1: narrow with a key; without one, copies are counted and shared out."""
+    if keyed:
+        return df.withColumn(IS_TEST, is_test_hash(test_fraction))
+    t = rank_threshold(test_fraction)
+    groups = df.groupBy(*[qcol(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
+    wide = F.col("_copies").cast("decimal(20,0)") * F.lit(RANKS - t).cast("decimal(12,0)") + hash_rank().cast("decimal(12,0)")
+    return _copies_to_sides(groups.withColumn("_wide", wide), "_copies", F.expr(f"_wide div {RANKS}")).drop("_wide")
 
 
 def split_random(df: DataFrame, test_fraction: float, seed: int) -> tuple[DataFrame, DataFrame]:
@@ -84,106 +141,114 @@ def stratified_plan(df: DataFrame, label_col: str, test_fraction: float, bucket_
     return best.select(label_col, F.col("s._b").alias("_b_star"), F.col("s.need").alias("_need"))
 
 
-def _tie_cols(df: DataFrame, key_col: str | None, label_col: str, content_cols=None) -> list[str]:
-    """Order after the hash: the unique key, else the row's cleaned content
-    (never NULL; identical rows are interchangeable and stay on one side)."""
-    if key_col is not None:
-        return [key_col]
-    if content_cols is not None:
-        return list(content_cols)
-    return [c for c in df.columns if c not in (SPLIT_HASH, label_col)]
+def _tie_cols(df: DataFrame, key_col: str | None, label_col: str) -> list[str]:
+    """Order after the hash: the key, then the row's cleaned content; rows equal in all of them are copies."""
+    rest = [c for c in df.columns if c not in (SPLIT_HASH, label_col, key_col)]
+    return ([key_col] if key_col is not None else []) + rest
+
+
+def _is_row(values: tuple, names: list[str], types: dict) -> Column:
+    """Whether the row has exactly these values (NULL-safe)."""
+    out = F.lit(True)
+    for n, v in zip(names, values):
+        out = out & qcol(n).eqNullSafe(F.lit(v).cast(types[n]))
+    return out
+
+
+def _before_row(values: tuple, names: list[str], types: dict) -> Column:
+    """Whether the row comes before these values, column by column, NULL first."""
+    out = F.lit(False)
+    for n, v in zip(reversed(names), reversed(values)):
+        x, y = qcol(n), F.lit(v).cast(types[n])
+        less = F.coalesce(x < y, F.lit(False)) if v is not None else F.lit(False)
+        less = (less | x.isNull()) if v is not None else less
+        out = less | (x.eqNullSafe(y) & out)
+    return out
 
 
 def stratified_thresholds(
-    df: DataFrame, label_col: str, test_fraction: float, key_col: str | None, bucket_bits: int, content_cols=None
-) -> dict:
-    """label -> the last test row's (hash, tie...) tuple, i.e. the m-th row in
-    (hash, tie) order. Two passes: bucket counts, and a running count over only
-    the boundary bucket of each label (about n_label / 2^bits rows). The
-    result has at most k + 1 entries."""
+    df: DataFrame, label_col: str, test_fraction: float, key_col: str | None, bucket_bits: int
+) -> list[tuple]:
+    """(label, (hash, tie...) of the last test row, copies of it, copies that are test) for every label with
+    a quota, i.e. the m-th row in (hash, tie) order. Two passes: bucket counts,
+    and a running count over only the boundary bucket of each label (about
+    n_label / 2^bits rows). At most k + 1 entries."""
     plan = stratified_plan(df, label_col, test_fraction, bucket_bits).collect()
     if not plan:
-        return {}
+        return []
     b_star = F.create_map(*[x for r in plan for x in (F.lit(r[0]), F.lit(r[1]))])
     need = F.create_map(*[x for r in plan for x in (F.lit(r[0]), F.lit(r[2]))])
-    tie = _tie_cols(df, key_col, label_col, content_cols)
-    order = [F.col(SPLIT_HASH)] + [qcol(c) for c in tie]
+    names = [SPLIT_HASH, *_tie_cols(df, key_col, label_col)]
     boundary = df.filter(_bucket(bucket_bits) == F.element_at(b_star, F.col(label_col)))
-    # Copies (equal hash and tie values, possible without a key) collapse to
-    # one row with a count, partially aggregated map-side, so a hot group of
-    # identical rows never reaches the window task whole. The threshold is
-    # the tuple whose running count first reaches the quota.
-    tuples = boundary.groupBy(label_col, SPLIT_HASH, *[qcol(c) for c in tie]).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(label_col).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = tuples.withColumn("_cum", F.sum("_n").over(w))
+    # Copies collapse to one row with a count, partially aggregated map-side,
+    # so a hot group of identical rows never reaches the window task whole.
+    tuples = boundary.groupBy(label_col, *[qcol(c) for c in names]).agg(F.count(F.lit(1)).alias("_copies"))
+    w = Window.partitionBy(label_col).orderBy(*[qcol(c) for c in names]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = tuples.withColumn("_cum", F.sum("_copies").over(w))
     m = F.element_at(need, F.col(label_col))
-    picked = ranked.filter((F.col("_cum") >= m) & (F.col("_cum") - F.col("_n") < m))
-    rows = picked.select(label_col, SPLIT_HASH, *[qcol(c) for c in tie]).collect()
-    return {r[0]: tuple(r[1:]) for r in rows}
-
-
-def is_test_stratified(thresholds: dict, label_col: str, tie: list[str], types: dict):
-    """Row is test when its (hash, tie...) struct is at or below its label's
-    threshold struct: one lexicographic struct comparison against a
-    (label -> threshold) map literal, each column referenced once."""
-    if not thresholds:
-        return F.lit(False)
-    names = [SPLIT_HASH] + list(tie)
-
-    def as_struct(values):
-        return F.struct(*[F.lit(v).cast(types[n]).alias(f"f{i}") for i, (n, v) in enumerate(zip(names, values))])
-
-    row = F.struct(*[qcol(n).alias(f"f{i}") for i, n in enumerate(names)])
-    lookup = F.create_map(*[x for label, values in thresholds.items() for x in (F.lit(label), as_struct(values))])
-    return row <= F.element_at(lookup, F.col(label_col))
-
-
-def split_stratified(
-    df: DataFrame,
-    label_col: str,
-    test_fraction: float,
-    key_col: str | None,
-    bucket_bits: int | None = None,
-    max_label_rows: int | None = None,
-    content_cols=None,
-) -> tuple[DataFrame, DataFrame]:
-    """Exact stratified split (see module doc); train and test are narrow
-    filters over ``df`` with the per-label thresholds inlined as literals.
-    ``content_cols`` (NULL-free) break hash ties when there is no key."""
+    picked = ranked.filter((F.col("_cum") >= m) & (F.col("_cum") - F.col("_copies") < m))
+    rows = picked.select(label_col, F.col("_copies"), (m - F.col("_cum") + F.col("_copies")).alias("_take"), *[qcol(c) for c in names]).collect()
+    return [(r[0], tuple(r[3:]), r[1], r[2]) for r in rows]
+
+
+def assign_stratified(
+    df: DataFrame, label_col: str, test_fraction: float, key_col: str | None, bucket_bits: int | None = None, max_label_rows: int | None = None
+) -> DataFrame:
+    """Exact stratified assignment (see module doc): narrow comparisons with one threshold row per
+    label; only the copies of a threshold row that lies on both sides are counted and expanded."""
     if bucket_bits is None:
         if max_label_rows is None:
             max_label_rows = df.groupBy(label_col).count().agg(F.max("count")).first()[0] or 1
         bucket_bits = auto_bucket_bits(max_label_rows)
-    thresholds = stratified_thresholds(df, label_col, test_fraction, key_col, bucket_bits, content_cols)
-    tie = _tie_cols(df, key_col, label_col, content_cols)
+    thresholds = stratified_thresholds(df, label_col, test_fraction, key_col, bucket_bits)
+    names = [SPLIT_HASH, *_tie_cols(df, key_col, label_col)]
     types = {f.name: f.dataType for f in df.schema.fields}
-    t = F.coalesce(is_test_stratified(thresholds, label_col, tie, types), F.lit(False))
-    return df.filter(~t), df.filter(t)
+    test, cut, take = F.lit(False), F.lit(False), F.lit(0)
+    for label, values, copies, n in thresholds:
+        mine = F.col(label_col).eqNullSafe(F.lit(label))
+        test = test | (mine & (_before_row(values, names, types) | (_is_row(values, names, types) & F.lit(copies == n))))
+        if copies != n:
+            cut = cut | (mine & _is_row(values, names, types))
+            take = F.when(mine, F.lit(n)).otherwise(take)
+    if all(copies == n for _, _, copies, n in thresholds):
+        return df.withColumn(IS_TEST, test)
+    groups = df.filter(cut).groupBy(*[qcol(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
+    return df.filter(~cut).withColumn(IS_TEST, test).unionByName(_copies_to_sides(groups, "_copies", take))
+
+
+def assign(df: DataFrame, cfg: JobConfig, max_label_rows: int | None = None) -> DataFrame:
+    """The rows with IS_TEST (hash and stratified splits)."""
+    if cfg.split == "hash":
+        return assign_hash(df, cfg.test_fraction, cfg.key_col is not None)
+    if cfg.split == "stratified":
+        bits = None if cfg.stratify_buckets is None else max(1, int(cfg.stratify_buckets - 1).bit_length())
+        return assign_stratified(df, cfg.label_col, cfg.test_fraction, cfg.key_col, bits, max_label_rows)
+    raise ValueError(f"unknown split {cfg.split!r}")
+
+
+def sides(assigned: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(train, test) of assigned rows."""
+    return assigned.filter(~F.col(IS_TEST)).drop(IS_TEST), assigned.filter(F.col(IS_TEST)).drop(IS_TEST)
 
 
 def split(df: DataFrame, cfg: JobConfig, max_label_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
-    if cfg.split == "hash":
-        return split_hash(df, cfg.test_fraction)
     if cfg.split == "random":
         return split_random(df, cfg.test_fraction, cfg.seed)
-    if cfg.split == "stratified":
-        bits = None if cfg.stratify_buckets is None else max(1, int(cfg.stratify_buckets - 1).bit_length())
-        content = (cfg.code_out, cfg.hour_bucket_out, cfg.year_bucket_out, *cfg.categorical_cols)
-        return split_stratified(df, cfg.label_col, cfg.test_fraction, cfg.key_col, bits, max_label_rows, content)
-    raise ValueError(f"unknown split {cfg.split!r}")
+    return sides(assign(df, cfg, max_label_rows))
 
 
-def materialize(df: DataFrame, how: str = "cache") -> DataFrame:
+def materialize(df: DataFrame, how: str = "cache", path: str | None = None) -> DataFrame:
     """Persist once. ``cache`` keeps MEMORY_AND_DISK blocks (lost blocks are
-    recomputed from the short lineage); ``checkpoint`` writes a reliable copy to
-    the session's shared checkpoint folder and cuts the lineage."""
+    recomputed from the short lineage); ``checkpoint`` writes a reliable copy as Parquet to
+    ``path`` (default: a new folder in the session's shared folder) and cuts the lineage; the caller deletes it."""
     if how == "cache":
         out = df.persist(StorageLevel.MEMORY_AND_DISK)
         out.count()
         return out
     if how == "checkpoint":
-        checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
+        path = path or scratch_path(df.sparkSession, "materialized")
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
     if how in ("none", None):
         return df
     raise ValueError(f"unknown materialize mode {how!r}")
