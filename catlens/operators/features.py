@@ -10,11 +10,12 @@ an all-zero block and every training category keeps its own slot.
 from __future__ import annotations
 
 from pyspark.ml.feature import IndexToString, OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from catlens.config import JobConfig
+from catlens.operators.cleaning import qcol
 
 FEATURES = "features"
 LABEL = "label"
@@ -71,7 +72,7 @@ def vocabulary_counts(train: DataFrame, cfg: JobConfig) -> DataFrame:
     size of the fitted model, not of the data. It gives both the indexer's
     frequency order and the Naive Bayes sufficient statistics.
     """
-    pairs = [F.struct(F.lit(c).alias("feature"), F.col(c).alias("category")) for c in cfg.feature_cols]
+    pairs = [F.struct(F.lit(c).alias("feature"), qcol(c).alias("category")) for c in cfg.feature_cols]
     # plus one row-count entry per row, so class totals do not depend on
     # any feature being non-NULL (NULLs are not vocabulary, as in StringIndexer)
     pairs.append(F.struct(F.lit(ROWS).alias("feature"), F.lit("").alias("category")))
@@ -83,27 +84,37 @@ def vocabulary_counts(train: DataFrame, cfg: JobConfig) -> DataFrame:
     )
 
 
+def category_counts(counts: DataFrame) -> DataFrame:
+    """(feature, category, n) of the vocabulary counts, labels summed up."""
+    return counts.filter(F.col("feature") != ROWS).groupBy("feature", "category").agg(F.sum("n").alias("n"))
+
+
+def class_counts(counts: DataFrame, cfg: JobConfig) -> DataFrame:
+    """(label, n): training rows per class (at most k + 1 rows)."""
+    return counts.filter(F.col("feature") == ROWS).select(F.col(cfg.label_col), "n")
+
+
 def _freq_order(counts: dict) -> list[str]:
     """Frequency descending, ties by value in UTF-16 code-unit order (the
     order StringIndexer uses)."""
     return [v for v, _ in sorted(counts.items(), key=lambda kv: (-kv[1], kv[0].encode("utf-16-be")))]
 
 
+def _by_frequency(value: str) -> list:
+    """The same order as columns."""
+    return [F.desc("n"), F.encode(F.col(value), "UTF-16BE").asc()]
+
+
 class Vocabulary:
-    """Collected vocabulary counts (model-sized) and the derived orders."""
+    """The label arrays that MLlib's indexer models hold (feature vocabularies and classes)."""
 
-    def __init__(self, rows, cfg: JobConfig):
+    def __init__(self, categories, classes, cfg: JobConfig):
         self.cfg = cfg
-        self.rows = [r for r in rows if r[1] != ROWS]
         per_feature: dict[str, dict[str, int]] = {c: {} for c in cfg.feature_cols}
-        label_n: dict[str, int] = {}
-        for lab, feat, cat, n in rows:
-            if feat == ROWS:
-                label_n[lab] = label_n.get(lab, 0) + n
-            else:
-                per_feature[feat][cat] = per_feature[feat].get(cat, 0) + n
-        self.label_n = label_n
-        self.labels = _freq_order(label_n)
+        for feat, cat, n in categories:
+            per_feature[feat][cat] = n
+        self.label_n = dict(classes)
+        self.labels = _freq_order(self.label_n)
         self.arrays = [_freq_order(per_feature[c]) for c in cfg.feature_cols]
 
     def indexers(self) -> list[StringIndexerModel]:
@@ -117,26 +128,24 @@ class Vocabulary:
         out.append(StringIndexerModel.from_labels(self.labels, inputCol=self.cfg.label_col, outputCol=LABEL, handleInvalid="keep"))
         return out
 
-    def slot_of(self) -> dict[tuple[str, str], int]:
-        out, offset = {}, 0
-        for c, arr in zip(self.cfg.feature_cols, self.arrays):
-            for i, v in enumerate(arr):
-                out[(c, v)] = offset + i
-            offset += len(arr)
-        return out
-
     @property
     def num_slots(self) -> int:
         return sum(len(a) for a in self.arrays)
 
 
-def fit_vocabulary(train: DataFrame, cfg: JobConfig) -> Vocabulary:
-    return Vocabulary([tuple(r) for r in vocabulary_counts(train, cfg).collect()], cfg)
+def fit_vocabulary(train: DataFrame, cfg: JobConfig) -> tuple[Vocabulary, DataFrame]:
+    """The vocabulary and the persisted counts it comes from (labels x vocabulary rows; the caller unpersists).
+
+    To the driver go one row per category, which MLlib's indexer models hold there anyway, and one per class.
+    """
+    counts = vocabulary_counts(train, cfg).persist(StorageLevel.MEMORY_AND_DISK)
+    categories = [tuple(r) for r in category_counts(counts).collect()]
+    return Vocabulary(categories, [tuple(r) for r in class_counts(counts, cfg).collect()], cfg), counts
 
 
 def fit_features(train: DataFrame, cfg: JobConfig):
     """H1-H4 fitted on the training rows: (PipelineModel of indexers, encoder
-    and assembler, Vocabulary or None).
+    and assembler, Vocabulary or None, vocabulary counts or None).
 
     With ``cfg.fit_from_counts`` the indexers come from one aggregation of
     vocabulary counts and the encoder reads only their metadata (no pass);
@@ -145,14 +154,14 @@ def fit_features(train: DataFrame, cfg: JobConfig):
     from pyspark.ml import Pipeline, PipelineModel
 
     if not cfg.fit_from_counts:
-        return Pipeline(stages=feature_stages(cfg)).fit(train), None
-    vocab = fit_vocabulary(train, cfg)
+        return Pipeline(stages=feature_stages(cfg)).fit(train), None, None
+    vocab, counts = fit_vocabulary(train, cfg)
     stages = vocab.indexers()
     indexed = train
     for m in stages:
         indexed = m.transform(indexed)
     encoder = one_hot_stage(cfg).fit(indexed)
-    return PipelineModel(stages=stages + [encoder, assemble_stage(cfg)]), vocab
+    return PipelineModel(stages=stages + [encoder, assemble_stage(cfg)]), vocab, counts
 
 
 def indexer_models(pipeline_model) -> list[StringIndexerModel]:
@@ -185,74 +194,46 @@ def index_to_label(pipeline_model, df: DataFrame) -> DataFrame:
     ).transform(df)
 
 
-def category_index_table(spark: SparkSession, pipeline_model, cfg: JobConfig) -> DataFrame:
-    """(feature, category, idx, slot, slot_name) of the fitted vocabulary.
+def category_index_table(counts: DataFrame, cfg: JobConfig) -> DataFrame:
+    """(feature, category, idx, slot, slot_name) from the vocabulary counts, without a collect of categories.
 
-    Built from the model's label arrays, i.e. from the driver-held model
-    (size = vocabulary, not rows). ``slot`` is the position in ``features``.
+    ``slot`` is the position in ``features``: the index plus the sizes of the
+    blocks before (one size per feature goes to the driver). The window runs
+    over one feature's vocabulary.
     """
-    arrays = labels_arrays(pipeline_model)
-    rows = []
-    offset = 0
-    for c, labels in zip(cfg.feature_cols, arrays):
-        for i, v in enumerate(labels):
-            rows.append((c, v, i, offset + i, f"{vec_col(c)}_{v}"))
-        offset += len(labels)
-    schema = T.StructType(
-        [
-            T.StructField("feature", T.StringType(), False),
-            T.StructField("category", T.StringType(), False),
-            T.StructField("idx", T.IntegerType(), False),
-            T.StructField("slot", T.IntegerType(), False),
-            T.StructField("slot_name", T.StringType(), False),
-        ]
-    )
-    return spark.createDataFrame(rows, schema)
-
-
-def vocabulary_bytes(pipeline_model, cfg: JobConfig) -> int:
-    """Size of ``category_index_table`` in bytes, counted on the driver from
-    the fitted label arrays: UTF-8 text of feature, category and slot name
-    plus 32 bytes of fixed fields and overhead per row."""
-    total = 0
-    for c, arr in zip(cfg.feature_cols, labels_arrays(pipeline_model)):
-        fb, pb = len(c.encode()), len(vec_col(c).encode()) + 1
-        total += sum(fb + pb + 2 * len(v.encode()) + 32 for v in arr)
-    return total
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    """The session's broadcast bound in bytes (-1 or 0: never broadcast)."""
-    v = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-    for u in sorted(units, key=len, reverse=True):
-        if v.endswith(u) and v[: -len(u)].strip().lstrip("-").isdigit():
-            return int(v[: -len(u)]) * units[u]
-    return int(v)
-
-
-def one_hot_long(indexed: DataFrame, vocab: DataFrame, vocab_bytes: int, cfg: JobConfig, key_col: str) -> DataFrame:
-    """(key, feature, slot, slot_name) of every active one-hot slot.
-
-    The index columns are unpivoted to (key, feature, idx) and joined to the
-    fitted vocabulary on (feature, idx); an unseen value's index has no
-    vocabulary row, which is the all-zero block. No vector is densified. The
-    vocabulary's byte size is known exactly on the driver, so it is broadcast
-    only when within the session's ``autoBroadcastJoinThreshold``; above it
-    the join shuffles on (feature, idx) (AQE splits a hot category).
+    ranked = category_counts(counts).withColumn("idx", (F.row_number().over(Window.partitionBy("feature").orderBy(*_by_frequency("category"))) - 1).cast("int"))
+    sizes = {r[0]: r[1] for r in category_counts(counts).groupBy("feature").count().collect()}
+    offset, offsets = 0, []
+    for c in cfg.feature_cols:
+        offsets += [F.lit(c), F.lit(offset)]
+        offset += sizes.get(c, 0)
+    slot = (F.col("idx") + F.element_at(F.create_map(*offsets), F.col("feature"))).cast("int")
+    return ranked.select("feature", "category", "idx", slot.alias("slot"), F.concat("feature", F.lit(vec_col("")), F.lit("_"), "category").alias("slot_name"))
+
+
+def label_index_table(counts: DataFrame, cfg: JobConfig) -> DataFrame:
+    """H4: (label, label_idx) of the at most k + 1 classes."""
+    rank = F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(*_by_frequency(cfg.label_col))) - 1
+    return class_counts(counts, cfg).select(F.col(cfg.label_col), rank.cast("int").alias("label_idx"))
+
+
+def one_hot_long(indexed: DataFrame, pipeline_model, cfg: JobConfig, key_col: str) -> DataFrame:
+    """(key, feature, slot, slot_name) of every active one-hot slot: one narrow projection.
+
+    The slot is the block's offset plus the row's index, its name is the
+    row's own value, and an index equal to the block's size (unseen value)
+    is the all-zero block.
     """
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(idx_col(c)).cast("int").alias("idx")) for c in cfg.feature_cols])
-    long = indexed.select(F.col(key_col), F.inline(pairs))
-    limit = broadcast_limit(indexed.sparkSession)
-    side = F.broadcast(vocab) if 0 < vocab_bytes <= limit else vocab
-    return long.join(side, ["feature", "idx"]).select(key_col, "feature", "slot", "slot_name")
-
-
-def slot_names(df_with_features: DataFrame, num_features: int) -> list[str]:
-    """Slot names from the assembled vector's ML attribute metadata."""
-    names = [None] * num_features
-    attrs = df_with_features.schema[FEATURES].metadata["ml_attr"]["attrs"]
-    for group in attrs.values():
-        for a in group:
-            names[a["idx"]] = a["name"]
-    return names
+    offset, blocks = 0, []
+    for c, labels in zip(cfg.feature_cols, labels_arrays(pipeline_model)):
+        idx = F.col(idx_col(c)).cast("int")
+        name = F.concat(F.lit(f"{vec_col(c)}_"), qcol(c))
+        blocks.append(F.struct(F.lit(c).alias("feature"), F.when(idx < len(labels), idx + offset).alias("slot"), name.alias("slot_name")))
+        offset += len(labels)
+    long = indexed.select(F.col(key_col), F.inline(F.array(*blocks)))
+    return long.filter(F.col("slot").isNotNull())
+
+
+def slot_names(pipeline_model, cfg: JobConfig) -> list[str]:
+    """Slot names of the fitted model, in slot order: its label arrays are the blocks."""
+    return [f"{vec_col(c)}_{v}" for c, labels in zip(cfg.feature_cols, labels_arrays(pipeline_model)) for v in labels]

@@ -8,6 +8,7 @@ second pass over the rows.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -70,16 +71,11 @@ class Labeller:
         self.freq: DataFrame | None = None
         self.top_codes: list[int] = []
 
-    def fit(self, cleaned: DataFrame, persist: bool = False) -> "Labeller":
-        """One aggregation of the code counts; the k top codes go to the driver.
-        ``persist`` keeps the (one row per code) counts for the label counts
-        and baseline that follow."""
-        from pyspark import StorageLevel
-
+    def fit(self, cleaned: DataFrame) -> "Labeller":
+        """One aggregation of the code counts, kept (one row per code) for the label counts
+        and baseline that follow; the k top codes go to the driver."""
         cfg = self.cfg
-        self.freq = code_frequency(cleaned, cfg.code_out)
-        if persist:
-            self.freq = self.freq.persist(StorageLevel.MEMORY_AND_DISK)
+        self.freq = code_frequency(cleaned, cfg.code_out).persist(StorageLevel.MEMORY_AND_DISK)
         self.top_codes = collect_top_codes(self.freq, cfg.code_out, cfg.top_n_classes)
         return self
 

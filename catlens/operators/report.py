@@ -59,6 +59,7 @@ SUMMARY_SCHEMA = T.StructType(
         T.StructField("prep_seconds", T.DoubleType()),
         T.StructField("train_seconds", T.DoubleType()),
         T.StructField("total_seconds", T.DoubleType()),
+        T.StructField("run_seconds", T.DoubleType()),
         T.StructField("accuracy", T.DoubleType()),
         T.StructField("f1", T.DoubleType()),
         T.StructField("weighted_precision", T.DoubleType()),

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from catlens.config import JobConfig
 from catlens.operators import cleaning, features, labels, metrics, models, report, splits
+from catlens.session import delete_path, path_exists, scratch_path
 
 
 @dataclass
@@ -32,12 +33,24 @@ class Prepared:
     labeller: labels.Labeller
     counts: DataFrame
     baseline: DataFrame
+    written: str | None = None
+
+    def _max_label_rows(self) -> int | None:
+        return self.counts.agg({"count": "max"}).first()[0] if self.cfg.split == "stratified" else None
+
+    def assign(self) -> DataFrame:
+        """The labelled rows with the split's side (hash and stratified)."""
+        return splits.assign(self.labelled, self.cfg, self._max_label_rows())
 
     def split(self) -> tuple[DataFrame, DataFrame]:
-        max_rows = None
-        if self.cfg.split == "stratified":
-            max_rows = self.counts.agg({"count": "max"}).first()[0]
-        return splits.split(self.labelled, self.cfg, max_label_rows=max_rows)
+        return splits.split(self.labelled, self.cfg, self._max_label_rows())
+
+    def release(self) -> None:
+        """Give back what was cached; delete what was checkpointed."""
+        self.cleaned.unpersist()
+        self.labeller.freq.unpersist()
+        if self.written:
+            delete_path(self.cleaned.sparkSession, self.written)
 
 
 def prepare(df: DataFrame, cfg: JobConfig, materialize: str = "none") -> Prepared:
@@ -46,11 +59,13 @@ def prepare(df: DataFrame, cfg: JobConfig, materialize: str = "none") -> Prepare
     if materialize == "cache":
         # Filled by the first action below (the code counts); no extra pass.
         cleaned = cleaned.persist(StorageLevel.MEMORY_AND_DISK)
-    elif materialize == "checkpoint":
-        cleaned = splits.materialize(cleaned, "checkpoint")
-    lab = labels.Labeller(cfg).fit(cleaned, persist=materialize in ("cache", "checkpoint"))
+    written = None
+    if materialize == "checkpoint":
+        written = scratch_path(df.sparkSession, "cleaned")
+        cleaned = splits.materialize(cleaned, "checkpoint", written)
+    lab = labels.Labeller(cfg).fit(cleaned)
     counts = lab.label_counts()
-    return Prepared(cfg, cleaned, lab.transform(cleaned), lab, counts, labels.majority_baseline(counts))
+    return Prepared(cfg, cleaned, lab.transform(cleaned), lab, counts, labels.majority_baseline(counts), written)
 
 
 @dataclass
@@ -84,17 +99,26 @@ class JobResult:
     evaluation: Evaluation
     summary: dict
     tables: dict[str, DataFrame] = field(default_factory=dict)
+    owns_prepared: bool = True
 
     def release(self) -> None:
-        for df in (self.prepared.cleaned, self.prepared.labeller.freq, self.evaluation.confusion):
-            if df is not None:
-                df.unpersist()
+        self.evaluation.confusion.unpersist()
+        if self.owns_prepared:
+            self.prepared.release()
+
 
+def run(
+    spark: SparkSession, df: DataFrame, cfg: JobConfig, kind: str = "nb", importances_top: int = 10,
+    prepared: Prepared | None = None, started: float | None = None,
+) -> JobResult:
+    """Run the job on ``df`` and return the model and the report tables.
 
-def run(spark: SparkSession, df: DataFrame, cfg: JobConfig, kind: str = "nb", importances_top: int = 10) -> JobResult:
-    """Run the job on ``df`` and return the model and the report tables."""
+    ``prepared`` (from ``prepare``) is used instead of preparing ``df`` again, so that
+    several models share one scan; the caller releases it. ``started`` is
+    when the whole run began (session start included), for its total seconds.
+    """
     t0 = time.time()
-    prep = prepare(df, cfg, materialize=cfg.materialize)
+    prep = prepared or prepare(df, cfg, materialize=cfg.materialize)
     n_rows, _, baseline = prep.baseline.first()
     cleaning.require_rows(n_rows or 0)
     train, test = prep.split()
@@ -117,6 +141,7 @@ def run(spark: SparkSession, df: DataFrame, cfg: JobConfig, kind: str = "nb", im
         "prep_seconds": prep_s,
         "train_seconds": train_s,
         "total_seconds": total_s,
+        "run_seconds": time.time() - (started if started is not None else t0),
         "accuracy": m["accuracy"],
         "f1": m["f1"],
         "weighted_precision": m["weighted_precision"],
@@ -129,18 +154,20 @@ def run(spark: SparkSession, df: DataFrame, cfg: JobConfig, kind: str = "nb", im
         "samples": ev.samples,
         "label_counts": prep.counts,
         "top_codes": prep.labeller.top_table(),
+        "confusion": ev.confusion,
+        "preview": cleaning.preview(prep.labelled.drop(cleaning.SPLIT_HASH), 5, order_by=cfg.key_col),
     }
     if kind == "rf":
-        tables["importances"] = models.feature_importances_named(spark, model, ev.predictions, importances_top)
-    return JobResult(model, prep, ev, summary, tables)
+        tables["importances"] = models.feature_importances_named(spark, model, cfg, importances_top)
+    return JobResult(model, prep, ev, summary, tables, owns_prepared=prepared is None)
 
 
-def save_model(model: PipelineModel, path: str, top_codes: list[int] | None = None) -> str:
+def save_model(model: PipelineModel, path: str, top_codes: list[int] | None = None, spark: SparkSession | None = None) -> str:
     """H5 persistence: the fitted stages (MLlib's own format), plus the top
     codes that define the labels, so a later job can score new rows."""
     model.write().overwrite().save(path)
     if top_codes is not None:
-        spark = SparkSession.getActiveSession()
+        spark = spark or SparkSession.builder.getOrCreate()
         spark.createDataFrame([(int(c),) for c in top_codes], "code int").coalesce(1).write.mode("overwrite").parquet(
             path.rstrip("/") + "_top_codes"
         )
@@ -148,12 +175,12 @@ def save_model(model: PipelineModel, path: str, top_codes: list[int] | None = No
 
 
 def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, list[int] | None]:
+    """The saved stages and top codes (None if the model was saved without codes; any other fault raises)."""
     model = PipelineModel.load(path)
-    try:
-        codes = [r[0] for r in spark.read.parquet(path.rstrip("/") + "_top_codes").collect()]
-    except Exception:
-        codes = None
-    return model, codes
+    codes = path.rstrip("/") + "_top_codes"
+    if not path_exists(spark, codes):
+        return model, None
+    return model, [r[0] for r in spark.read.parquet(codes).collect()]
 
 
 def run_csv(spark: SparkSession, path: str, cfg: JobConfig | None = None, kind: str = "nb") -> JobResult:

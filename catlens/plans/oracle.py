@@ -69,23 +69,50 @@ def clean_category(x: str) -> str:
 
 
 def split_hash(x: str) -> str:
-    return f"('0x' || substr(md5(CAST({x} AS VARCHAR)), 1, 8))::BIGINT"
+    return f"('0x' || substr(md5({x}), 1, 8))::BIGINT"
+
+
+def content(cols) -> str:
+    """The raw values as one text, NULL as backslash-N."""
+    return "concat_ws(chr(31), " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '\\N')" for c in cols) + ")"
+
+
+# Hash ranks: (h % 100, h div 100), 100 blocks of the values h div 100 can take.
+RANK = "((h % 100) * 42949673 + h // 100)"
+N_RANKS = 4294967300
+
+
+def first_test_rank(test_fraction: float) -> str:
+    return f"CAST(ceil((1 - CAST({test_fraction} AS DECIMAL(18,9))) * {N_RANKS}) AS BIGINT)"
+
+
+# Fixture variants.
+NULL_KEY_SQL = f"SELECT CASE WHEN row_id % 3 <> 0 THEN row_id END AS row_id, * EXCLUDE (row_id) FROM ({TICKETS_RAW_SQL})"
+MANY_SQL = f"SELECT *, 'M' || CAST((row_id * 7919) % (1 + (row_id * 31) % 5003) AS VARCHAR) AS maker FROM ({TICKETS_RAW_SQL})"
+COPIES_SQL = f"""SELECT CASE WHEN hot THEN '7' ELSE code_raw END AS code_raw, CASE WHEN hot THEN '0930A' ELSE time_raw END AS time_raw,
+ CASE WHEN hot THEN '2001' ELSE year_raw END AS year_raw, CASE WHEN hot THEN 'HOT' ELSE segment END AS segment,
+ CASE WHEN hot THEN 'Z0' ELSE zone END AS zone, CASE WHEN hot THEN 'C0' ELSE color END AS color, CASE WHEN hot THEN 'O' ELSE status END AS status,
+ CASE WHEN hot THEN '1-URGENT' ELSE priority END AS priority, CASE WHEN hot THEN 'CHINA' ELSE nation END AS nation
+ FROM (SELECT *, row_id % 3 = 0 AS hot FROM ({TICKETS_RAW_SQL}))"""
 
 
 def _unpivot(src: str, cols, key: str = "row_id") -> str:
     return " UNION ALL ".join(f"SELECT {key}, '{c}' AS feature, {c} AS category FROM {src}" for c in cols)
 
 
-def base_ctes(cfg: JobConfig = CFG) -> str:
+def base_ctes(cfg: JobConfig = CFG, raw: str = TICKETS_RAW_SQL) -> str:
     """tickets_raw, usable (cleaned), freq, top, labelled, train, test."""
     cats = ", ".join(f"{clean_category(c)} AS {c}" for c in cfg.categorical_cols)
-    train_pct = int(round(100 * (1 - cfg.test_fraction)))
-    return f"""tickets_raw AS ({TICKETS_RAW_SQL}),
+    text = content(cfg.needed_cols)
+    key = "row_id" if cfg.key_col else "NULL AS row_id"
+    h = split_hash(f"coalesce(CAST(row_id AS VARCHAR), chr(30) || {text})" if cfg.key_col else text)
+    t = first_test_rank(cfg.test_fraction)
+    return f"""tickets_raw AS ({raw}),
 cleaned AS (
-  SELECT row_id, {lenient_int(cfg.code_col)} AS {cfg.code_out},
+  SELECT {key}, {lenient_int(cfg.code_col)} AS {cfg.code_out},
          {time_bucket(cfg.time_col)} AS {cfg.hour_bucket_out},
          {year_bucket(cfg.year_col, cfg.current_year)} AS {cfg.year_bucket_out},
-         {cats}, {split_hash('row_id')} AS h
+         {cats}, {h} AS h
   FROM tickets_raw),
 usable AS (SELECT * FROM cleaned WHERE {cfg.code_out} IS NOT NULL),
 freq AS (SELECT {cfg.code_out}, count(*) AS count FROM usable GROUP BY {cfg.code_out}),
@@ -94,8 +121,30 @@ labelled AS (
   SELECT u.*, CASE WHEN u.{cfg.code_out} IN (SELECT {cfg.code_out} FROM top)
                    THEN CAST(u.{cfg.code_out} AS VARCHAR) ELSE '{OTHER_LABEL}' END AS {cfg.label_col}
   FROM usable u),
-train AS (SELECT * FROM labelled WHERE h % 100 < {train_pct}),
-test AS (SELECT * FROM labelled WHERE h % 100 >= {train_pct})"""
+train AS (SELECT * FROM labelled WHERE {RANK} < {t}),
+test AS (SELECT * FROM labelled WHERE {RANK} >= {t})"""
+
+
+def stump_ctes(cfg: JobConfig = CFG) -> str:
+    """The best single gini split over the one-hot slots of the training rows (ties: lower slot)."""
+    lab = cfg.label_col
+    return f"""totals AS (SELECT {lab}, label_idx, n_c FROM classes),
+active AS (
+  SELECT v.slot, v.slot_name, t.{lab}, t.label_idx, t.n_c, coalesce(s.c, 0) AS n1 FROM vocab v CROSS JOIN totals t
+  LEFT JOIN (SELECT l.feature, l.category, r.{lab}, count(*) AS c FROM train_long l JOIN train r USING (row_id) GROUP BY ALL) s
+    ON s.feature = v.feature AND s.category = v.category AND s.{lab} = t.{lab}),
+gains AS (
+  SELECT slot, slot_name, 1 - sum(n_c * n_c) / (sum(n_c) * sum(n_c)) AS impurity,
+         1 - sum(n_c * n_c) / (sum(n_c) * sum(n_c))
+         - sum(n1) / sum(n_c) * (1 - sum(n1 * n1) / (sum(n1) * sum(n1)))
+         - (sum(n_c) - sum(n1)) / sum(n_c) * (1 - sum((n_c - n1) * (n_c - n1)) / ((sum(n_c) - sum(n1)) * (sum(n_c) - sum(n1)))) AS gain
+  FROM active GROUP BY slot, slot_name HAVING sum(n1) > 0 AND sum(n1) < sum(n_c)),
+stump AS (SELECT * FROM gains ORDER BY gain DESC, slot LIMIT 1),
+leaf AS (
+  SELECT on_side, {lab} AS predicted_label FROM (
+    SELECT on_side, {lab}, row_number() OVER (PARTITION BY on_side ORDER BY n DESC, label_idx) AS rn FROM (
+      SELECT true AS on_side, {lab}, label_idx, n1 AS n FROM active JOIN stump USING (slot)
+      UNION ALL SELECT false, {lab}, label_idx, n_c - n1 FROM active JOIN stump USING (slot))) WHERE rn = 1)"""
 
 
 def feature_ctes(cfg: JobConfig = CFG) -> str:
@@ -193,12 +242,19 @@ def build(cfg: JobConfig = CFG) -> dict[str, str]:
     lab = cfg.label_col
     cats = list(cfg.categorical_cols)
     raw_cols = ", ".join(["row_id", "code_raw", "time_raw", "year_raw", *cats])
-    csv_aggs = ", ".join(
-        f"count({c}) AS {c}_n, CAST(sum(length(CAST({c} AS VARCHAR))) AS BIGINT) AS {c}_chars"
-        for c in ["row_id", "code_raw", "time_raw", "year_raw", *cats]
-    )
+    text_cols = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in ["row_id", "code_raw", "time_raw", "year_raw", *cats])
     side = f"""SELECT {lab}, 'train' AS split, count(*) AS n FROM train GROUP BY {lab}
   UNION ALL SELECT {lab}, 'test' AS split, count(*) AS n FROM test GROUP BY {lab}"""
+    null_base, small_base = base_ctes(cfg, NULL_KEY_SQL), base_ctes(cfg.with_(test_fraction=0.004))
+    keyless = cfg.with_(key_col=None)
+    shared = f"""groups AS (
+  SELECT {lab}, count(*)::HUGEINT AS n, {RANK} AS r FROM labelled
+  GROUP BY h, {lab}, {cfg.code_out}, {cfg.hour_bucket_out}, {cfg.year_bucket_out}, {', '.join(cats)}),
+shares AS (SELECT {lab}, n, (n * ({N_RANKS} - {first_test_rank(cfg.test_fraction)}) + r) // {N_RANKS} AS t FROM groups)"""
+    many = cfg.with_(categorical_cols=(*cfg.categorical_cols, "maker"))
+    only = many.with_(features=("maker",))
+    many_b, many_f = base_ctes(many, MANY_SQL), feature_ctes(many)
+    stump = stump_ctes(cfg)
     tf = cfg.test_fraction
     strat = f"""strat AS (
   SELECT row_id, {lab},
@@ -219,7 +275,33 @@ strat_side AS (
     return {
         "preview": _with(b) + f"SELECT {raw_cols} FROM tickets_raw ORDER BY row_id LIMIT 5",
         "select_needed": _with(b) + f"SELECT {raw_cols} FROM tickets_raw",
-        "csv_roundtrip": _with(b) + f"SELECT count(*) AS n_rows, {csv_aggs} FROM tickets_raw",
+        "csv_roundtrip": _with(b) + f"SELECT {text_cols} FROM tickets_raw",
+        "parquet_sink": _with(b) + f"SELECT {lab}, count(*) AS count FROM labelled GROUP BY {lab}",
+        "split_fraction_small_counts": _with(small_base) + side,
+        "split_hash_nullkey_counts": _with(null_base) + side,
+        "split_stratified_nullkey_counts": _with(null_base, strat) + f"SELECT {lab}, split, count(*) AS n FROM strat_side GROUP BY {lab}, split",
+        "split_keyless_copies_counts": _with(base_ctes(keyless, COPIES_SQL), shared)
+        + f"SELECT {lab}, 'test' AS split, CAST(sum(t) AS BIGINT) AS n FROM shares GROUP BY {lab} HAVING sum(t) > 0 "
+        f"UNION ALL SELECT {lab}, 'train', CAST(sum(n - t) AS BIGINT) FROM shares GROUP BY {lab} HAVING sum(n - t) > 0",
+        "split_random_counts": _with(b) + f"SELECT {lab}, count(*) AS n FROM labelled GROUP BY {lab}",
+        "category_index_many": _with(many_b, many_f) + "SELECT feature, category, idx, slot, slot_name FROM vocab",
+        "one_hot_long_many": _with(many_b, many_f)
+        + "SELECT l.row_id, v.feature, v.slot, v.slot_name FROM ("
+        + _unpivot("labelled", list(many.feature_cols))
+        + ") l JOIN vocab v ON v.feature = l.feature AND v.category = l.category",
+        "nb_predictions_many": _with(many_b, many_f, nb_ctes(many)) + f"SELECT row_id, {lab}, predicted_label FROM predictions",
+        "nb_predictions_unseen": _with(many_b, feature_ctes(only), nb_ctes(only)) + f"SELECT row_id, {lab}, predicted_label FROM predictions",
+        "nb_predictions_reloaded": _with(b, f, nb) + f"SELECT row_id, {lab}, predicted_label FROM predictions",
+        "rf_facts": _with(b, f)
+        + "SELECT count(*) AS n_test, true AS recall_is_accuracy, 1.0::DOUBLE AS importance_sum, (SELECT count(*) FROM vocab) AS n_slots FROM test",
+        "rf_test_rows": _with(b) + f"SELECT {lab}, count(*) AS n_test_examples FROM test GROUP BY {lab}",
+        "rf_stump_split": _with(b, f, stump) + "SELECT slot_name, round(impurity, 6) AS impurity, round(gain, 6) AS gain FROM stump",
+        "rf_stump_predictions": _with(b, f, stump)
+        + f"SELECT t.row_id, t.{lab}, leaf.predicted_label FROM test t JOIN leaf ON leaf.on_side = (EXISTS ("
+        f"SELECT 1 FROM ({_unpivot('test', list(cfg.feature_cols))}) l JOIN vocab v ON v.feature = l.feature AND v.category = l.category "
+        "JOIN stump s ON s.slot = v.slot WHERE l.row_id = t.row_id))",
+        "rf_stump_importances": _with(b, f, stump)
+        + "SELECT v.slot_name AS feature_name, CASE WHEN s.slot IS NULL THEN 0.0 ELSE 1.0 END::DOUBLE AS importance FROM vocab v LEFT JOIN stump s ON s.slot = v.slot",
         "lenient_int": _with(b) + f"SELECT row_id, code_raw, {lenient_int('code_raw')} AS {cfg.code_out} FROM tickets_raw",
         "usable_rows": _with(b) + "SELECT count(*) AS n_rows FROM usable",
         "time_buckets": _with(b) + f"SELECT {cfg.hour_bucket_out}, count(*) AS n FROM usable GROUP BY 1",

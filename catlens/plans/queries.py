@@ -8,8 +8,12 @@ Each query takes ``(spark, sf_dir)``, reads the whole ``tickets_raw`` fixture
 
 from __future__ import annotations
 
+import contextlib
+import functools
+import tempfile
 from collections.abc import Callable
 
+from py4j.protocol import Py4JError
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,28 +22,59 @@ from catlens.config import FIXTURE_CONFIG, JobConfig
 from catlens.functions import year_bucket
 from catlens.operators import cleaning, features, labels, metrics, models, report, splits
 from catlens.plans import job
-from catlens.session import scratch_path
-from catlens.sources.csv_dir import read_csv_dir, write_csv_dir
-from catlens.sources.tickets import TICKET_FIXTURE_COLUMNS, tickets_raw
+from catlens.session import delete_path, scratch_path
+from catlens.sources.csv_dir import read_csv_dir, write_csv_dir, write_parquet
+from catlens.sources.tickets import tickets_raw
 
 CFG: JobConfig = FIXTURE_CONFIG
+# The row that _copies repeats.
+COPY_VALUES = {
+    "code_raw": "7", "time_raw": "0930A", "year_raw": "2001", "segment": "HOT", "zone": "Z0",
+    "color": "C0", "status": "O", "priority": "1-URGENT", "nation": "CHINA",
+}
+# Fixture variants: a wide skewed category whose rare values are unseen in training, alone and with the others.
+MANY = CFG.with_(categorical_cols=(*CFG.categorical_cols, "maker"))
+MANY_ONLY = MANY.with_(features=("maker",))
+# A forest that is one best gini split, which SQL can compute.
+STUMP = CFG.with_(num_trees=1, max_depth=1)
 DIGITS = 6
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# What the last query cached or wrote; its result reads them lazily, so they go when the next query starts.
+_HELD: list[Callable[[], None]] = []
+
+
+def _start(spark: SparkSession) -> None:
+    """Release what the last query left; name a shared folder where the session has none (single process only)."""
+    while _HELD:
+        with contextlib.suppress(Py4JError):  # the last query's session may have been stopped
+            _HELD.pop()()
+    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.master.startswith("local["):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="catlens-"))
 
-def _prepared(spark: SparkSession, sf_dir: str, cfg: JobConfig = CFG) -> job.Prepared:
-    return job.prepare(tickets_raw(spark, sf_dir), cfg)
 
+def _prepared(spark: SparkSession, sf_dir: str, cfg: JobConfig = CFG, raw: DataFrame | None = None) -> job.Prepared:
+    """The cached route of the job: one scan of the source."""
+    prep = job.prepare(tickets_raw(spark, sf_dir) if raw is None else raw, cfg, materialize="cache")
+    _HELD.append(prep.release)
+    return prep
 
-def _fitted(spark: SparkSession, sf_dir: str, kind: str, cfg: JobConfig = CFG):
+
+def _fitted(spark: SparkSession, sf_dir: str, kind: str, cfg: JobConfig = CFG, raw: DataFrame | None = None):
     """Prepared rows, split and the fitted model (fit on the training rows)."""
-    prep = _prepared(spark, sf_dir, cfg)
+    prep = _prepared(spark, sf_dir, cfg, raw)
     train, test = prep.split()
     model: PipelineModel = models.fit(train, cfg, kind)
     return prep, train, test, model
 
 
+def _many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """tickets_raw with maker: thousands of values, the low ones frequent, many that occur once."""
+    k = F.col("row_id")
+    return tickets_raw(spark, sf_dir).withColumn("maker", F.concat(F.lit("M"), ((k * 7919) % (1 + (k * 31) % 5003)).cast("string")))
+
+
 def _r(c, name):
     return F.round(c, DIGITS).alias(name)
 
@@ -58,15 +93,18 @@ def q_select_needed(spark, sf_dir):
 
 
 def q_csv_roundtrip(spark, sf_dir):
-    """A1 + A2 + A4: write the rows as a CSV folder in the shared scratch
-    folder, read it back all-string, and count values and characters per column."""
-    path = write_csv_dir(tickets_raw(spark, sf_dir), scratch_path(spark, "tickets-csv"))
-    back = read_csv_dir(spark, path)
-    aggs = [F.count(F.lit(1)).alias("n_rows")]
-    for c in TICKET_FIXTURE_COLUMNS:
-        aggs.append(F.count(c).alias(f"{c}_n"))
-        aggs.append(F.sum(F.length(c)).alias(f"{c}_chars"))
-    return back.agg(*aggs)
+    """A1 + A2 + A4: every row written as a CSV folder in the shared scratch
+    folder and read back, all columns strings; NULLs and blanks stay apart."""
+    path = scratch_path(spark, "tickets-csv")
+    _HELD.append(lambda: delete_path(spark, path))
+    return read_csv_dir(spark, write_csv_dir(tickets_raw(spark, sf_dir), path))
+
+
+def q_parquet_sink(spark, sf_dir):
+    """A4: a report written to the Parquet sink and read back."""
+    path = scratch_path(spark, "report")
+    _HELD.append(lambda: delete_path(spark, path))
+    return spark.read.parquet(write_parquet(_prepared(spark, sf_dir).counts, path))
 
 
 # ---- B, C: parsing and cleaning ------------------------------------------
@@ -145,97 +183,136 @@ def q_majority_baseline(spark, sf_dir):
 # ---- G: splits -------------------------------------------------------------
 
 
-def _side_counts(train: DataFrame, test: DataFrame) -> DataFrame:
-    def side(df, name):
-        return df.groupBy(CFG.label_col).agg(F.count(F.lit(1)).alias("n")).withColumn("split", F.lit(name))
-
-    return side(train, splits.TRAIN).unionByName(side(test, splits.TEST)).select(CFG.label_col, "split", "n")
+def _side_counts(assigned: DataFrame) -> DataFrame:
+    side = F.when(F.col(splits.IS_TEST), splits.TEST).otherwise(splits.TRAIN)
+    return assigned.groupBy(CFG.label_col, side.alias("split")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def q_split_hash_counts(spark, sf_dir):
     """G1: rows per (label, side) of the 80/20 hash split."""
-    return _side_counts(*_prepared(spark, sf_dir).split())
+    return _side_counts(_prepared(spark, sf_dir).assign())
+
+
+def q_split_fraction_small_counts(spark, sf_dir):
+    """G1: a test share below one percent (0.4 %)."""
+    return _side_counts(_prepared(spark, sf_dir, CFG.with_(test_fraction=0.004)).assign())
+
+
+def _null_keys(spark, sf_dir):
+    """tickets_raw with every third key NULL."""
+    return tickets_raw(spark, sf_dir).withColumn("row_id", F.when(F.col("row_id") % 3 != 0, F.col("row_id")))
+
+
+def q_split_hash_nullkey_counts(spark, sf_dir):
+    """G1: a NULL key is hashed by the row's content; no row is lost."""
+    return _side_counts(_prepared(spark, sf_dir, raw=_null_keys(spark, sf_dir)).assign())
+
+
+def q_split_stratified_nullkey_counts(spark, sf_dir):
+    """The exact quota per label with every third key NULL."""
+    return _side_counts(_prepared(spark, sf_dir, CFG.with_(split="stratified"), _null_keys(spark, sf_dir)).assign())
+
+
+def _copies(spark, sf_dir):
+    """tickets_raw without a key, a third of the rows copies of one row."""
+    raw = tickets_raw(spark, sf_dir)
+    hot = F.col("row_id") % 3 == 0
+    own = {c: F.when(hot, F.lit(v)).otherwise(F.col(c)) for c, v in COPY_VALUES.items()}
+    return raw.withColumns(own).drop("row_id")
+
+
+def q_split_keyless_copies_counts(spark, sf_dir):
+    """G1 without a key: copies of a row are shared out, so one hot row keeps the 80/20 share."""
+    return _side_counts(_prepared(spark, sf_dir, CFG.with_(key_col=None), _copies(spark, sf_dir)).assign())
 
 
 def q_split_stratified_counts(spark, sf_dir):
     """Rows per (label, side) of the exact stratified split."""
-    cfg = CFG.with_(split="stratified")
-    return _side_counts(*_prepared(spark, sf_dir, cfg).split())
+    return _side_counts(_prepared(spark, sf_dir, CFG.with_(split="stratified")).assign())
 
 
 def q_split_random_counts(spark, sf_dir):
-    """G1 as the original job does it: seeded randomSplit (layout dependent,
-    so rows-only; every label appears on both sides)."""
-    cfg = CFG.with_(split="random")
-    return _side_counts(*_prepared(spark, sf_dir, cfg).split())
+    """G1 as the original job does it: seeded randomSplit. Which rows fall on
+    a side depends on the layout, so the rows per label of both sides together are returned."""
+    train, test = _prepared(spark, sf_dir, CFG.with_(split="random")).split()
+    return train.unionByName(test).groupBy(CFG.label_col).agg(F.count(F.lit(1)).alias("n"))
 
 
 def q_label_counts_checkpointed(spark, sf_dir):
     """The cleaned rows written as a reliable checkpoint (lineage cut),
     then counted per label."""
     prep = job.prepare(tickets_raw(spark, sf_dir), CFG, materialize="checkpoint")
+    _HELD.append(prep.release)
     return prep.labelled.groupBy(CFG.label_col).agg(F.count(F.lit(1)).alias("count"))
 
 
 def q_split_stratified_rows(spark, sf_dir):
     """The test rows of the stratified split (row ids)."""
-    cfg = CFG.with_(split="stratified")
-    _, test = _prepared(spark, sf_dir, cfg).split()
+    _, test = _prepared(spark, sf_dir, CFG.with_(split="stratified")).split()
     return test.select("row_id", CFG.label_col)
 
 
 # ---- H: features ------------------------------------------------------------
 
 
-def _feature_model(spark, sf_dir):
-    prep = _prepared(spark, sf_dir)
-    train, _ = prep.split()
-    return prep, features.fit_features(train, CFG)[0]
+def _vocabulary(spark, sf_dir, cfg=CFG, raw=None):
+    """Vocabulary and its counts over the training rows."""
+    train, _ = _prepared(spark, sf_dir, cfg, raw).split()
+    vocab, counts = features.fit_vocabulary(train, cfg)
+    _HELD.append(counts.unpersist)
+    return vocab, counts
 
 
 def q_category_index(spark, sf_dir):
     """H1 + H3: fitted vocabulary with index and slot position."""
-    _, fm = _feature_model(spark, sf_dir)
-    return features.category_index_table(spark, fm, CFG)
+    return features.category_index_table(_vocabulary(spark, sf_dir)[1], CFG)
+
+
+def q_category_index_many(spark, sf_dir):
+    """H1 + H3 with a wide, skewed category."""
+    return features.category_index_table(_vocabulary(spark, sf_dir, MANY, _many(spark, sf_dir))[1], MANY)
 
 
 def q_label_index(spark, sf_dir):
     """H4: label -> index (training frequency, ties by name)."""
-    _, fm = _feature_model(spark, sf_dir)
-    names = features.label_names(fm)
-    return spark.createDataFrame([(n, i) for i, n in enumerate(names)], "target_label string, label_idx int")
+    return features.label_index_table(_vocabulary(spark, sf_dir)[1], CFG)
+
+
+def _one_hot(spark, sf_dir, cfg=CFG, raw=None):
+    prep = _prepared(spark, sf_dir, cfg, raw)
+    fm, _, counts = features.fit_features(prep.split()[0], cfg)
+    _HELD.append(counts.unpersist)
+    return features.one_hot_long(features.apply_indexers(fm, prep.labelled), fm, cfg, "row_id")
 
 
 def q_one_hot_long(spark, sf_dir):
     """H1-H3 applied to every usable row: its active one-hot slots."""
-    prep, fm = _feature_model(spark, sf_dir)
-    vocab = features.category_index_table(spark, fm, CFG)
-    indexed = features.apply_indexers(fm, prep.labelled)
-    return features.one_hot_long(indexed, vocab, features.vocabulary_bytes(fm, CFG), CFG, "row_id")
+    return _one_hot(spark, sf_dir)
+
+
+def q_one_hot_long_many(spark, sf_dir):
+    """H1-H3 with values that training lacks: their blocks are all zero."""
+    return _one_hot(spark, sf_dir, MANY, _many(spark, sf_dir))
 
 
 # ---- I, J: Naive Bayes ---------------------------------------------------------
 
 
-def _nb(spark, sf_dir):
-    prep, train, test, model = _fitted(spark, sf_dir, "nb")
-    return prep, model, job.evaluate(model, test, CFG)
+def _nb(spark, sf_dir, cfg=CFG, raw=None):
+    prep, train, test, model = _fitted(spark, sf_dir, "nb", cfg, raw)
+    return prep, model, job.evaluate(model, test, cfg)
 
 
 def q_nb_priors(spark, sf_dir):
     """Class log-priors (smoothed)."""
-    prep, model, ev = _nb(spark, sf_dir)
-    names = features.slot_names(ev.predictions, model.stages[-1].numFeatures)
-    priors, _ = models.nb_parameters(spark, model, features.label_names(model), names)
-    return priors.select("target_label", _r(F.col("log_prior"), "log_prior"))
+    vocab, counts = _vocabulary(spark, sf_dir)
+    return models.nb_parameters(counts, vocab, CFG)[0].select(CFG.label_col, _r(F.col("log_prior"), "log_prior"))
 
 
 def q_nb_model(spark, sf_dir):
     """Per (class, slot) log-likelihoods."""
-    prep, model, ev = _nb(spark, sf_dir)
-    names = features.slot_names(ev.predictions, model.stages[-1].numFeatures)
-    _, thetas = models.nb_parameters(spark, model, features.label_names(model), names)
-    return thetas.select("target_label", "slot_name", _r(F.col("theta"), "theta"))
+    vocab, counts = _vocabulary(spark, sf_dir)
+    return models.nb_parameters(counts, vocab, CFG)[1].select(CFG.label_col, "slot_name", _r(F.col("theta"), "theta"))
 
 
 def q_nb_predictions(spark, sf_dir):
@@ -244,6 +321,28 @@ def q_nb_predictions(spark, sf_dir):
     return ev.predictions.select("row_id", CFG.label_col, features.PREDICTED_LABEL)
 
 
+def q_nb_predictions_many(spark, sf_dir):
+    """I2 with unseen values among others."""
+    _, _, ev = _nb(spark, sf_dir, MANY, _many(spark, sf_dir))
+    return ev.predictions.select("row_id", CFG.label_col, features.PREDICTED_LABEL)
+
+
+def q_nb_predictions_unseen(spark, sf_dir):
+    """I2 where the only feature is often unseen: such rows get the largest class."""
+    _, _, ev = _nb(spark, sf_dir, MANY_ONLY, _many(spark, sf_dir))
+    return ev.predictions.select("row_id", CFG.label_col, features.PREDICTED_LABEL)
+
+
+def q_nb_predictions_reloaded(spark, sf_dir):
+    """H5: the model saved, loaded and applied to the test rows."""
+    prep, train, test, model = _fitted(spark, sf_dir, "nb")
+    path = scratch_path(spark, "model")
+    _HELD.append(lambda: [delete_path(spark, x) for x in (path, path + "_top_codes")])
+    loaded, codes = job.load_model(spark, job.save_model(model, path, prep.labeller.top_codes, spark))
+    again = labels.lump_other(test.drop(CFG.label_col), CFG.code_out, CFG.label_col, codes)
+    return job.evaluate(loaded, again, CFG).predictions.select("row_id", CFG.label_col, features.PREDICTED_LABEL)
+
+
 def q_nb_confusion(spark, sf_dir):
     """(actual, predicted, n) over the test rows."""
     return _nb(spark, sf_dir)[2].confusion
@@ -281,14 +380,20 @@ def q_nb_samples(spark, sf_dir):
     return _nb(spark, sf_dir)[2].samples
 
 
+def _summary(spark, sf_dir, kind):
+    prep = _prepared(spark, sf_dir)
+    cleaning.require_rows(prep.baseline.first()["n_rows"] or 0)
+    train, test = prep.split()
+    ev = job.evaluate(models.fit(train, CFG, kind), test, CFG)
+    return report.summary_long(prep.baseline, ev.metrics, DIGITS)
+
+
 def q_run_summary_nb(spark, sf_dir):
     """J8 + B10 (without timings): rows used, baseline and metrics."""
-    prep, _, ev = _nb(spark, sf_dir)
-    cleaning.require_rows(prep.counts.agg(F.sum("count")).first()[0] or 0)
-    return report.summary_long(prep.baseline, ev.metrics, DIGITS)
+    return _summary(spark, sf_dir, "nb")
 
 
-# ---- I3-I5: forest (no SQL oracle) -------------------------------------------
+# ---- I3-I5: forest -------------------------------------------------------------
 
 
 def _rf(spark, sf_dir):
@@ -309,44 +414,78 @@ def q_rf_confusion(spark, sf_dir):
 
 
 def q_rf_importances_top10(spark, sf_dir):
+    _, model, _ = _rf(spark, sf_dir)
+    return models.feature_importances_named(spark, model, CFG, 10)
+
+
+def q_rf_predictions(spark, sf_dir):
+    """I4: predicted class of every test row."""
+    return _rf(spark, sf_dir)[2].predictions.select("row_id", CFG.label_col, features.PREDICTED_LABEL)
+
+
+def q_rf_samples(spark, sf_dir):
+    """J7 for the forest."""
+    return _rf(spark, sf_dir)[2].samples
+
+
+def q_run_summary_rf(spark, sf_dir):
+    """J8 for the forest, with its trees and depth."""
+    size = F.array(*[F.struct(F.lit(n).alias("metric"), F.lit(float(v)).alias("value")) for n, v in (("num_trees", CFG.num_trees), ("max_depth", CFG.max_depth))])
+    return _summary(spark, sf_dir, "rf").unionByName(spark.range(1).select(F.inline(size)))
+
+
+def q_rf_facts(spark, sf_dir):
+    """What holds for every forest exactly: test rows, importances that add up to one, one slot per
+    category, weighted recall equal to accuracy."""
     _, model, ev = _rf(spark, sf_dir)
-    return models.feature_importances_named(spark, model, ev.predictions, 10)
-
-
-QUERIES: dict[str, Query] = {
-    "preview": q_preview,
-    "select_needed": q_select_needed,
-    "csv_roundtrip": q_csv_roundtrip,
-    "lenient_int": q_lenient_int,
-    "usable_rows": q_usable_rows,
-    "time_buckets": q_time_buckets,
-    "year_buckets": q_year_buckets,
-    "clean_categories": q_clean_categories,
-    "cleaned_rows": q_cleaned_rows,
-    "code_frequency": q_code_frequency,
-    "top_codes": q_top_codes,
-    "labelled": q_labelled,
-    "label_counts": q_label_counts,
-    "majority_baseline": q_majority_baseline,
-    "split_hash_counts": q_split_hash_counts,
-    "split_stratified_counts": q_split_stratified_counts,
-    "split_stratified_rows": q_split_stratified_rows,
-    "split_random_counts": q_split_random_counts,
-    "label_counts_checkpointed": q_label_counts_checkpointed,
-    "category_index": q_category_index,
-    "label_index": q_label_index,
-    "one_hot_long": q_one_hot_long,
-    "nb_priors": q_nb_priors,
-    "nb_model": q_nb_model,
-    "nb_predictions": q_nb_predictions,
-    "nb_confusion": q_nb_confusion,
-    "nb_metrics": q_nb_metrics,
-    "nb_per_class": q_nb_per_class,
-    "nb_per_class_rows": q_nb_per_class_rows,
-    "nb_samples": q_nb_samples,
-    "run_summary_nb": q_run_summary_nb,
-    "rf_metrics": q_rf_metrics,
-    "rf_per_class": q_rf_per_class,
-    "rf_confusion": q_rf_confusion,
-    "rf_importances_top10": q_rf_importances_top10,
-}
+    total = models.feature_importances_named(spark, model, CFG, None).agg(F.round(F.sum("importance"), DIGITS).alias("importance_sum"), F.count(F.lit(1)).alias("n_slots"))
+    m = ev.metrics.select("n_test", (F.abs(F.col("weighted_recall") - F.col("accuracy")) < 1e-9).alias("recall_is_accuracy"))
+    return m.withColumn("one", F.lit(1)).join(total.withColumn("one", F.lit(1)), "one").drop("one")
+
+
+def q_rf_test_rows(spark, sf_dir):
+    """I4: test rows per actual class that the forest judged."""
+    return _rf(spark, sf_dir)[2].per_class.select(CFG.label_col, "n_test_examples")
+
+
+def _stump(spark, sf_dir):
+    """One tree of one split on all rows and all features: the best gini split."""
+    prep = _prepared(spark, sf_dir, STUMP)
+    train, test = prep.split()
+    feats, _, counts = features.fit_features(train, STUMP)
+    _HELD.append(counts.unpersist)
+    tree = models.random_forest(STUMP).setBootstrap(False).setFeatureSubsetStrategy("all")
+    clf = tree.fit(feats.transform(models.canonical_layout(train, STUMP)))
+    return PipelineModel(stages=[*feats.stages, clf]), test
+
+
+def q_rf_stump_split(spark, sf_dir):
+    """The slot of the one split, its impurity and its gain."""
+    model, _ = _stump(spark, sf_dir)
+    root = model.stages[-1].trees[0]._call_java("rootNode")
+    slot = features.slot_names(model, STUMP)[root.split().featureIndex()]
+    return spark.createDataFrame([(slot, round(root.impurity(), DIGITS), round(root.gain(), DIGITS))], "slot_name string, impurity double, gain double")
+
+
+def q_rf_stump_predictions(spark, sf_dir):
+    """I4: the stump's class of every test row."""
+    model, test = _stump(spark, sf_dir)
+    return job.evaluate(model, test, STUMP).predictions.select("row_id", CFG.label_col, features.PREDICTED_LABEL)
+
+
+def q_rf_stump_importances(spark, sf_dir):
+    """The split's slot has importance one, all others zero."""
+    model, _ = _stump(spark, sf_dir)
+    return models.feature_importances_named(spark, model, STUMP, None)
+
+
+def _query(f: Query) -> Query:
+    @functools.wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        _start(spark)
+        return f(spark, sf_dir)
+
+    return run
+
+
+QUERIES: dict[str, Query] = {name[2:]: _query(f) for name, f in list(globals().items()) if name.startswith("q_")}

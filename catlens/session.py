@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -32,27 +31,35 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and written intermediate tables.
-
-    Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir). Only when neither is set *and* the master is local
-    (tests, single machine) is a private temporary folder created; on a
-    cluster a machine-local folder would not be shared, so that is an error.
-    """
+    """The shared folder for checkpoints and written intermediate tables: ``spark.checkpoint.dir`` (or the
+    context's checkpoint dir). It has to be set, on a single machine too."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        conf = tempfile.mkdtemp(prefix="catlens-ckpt-")
-    sc.setCheckpointDir(conf)
-    return sc.getCheckpointDir() or conf
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+    return conf
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path inside the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop(spark, path)
+    return fs.exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a written intermediate table."""
+    fs, p = _hadoop(spark, path)
+    fs.delete(p, True)

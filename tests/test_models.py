@@ -61,17 +61,15 @@ def test_one_hot_matches_vector(spark):
     from pyspark.ml import Pipeline
 
     fm = Pipeline(stages=features.feature_stages(CFG)).fit(train)
-    vocab = features.category_index_table(spark, fm, CFG)
-    n_vocab = vocab.count()
     out = fm.transform(prep.labelled)
-    vbytes = features.vocabulary_bytes(fm, CFG)
-    assert 0 < vbytes <= features.broadcast_limit(spark)
-    longform = features.one_hot_long(out, vocab, vbytes, CFG, "row_id")
-    assert "BroadcastHashJoin" in longform._jdf.queryExecution().executedPlan().toString()
+    longform = features.one_hot_long(out, fm, CFG, "row_id")
+    assert "Join" not in longform._jdf.queryExecution().executedPlan().toString()
     rows = longform.collect()
-    # above the bound the join shuffles; same rows
-    shuffled = features.one_hot_long(out, vocab, 1 << 62, CFG, "row_id")
-    assert sorted(map(tuple, shuffled.collect())) == sorted(map(tuple, rows))
+    names = features.slot_names(fm, CFG)
+    n_vocab = len(names)
+    vocab = features.category_index_table(features.vocabulary_counts(train, CFG), CFG).collect()
+    assert sorted((r["slot"], r["slot_name"]) for r in vocab) == list(enumerate(names))
+    assert all(names[r["slot"]] == r["slot_name"] for r in rows)
     by_row = {}
     for r in rows:
         by_row.setdefault(r["row_id"], set()).add(r["slot"])
@@ -83,7 +81,7 @@ def test_one_hot_matches_vector(spark):
     # a value never seen in training: all-zero block for that feature
     unseen = prep.labelled.limit(1).withColumn("segment", F.lit("NEVER_SEEN"))
     v = fm.transform(unseen).select(vector_to_array("features").alias("a")).first()["a"]
-    seg = [i for i, n in enumerate(features.slot_names(out, n_vocab)) if n.startswith("segment_vec_")]
+    seg = [i for i, n in enumerate(names) if n.startswith("segment_vec_")]
     assert all(v[i] == 0.0 for i in seg)
     assert sum(v) == len(CFG.feature_cols) - 1
 
@@ -117,7 +115,7 @@ def test_rf_invariants(rf_runs):
     s = res.summary
     assert s["weighted_recall"] == pytest.approx(s["accuracy"], abs=1e-12)
     assert s["num_trees"] == 20 and s["max_depth"] == 8
-    top = models.feature_importances_named(res.tables["importances"].sparkSession, res.model, res.evaluation.predictions, 10)
+    top = models.feature_importances_named(res.tables["importances"].sparkSession, res.model, CFG, 10)
     assert top.count() == 10
 
 
@@ -274,21 +272,77 @@ def test_metrics_rules_on_edge_confusion(spark):
     assert m["f1"] == pytest.approx(4 / 6 * f_a)
 
 
-def test_broadcast_limit_reads_session_setting(spark):
-    key = "spark.sql.autoBroadcastJoinThreshold"
-    old = spark.conf.get(key)
-    try:
-        for v, want in (("10MB", 10 << 20), ("-1", -1), ("2048", 2048), ("64k", 64 << 10)):
-            spark.conf.set(key, v)
-            assert features.broadcast_limit(spark) == want
-    finally:
-        spark.conf.set(key, old)
-
-
-def test_layout_chunk_rows_rule():
-    keyless = CFG.with_(key_col=None)
-    assert models.layout_chunk_rows(keyless.with_(layout_chunk_rows=7), 16, 10**9) == 7
-    assert models.layout_chunk_rows(keyless, 16, 6400) == 100  # a quarter of 6400 / 16
-    assert models.layout_chunk_rows(keyless, 16, 6401) == 101  # rounded up
-    assert models.layout_chunk_rows(keyless, 16, 3) == 1
-    assert models.layout_chunk_rows(keyless, 16, None) == models.DEFAULT_CHUNK_ROWS
+def test_layout_is_even_with_hot_rows_and_repeated_keys(spark):
+    """One row a third of the table, and a key of few values: no partition above twice the fair share."""
+    from catlens.operators.cleaning import SPLIT_HASH
+
+    p = 8
+    df = spark.range(24_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("v"), (F.col("id") % 2).alias("key"),
+        F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id") * 7919).alias(SPLIT_HASH),
+    )
+    for frame, cfg in ((df.drop("key"), CFG.with_(key_col=None)), (df.withColumn(SPLIT_HASH, F.col("key")), CFG.with_(key_col="key"))):
+        cfg = cfg.with_(layout_partitions=p, layout_chunk_rows=100)
+        laid = models.canonical_layout(frame, cfg)
+        sizes = [len(x) for x in _partitions(laid)]
+        assert sum(sizes) == 24_000 and max(sizes) <= 2 * 24_000 / p
+        assert laid.exceptAll(frame).count() == 0
+
+
+def test_both_routes_give_equal_trees(spark):
+    cfg = CFG.with_(num_trees=3, max_depth=3, layout_partitions=4)
+    train, _ = job.prepare(tickets_raw(spark, SF001), cfg).split()
+    a, b = models.fit(train, cfg, "rf"), models.fit(train, cfg.with_(fit_from_counts=False), "rf")
+    assert a.stages[-1].toDebugString.split("\n")[1:] == b.stages[-1].toDebugString.split("\n")[1:]
+
+
+def test_nb_tables_equal_the_fitted_model(spark):
+    train, _ = job.prepare(tickets_raw(spark, SF001), CFG).split()
+    model = models.fit(train, CFG.with_(fit_from_counts=False), "nb")
+    vocab, counts = features.fit_vocabulary(train, CFG)
+    priors, thetas = models.nb_parameters(counts, vocab, CFG)
+    names, classes = features.slot_names(model, CFG), features.label_names(model)
+    pi, theta = model.stages[-1].pi.toArray(), model.stages[-1].theta.toArray()
+    got = {r[0]: r[1] for r in priors.collect()}
+    assert len(got) == len(classes) and all(abs(got[c] - pi[i]) < 1e-12 for i, c in enumerate(classes))
+    cells = {(r[0], r[1]): r[2] for r in thetas.collect()}
+    assert len(cells) == theta.size
+    assert all(abs(cells[c, n] - theta[i, j]) < 1e-12 for i, c in enumerate(classes) for j, n in enumerate(names))
+    assert {r[0]: r[1] for r in features.label_index_table(counts, CFG).collect()} == {c: i for i, c in enumerate(classes)}
+    counts.unpersist()
+
+
+def test_slot_names_equal_the_vector_metadata(spark):
+    from pyspark.ml import Pipeline
+
+    train, _ = job.prepare(tickets_raw(spark, SF001), CFG).split()
+    fm = Pipeline(stages=features.feature_stages(CFG)).fit(train)
+    groups = fm.transform(train).schema["features"].metadata["ml_attr"]["attrs"]
+    told = {a["idx"]: a["name"] for g in groups.values() for a in g}
+    assert [told[i] for i in range(len(told))] == features.slot_names(fm, CFG)
+
+
+def test_load_model_raises_on_damaged_codes(spark, tmp_dir):
+    import os
+
+    train, _ = job.prepare(tickets_raw(spark, SF001), CFG).split()
+    path = job.save_model(models.fit(train, CFG, "nb"), os.path.join(tmp_dir, "m"), None, spark)
+    assert job.load_model(spark, path)[1] is None
+    os.makedirs(path + "_top_codes")
+    with open(os.path.join(path + "_top_codes", "part-0.parquet"), "wb") as f:
+        f.write(b"no parquet")
+    with pytest.raises(Exception):
+        job.load_model(spark, path)
+
+
+def test_both_models_share_one_preparation(spark):
+    raw = tickets_raw(spark, SF001)
+    prep = job.prepare(raw, CFG, materialize="cache")
+    res = [job.run(spark, raw, CFG, k, prepared=prep, started=0.0) for k in ("nb", "rf")]
+    assert res[0].prepared is res[1].prepared
+    assert {"preview", "top_codes", "confusion"} <= set(res[0].tables)
+    assert res[0].summary["run_seconds"] > res[0].summary["total_seconds"]
+    for r in res:
+        r.release()
+    assert prep.cleaned.is_cached
+    prep.release()
