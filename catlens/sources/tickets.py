@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catlens.sources.partitioning import ensure_parallelism
-
 TICKET_FIXTURE_COLUMNS = (
     "row_id", "code_raw", "time_raw", "year_raw", "segment", "zone", "color", "status", "priority", "nation",
 )
@@ -33,9 +31,8 @@ def tickets_from_tables(orders: DataFrame, customer: DataFrame, nation: DataFram
     (``nation`` always; ``customer`` at small scale), otherwise the join
     shuffles on the key, and AQE re-plans from real sizes and splits a hot
     customer key. No broadcast hint, so nothing unbounded is forced onto
-    every executor. A tiny ``orders`` scan with fewer partitions than cores
-    is spread first."""
-    o = ensure_parallelism(orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"))
+    every executor."""
+    o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     c = customer.select("c_custkey", "c_nationkey", "c_mktsegment")
     n = nation.select("n_nationkey", "n_name")
     j = o.join(c, o["o_custkey"] == c["c_custkey"]).join(n, c["c_nationkey"] == n["n_nationkey"])

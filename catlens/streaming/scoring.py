@@ -8,14 +8,14 @@ from pyspark.sql import types as T
 
 from catlens.config import JobConfig
 from catlens.operators import cleaning, features, labels
-from catlens.session import scratch_path
 
 
 def read_csv_dir_stream(spark: SparkSession, path: str, columns: list[str], max_files_per_trigger: int | None = None) -> DataFrame:
     """A1 as a file stream: header CSV files, every column a string (a stream
-    needs its schema up front; all-string is what the batch reader yields)."""
+    needs its schema up front; all-string is what the batch reader yields). A
+    file whose header has other or swapped columns raises, as in the batch reader."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    r = spark.readStream.format("csv").option("header", "true").schema(schema)
+    r = spark.readStream.format("csv").option("header", "true").option("enforceSchema", "false").schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return r.load(path)
@@ -34,20 +34,16 @@ def score_stream(stream: DataFrame, model: PipelineModel, top_codes: list[int],
     return pred.select(*[cleaning.qcol(c) for c in keep])
 
 
-def write_scored_stream(
-    scored: DataFrame, out_path: str, checkpoint_location: str | None = None, available_now: bool = False
-):
+def write_scored_stream(scored: DataFrame, out_path: str, checkpoint_location: str, available_now: bool = False):
     """Start the scored stream into a Parquet folder (A4 for a stream).
 
     The file sink and the source offsets are tracked in
-    ``checkpoint_location``, by default a fresh folder under the session's
-    shared ``spark.checkpoint.dir``. Pass the same location again to
-    resume: files already committed are neither re-read nor written twice,
-    so a lost driver or executor means a restart, not duplicates.
-    ``available_now`` processes what is there and stops.
+    ``checkpoint_location``, a folder of this stream on storage that the cluster
+    shares. Pass the same location again to resume: files already
+    committed are neither re-read nor written twice, so a lost driver or
+    executor means a restart, not duplicates. ``available_now`` processes
+    what is there and stops.
     """
-    if checkpoint_location is None:
-        checkpoint_location = scratch_path(scored.sparkSession, "scored-stream-ckpt")
     w = scored.writeStream.format("parquet").outputMode("append").option("path", out_path).option(
         "checkpointLocation", checkpoint_location
     )

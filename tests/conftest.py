@@ -24,7 +24,7 @@ def spark():
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
-    # Tests own their checkpoint folder; on a cluster it comes from the session.
+    # Tests own their shared folder; on a cluster it comes from the session.
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="catlens-test-ckpt-"))
     yield s

@@ -63,3 +63,15 @@ def test_stream_parquet_sink_resumes_without_duplicates(spark, tmp_dir):
     assert got.count() == usable and got.select("row_id").distinct().count() == usable
     assert 0 < n1 < usable
     res.release()
+
+
+def test_stream_refuses_swapped_columns(spark, tmp_dir):
+    import pytest
+
+    for name, text in (("a.csv", "id,Code\n1,2\n"), ("b.csv", "Code,id\n6,2\n")):
+        with open(os.path.join(tmp_dir, name), "w") as f:
+            f.write(text)
+    stream = read_csv_dir_stream(spark, tmp_dir, ["id", "Code"])
+    q = stream.writeStream.format("noop").option("checkpointLocation", scratch_path(spark, "swapped")).trigger(availableNow=True).start()
+    with pytest.raises(Exception, match="header|Header|column"):
+        q.awaitTermination()
