@@ -10,7 +10,7 @@ compressed by zstandard on its own, and planes of zeros are not stored. The foot
 block its offset, number of ids, plane lengths and the CRC-32 of its ids, so `read_ids` decodes only
 the blocks that a range of ids touches. The document table holds doc_id and length of each document.
 
-Words are encoded once per task and cached: the tokenizer drops white space and no rule of it looks
+Words are encoded once per worker process and cached: the tokenizer drops white space and no rule of it looks
 across ASCII white space, so a text's ids are those of its white-space-separated pieces in order.
 """
 
@@ -35,7 +35,7 @@ from .shared import bucket_of, order_bounds, partitions, runs, saved, scratch, t
 MAGIC = b"BPT1"
 BLOCK_IDS = 1 << 16
 END_ID = 1
-CACHED_WORDS = 300_000
+CACHED_WORDS = 1_000_000
 
 
 def to_planes(ids: np.ndarray, mode: str) -> list[bytes]:
@@ -177,15 +177,19 @@ class WordEncoder:
         self._at, self._len = np.zeros(1 << 14, dtype=np.int64), np.zeros(1 << 14, dtype=np.int64)
 
     def _learn(self, new: list[bytes]) -> None:
-        found = self._tokenizer.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False)
-        lists = [e.ids for e in found]
-        base, n = len(self._number), sum(map(len, lists))
+        # one call for all: a token belongs to the word in which it starts
+        words = [w.decode("utf-8") for w in new]
+        found = self._tokenizer.encode(" ".join(words), add_special_tokens=False)
+        ids = np.array(found.ids, dtype=np.uint32)
+        starts = np.fromiter((o[0] for o in found.offsets), dtype=np.int64, count=len(ids))
+        word_ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1)
+        sizes = np.bincount(np.searchsorted(word_ends, starts, side="right"), minlength=len(new))
+        base, n = len(self._number), len(ids)
         while self._n_flat + n > len(self._flat):
             self._flat = np.concatenate([self._flat, np.zeros_like(self._flat)])
         while base + len(new) > len(self._at):
             self._at, self._len = np.concatenate([self._at, np.zeros_like(self._at)]), np.concatenate([self._len, np.zeros_like(self._len)])
-        sizes = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
-        self._flat[self._n_flat : self._n_flat + n] = np.fromiter((i for x in lists for i in x), dtype=np.uint32, count=n)
+        self._flat[self._n_flat : self._n_flat + n] = ids
         self._at[base : base + len(new)] = self._n_flat + np.cumsum(sizes) - sizes
         self._len[base : base + len(new)] = sizes
         self._n_flat += n
@@ -211,6 +215,16 @@ class WordEncoder:
         return np.insert(ids, text_ends, END_ID), np.diff(np.concatenate([[0], text_ends])) + 1
 
 
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
+def encoder(tokenizer_path: str) -> WordEncoder:
+    """The worker process's encoder: its words stay known from task to task."""
+    if tokenizer_path not in _ENCODERS:
+        _ENCODERS[tokenizer_path] = WordEncoder(tokenizer_path)
+    return _ENCODERS[tokenizer_path]
+
+
 def write_tokens(docs: DataFrame, tokenizer_path: str, out: str | None = None, mode: str = "byte", shards: int | None = None, block_ids: int = BLOCK_IDS) -> DataFrame:
     """Write docs (doc_id, text) as shard files below `out` and return the manifest.
 
@@ -230,7 +244,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, out: str | None = None, m
         first = next((b for b in batches if b.num_rows), None)
         if first is None:
             return
-        shard, encoder = first.column("shard")[0].as_py(), WordEncoder(tokenizer_path)
+        shard, words = first.column("shard")[0].as_py(), encoder(tokenizer_path)
         path = f"{target}/shard-{shard:05d}.bpt"
         with atomic_writer(path) as stream:
             writer = ShardWriter(stream, mode, block_ids)
@@ -240,7 +254,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, out: str | None = None, m
                 ids = b.column("doc_id").fill_null(-(2**63)).to_numpy()
                 for i, j in runs(offsets):
                     texts = [data[offsets[k] : offsets[k + 1]].tobytes() for k in range(i, j)]
-                    tokens, lengths = encoder.encode(texts)
+                    tokens, lengths = words.encode(texts)
                     writer.add(ids[i:j], lengths, tokens)
 
             add(first)
