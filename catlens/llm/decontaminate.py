@@ -22,6 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,14 +42,14 @@ LEAST_WORDS = 5
 
 
 def bare_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and rows of the lower-cased (A-Z) words without ASCII punctuation."""
+    """Hashes and rows of the words without ASCII punctuation; texts come in lower case."""
     starts, ends, rows = words(data, offsets, BARE)
     return word_hashes(data, starts, ends), rows
 
 
 def _hashes(text: str) -> np.ndarray:
-    data = np.frombuffer(text.encode("utf-8"), dtype=np.uint8)
-    return bare_words(data, np.array([0, len(data)]))[0]
+    data, offsets = text_buffers(pc.utf8_lower(pa.array([text], type=pa.large_string())))
+    return bare_words(data, offsets)[0]
 
 
 def answer_of(text: str) -> str:
@@ -138,7 +139,7 @@ def _frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, i
         filter_ = _filter(own)
         df = np.zeros(len(own) + 1, dtype=np.int64)
         for b in batches:
-            data, offsets = text_buffers(b.column("text"))
+            data, offsets = text_buffers(pc.utf8_lower(b.column("text")))
             for i, j in runs(offsets):
                 h, rows = bare_words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 df[-1] += len(np.unique(rows))
@@ -269,7 +270,7 @@ def leaks(text: Column, found: list[Space], spark) -> Column:
     @F.arrow_udf(kind)
     def search(col: pa.Array) -> pa.Array:
         own = [s.value for s in sent]
-        data, offsets = text_buffers(col)
+        data, offsets = text_buffers(pc.utf8_lower(col))
         out = []
         for i, j in runs(offsets):
             h, rows = bare_words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
