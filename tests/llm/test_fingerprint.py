@@ -3,7 +3,7 @@ import random
 
 import numpy as np
 from catlens.llm.fingerprint import _EMPTY, _densify, decode, fingerprints, likeness
-from test_ngram_join import brute_sets
+from .test_ngram_join import brute_sets
 
 
 def rows_of(seed, n=60):
