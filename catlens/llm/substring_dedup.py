@@ -227,7 +227,8 @@ def remove_repeats(docs: DataFrame, window: int = 50, crowded: int = CROWDED) ->
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     base = base.withColumn("k", F.coalesce("doc_id", F.lit(LONG_MIN))).withColumn("t", F.xxhash64("text"))
     rows = saved(base.select("text", "k", "t").mapInArrow(lambda it: _anchor_rows(it, window), "anchor long, passage long, k long, t long, s1 int, more int"), "anchors")
-    repeated = rows.groupBy("anchor").agg(F.min("k").alias("k0"), F.max("k").alias("k1")).where("k0 < k1").select("anchor")
+    # written, so that both sides of the join below are shuffled and a hot anchor can be split
+    repeated = saved(rows.groupBy("anchor").agg(F.min("k").alias("k0"), F.max("k").alias("k1")).where("k0 < k1").select("anchor"), "repeated")
     found = saved(rows.join(repeated, "anchor", "left_semi").distinct(), "passages")
 
     distinct = found.groupBy("anchor", "passage").agg(F.min(F.struct("k", "t", "s1", "more")).alias("r"))
