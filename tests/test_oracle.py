@@ -27,7 +27,8 @@ def test_every_query_has_oracle_or_is_forest():
 
 @pytest.mark.parametrize("sf", [SF001, SF01])
 def test_queries_match_oracle(spark, sf):
-    rep = compare(spark, sf, list(QUERIES))
+    # the forest's fits once, on the smaller scale
+    rep = compare(spark, sf, [n for n in QUERIES if sf == SF001 or not (n.startswith("rf_") or n.endswith("_rf"))])
     bad = {k: v for k, v in rep.items() if v.get("ok") is False}
     assert not bad, bad
     assert all(v["rows"] > 0 for v in rep.values())
