@@ -30,10 +30,11 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     The driver sees one count and one checksum a round. Raises if max_rounds don't suffice.
     Repeated links and self links are harmless; null ends are ignored.
     """
-    edges = links.select("a", "b").where("a is not null and b is not null and a != b").distinct()
+    # a star reads its edges several times, so they are always a written table
+    edges = saved(links.select("a", "b").where("a is not null and b is not null and a != b").distinct(), "components")
     mark = None
     for _ in range(max_rounds):
-        edges = saved(_star(_star(edges, large=True), large=False), "components")
+        edges = saved(_star(saved(_star(edges, large=True), "components"), large=False), "components")
         now = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
         if now == mark or now["n"] == 0:
             break
