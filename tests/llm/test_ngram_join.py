@@ -126,3 +126,21 @@ def test_components_of_graph(spark):
             x, y = sorted((find(a), find(b)))
             root[y] = x
     assert got == {x: find(x) for x in root}
+
+
+@pytest.mark.parametrize("few", [2, 32])
+def test_family_around_the_threshold(make_docs, monkeypatch, few):
+    """Near copies of one text, some pairs above and most below the threshold, through both ways of comparing what pivots leave."""
+    from catlens.llm import ngram_join
+
+    monkeypatch.setattr(ngram_join, "FEW", few)
+    rng = random.Random(few)
+    base = [f"c{rng.randrange(500)}" for _ in range(120)]
+    rows = []
+    for i in range(70):
+        own = list(base)
+        for _ in range(rng.choice([1, 2, 3, 3, 3])):
+            own[rng.randrange(120)] = f"d{rng.randrange(100_000)}"
+        rows.append((i, " ".join(own)))
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in ngram_components(make_docs(rows), 4, 85).collect())
+    assert got == sorted(brute(rows, 4, 85))
