@@ -39,6 +39,8 @@ DOMAINS = 32
 BAND_RATIO = 1.5
 #: So many sets of one Arrow batch with one signature needn't meet in one task.
 CROWD = 8
+#: Rows whose signatures a task holds at once.
+SLICE = 3000
 #: Rounds of pivots before the pairs that are left are compared.
 ROUNDS = 2
 #: Buckets of at most so many sets are then compared pair by pair, larger ones by prefixes.
@@ -131,12 +133,12 @@ def _nodes(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBa
 
 
 def _signature_rows(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """sig, node: one row per signature and distinct set of the batch.
+    """sig, node: one row per signature and distinct set of a slice of SLICE rows.
 
-    Of a signature that CROWD sets of the batch share, only the least and the greatest node go on as
+    Of a signature that CROWD sets of the slice share, only the least and the greatest node go on as
     ordinary rows; the others are known to share it and needn't meet in one task: they carry -1 - node.
     """
-    for b in batches:
+    for b in (x.slice(i, SLICE) for x in batches for i in range(0, x.num_rows, SLICE)):
         seen: set[int] = set()
         sigs, nodes = [], []
         for _, sets in shingle_sets(b.column("text"), size):
