@@ -4,13 +4,16 @@
 2. Benchmark passages (PASSAGE words, half overlapping) become TF-IDF rows. Their randomised SVD is distributed:
    a random projection Y = A R and Z = A'Y are summed by feature over tasks, Q = orth(Z), the Gram matrix of A Q is summed
    over tasks, and its eigenvectors turn Q into the right singular vectors V.
-3. Document windows of the same length are folded into the latent space (a running sum of idf * V over their words, so a
-   window costs two lookups), and benchmark passages with a cosine of at least COSINE are candidates.
-4. A candidate is a leak if the longest common subsequence of the item and the window's surroundings (words that carry weight)
+3. Document windows are folded into the latent space (a running sum of idf * V over their words, so a window costs two
+   lookups), and benchmark passages with a cosine of at least COSINE are candidates. A passage is compared with windows of
+   the least of LENGTHS that holds it, so it fills most of a window whatever its length.
+4. A candidate is a leak if the longest common subsequence of the item and the window's surroundings
    covers LCS of the item, or LCS_ANSWER of it and ANSWER of the item's answer (its last sentence, or what follows its last question mark).
+   The item's words that stand there must have that share of its weight (the sum of its idf) too: common words alone are no leak.
 
-The benchmark is worked through in blocks of BLOCK passages, so what is broadcast (V and the passages' vectors) has a fixed
-bound: BLOCK * PASSAGE features of RANK 4-byte numbers, 67 MB. Documents are never joined with the benchmark.
+The benchmark is worked through in blocks of BLOCK passages, small beside RANK, so that passages stay apart in the latent space
+however many items there are. A block's V and vectors are bounded: BLOCK * PASSAGE features of RANK 4-byte numbers, 8 MB.
+Documents are never joined with the benchmark.
 """
 
 from __future__ import annotations
@@ -30,11 +33,14 @@ from .shared import runs, text_buffers
 from .words import BARE, U, mix, word_hashes, words
 
 PASSAGE = 64
+#: Words of a window, and words from one window to the next.
+LENGTHS = {8: 2, 12: 4, 16: 4, 24: 8, 32: 8, 48: 16, 64: 16}
 STRIDE = 16
 RANK = 128
-BLOCK = 2048
+BLOCK = 256
+CHUNK = 1 << 14  # words whose running sum is held at once
 COMMON = 0.05
-COSINE = 0.6
+COSINE = 0.5
 LCS = 0.7
 LCS_ANSWER = 0.5
 ANSWER = 0.8
@@ -83,14 +89,18 @@ def lcs_length(a: np.ndarray, b: np.ndarray) -> int:
 class Space:
     """The latent space of one block of benchmark passages."""
 
-    words: np.ndarray  # sorted feature words, all of positive idf
-    idf: np.ndarray
-    v: np.ndarray  # features x rank, float32
+    words: np.ndarray  # sorted feature words
+    v: np.ndarray  # features x rank, float32, times the features' idf, and a row of zeros
     vectors: np.ndarray  # passages x rank, unit length
+    length: np.ndarray  # words of the windows that each passage is compared with
     item: np.ndarray  # item number of each passage
-    items: list[tuple[int, int, np.ndarray, np.ndarray]]  # item id, number of words, words that carry weight, those of the answer
+    items: list[tuple[int, np.ndarray, np.ndarray]]  # item id, its words as features, those of the answer
+    size: np.ndarray  # words of each item
+    counts: np.ndarray  # items x (features and one), how often the item has the word
+    idf: np.ndarray  # of the features and one
+    mass: np.ndarray  # sum of the idf of each item's words
     filter: np.ndarray  # which low hash bits occur
-    least: int = LEAST_WORDS  # so many weighted words a window needs
+    least: dict[int, int]  # so many feature words a window of each length needs
 
     def features(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions of h that are feature words, and their features."""
@@ -102,32 +112,87 @@ class Space:
         hit = self.words[f] == h[at]
         return at[hit], f[hit]
 
-    def leaks(self, h: np.ndarray) -> list[tuple[int, float, float]]:
-        """(item id, cosine, LCS share) of the benchmark items that a document of word hashes h holds."""
+    def leaks(self, h: np.ndarray, cuts: np.ndarray) -> dict[int, list[tuple[int, float, float]]]:
+        """(item id, cosine, LCS share) of the benchmark items in each document that holds any; document i has the words h[cuts[i] : cuts[i + 1]]."""
+        found: dict[tuple[int, int], tuple[float, float]] = {}
         at, f = self.features(h)
-        if len(at) < self.least:
-            return []
-        total = np.zeros((len(at) + 1, self.v.shape[1]), dtype=np.float32)
-        np.cumsum(self.v[f] * self.idf[f][:, None], axis=0, out=total[1:])
-        begin = np.arange(0, max(1, len(h) - PASSAGE + STRIDE), STRIDE)
-        a, b = np.searchsorted(at, begin), np.searchsorted(at, begin + PASSAGE)
-        some = b - a >= self.least
-        begin, a, b = begin[some], a[some], b[some]
-        found: dict[int, tuple[float, float]] = {}
-        for k in range(0, len(begin), 4096):
-            x = total[b[k : k + 4096]] - total[a[k : k + 4096]]
-            x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-6)
-            cosine = x @ self.vectors.T
-            for w, p in zip(*np.nonzero(cosine >= COSINE), strict=True):
-                n = int(self.item[p])
-                item_id, size, mine, answer = self.items[n]
-                reach = max(STRIDE, size - PASSAGE)  # a long item reaches beyond the window
-                near = h[at[np.searchsorted(at, begin[k + w] - reach) : np.searchsorted(at, begin[k + w] + PASSAGE + reach)]]
-                share = lcs_length(mine, near) / len(mine)
-                old = found.get(n, (0.0, 0.0))
-                if share >= LCS or share >= LCS_ANSWER and len(answer) and lcs_length(answer, near) >= ANSWER * len(answer):
-                    found[n] = max(old, (share, float(cosine[w, p])))
-        return [(self.items[n][0], c, s) for n, (s, c) in sorted(found.items())]
+        if len(at):
+            # documents begin at multiples of STRIDE places, so that windows begin at multiples of their strides, and PASSAGE empty places apart
+            size = np.diff(cuts)
+            base = np.full(len(size) + 1, PASSAGE, dtype=np.int64)
+            base[1:] += np.cumsum(-(-size // STRIDE) * STRIDE + PASSAGE)
+            row = np.searchsorted(cuts, at, side="right") - 1
+            text = np.full(base[-1] + CHUNK + PASSAGE, len(self.words), dtype=np.int32)  # the feature at each place, or the last row of zeros
+            text[at - cuts[row] + base[row]] = f
+            for lo in range(0, int(base[-1]), CHUNK):
+                self._chunk(text, base, size, lo, found)
+        out: dict[int, list[tuple[int, float, float]]] = {}
+        for (d, n), (share, cosine) in sorted(found.items()):
+            out.setdefault(d, []).append((self.items[n][0], cosine, share))
+        return out
+
+    def _chunk(self, text: np.ndarray, base: np.ndarray, size: np.ndarray, lo: int, found: dict[tuple[int, int], tuple[float, float]]) -> None:
+        """Leaks of the windows that begin at places lo to lo + CHUNK."""
+        kinds = np.unique(self.length).tolist()
+        unit = min(LENGTHS[k] for k in kinds)  # windows are runs of cells of so many words
+        part = text[lo : lo + CHUNK + PASSAGE]
+        sums = {unit: sum(self.v[part[j::unit]] for j in range(unit))}
+        for n in (4, 8, 12, 16, 24, 32, 48, 64):  # sums of n words from each cell on, each of two shorter ones
+            if unit < n <= max(kinds) and n % unit == 0:
+                x = 1 << n.bit_length() - 1 if n & n - 1 else n // 2
+                left, right = sums[x], sums[n - x][x // unit :]
+                sums[n] = left[: len(right)] + right
+        filled = np.append(0, np.cumsum(part < len(self.words)))
+        for k in kinds:
+            stride, passages = LENGTHS[k], np.flatnonzero(self.length == k)
+            begin = np.arange(0, CHUNK, stride)
+            row = np.searchsorted(base, begin + lo, side="right") - 1
+            inside = begin + lo - base[row]
+            begin = begin[(row >= 0) & (row < len(size)) & (inside < np.maximum(1, size[np.clip(row, 0, len(size) - 1)] - k + stride))]
+            begin = begin[filled[begin + k] - filled[begin] >= self.least[k]]
+            x = sums[k][begin // unit]
+            cosine = x @ self.vectors[passages].T
+            cosine /= np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x)), 1e-6)[:, None]
+            w, p = np.nonzero(cosine >= COSINE)
+            for i in range(0, len(w), 1 << 14):
+                self._verify(text, base, size, begin[w[i : i + (1 << 14)]] + lo, k, self.item[passages[p[i : i + (1 << 14)]]], cosine[w[i : i + (1 << 14)], p[i : i + (1 << 14)]], found)
+
+    def _verify(self, text: np.ndarray, base: np.ndarray, size: np.ndarray, begin: np.ndarray, k: int, item: np.ndarray, cosine: np.ndarray, found: dict[tuple[int, int], tuple[float, float]]) -> None:
+        """Enters the leaks among candidates (windows of k words from begin, items) in found."""
+        need = LCS_ANSWER * self.size[item]
+        reach = np.maximum(LENGTHS[k], self.size[item] - k)  # a long item reaches beyond the window
+        weight = np.zeros(len(item))
+        for r in np.unique(reach):
+            c = np.flatnonzero(reach == r)
+            row = np.searchsorted(base, begin[c], side="right") - 1
+            a, b = np.maximum(base[row], begin[c] - r), np.minimum(base[row] + size[row], begin[c] + k + r)
+            # words of the item in the surroundings, then each at most as often as the item has it: bounds of the common subsequence
+            for once in (False, True):
+                keep = []
+                for i in range(0, len(c), max(1, (1 << 20) // (k + 2 * int(r)))):
+                    j = slice(i, i + max(1, (1 << 20) // (k + 2 * int(r))))
+                    place = a[j, None] + np.arange(k + 2 * r)
+                    near = np.where(place < b[j, None], text[np.minimum(place, len(text) - 1)], len(self.words))
+                    if once:
+                        near.sort(axis=1)
+                        n = self.counts[item[c[j], None], near]
+                        n[:, 1:][near[:, 1:] == near[:, :-1]] = 0
+                        weight[c[j]] = (n * self.idf[near]).sum(axis=1) / self.mass[item[c[j]]]
+                    else:
+                        n = self.counts[item[c[j], None], near] > 0
+                    keep.append(n.sum(axis=1, dtype=np.int64) >= need[c[j]])
+                keep = np.concatenate(keep) if keep else np.zeros(0, dtype=bool)
+                c, row, a, b = c[keep], row[keep], a[keep], b[keep]
+            for i, d, x, y in zip(c.tolist(), row.tolist(), a.tolist(), b.tolist(), strict=True):
+                n = int(item[i])
+                old = found.get((d, n), (0.0, 0.0))
+                if old[0] == 1 and old[1] >= cosine[i]:
+                    continue
+                _, mine, answer = self.items[n]
+                share = lcs_length(mine, text[x:y]) / len(mine)
+                sure = min(share, weight[i])
+                if sure >= LCS or sure >= LCS_ANSWER and len(answer) and lcs_length(answer, text[x:y]) >= ANSWER * len(answer):
+                    found[d, n] = max(old, (share, float(cosine[i])))
 
 
 def _frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, int]:
@@ -240,25 +305,26 @@ def _space(docs: DataFrame, items: list[tuple[int, np.ndarray, np.ndarray]]) ->
     idf = np.log((n + 1) / (df + 1)) + 0.1
     # in a small corpus a share says little: a word must also stand in more documents than there are items
     idf[(df > COMMON * n) & (df > max(50, 2 * len(items)))] = 0
-    rows, owner = [], []
+    rows, owner, length = [], [], []
     for k, (_, h, _) in enumerate(items):
         for a in range(0, max(1, len(h) - PASSAGE // 2), PASSAGE // 2):
-            f, x = _tfidf(h[a : a + PASSAGE], vocabulary, idf)
-            if len(f):
-                rows.append((f.tolist(), x.tolist()))
-                owner.append(k)
-    if not rows:
-        z = np.zeros((0, 1), dtype=np.float32)
-        return Space(vocabulary[:0], idf[:0], np.zeros((0, 1), np.float32), z, np.zeros(0, np.int64), [], np.zeros(1 << 20, dtype=bool))
+            passage = h[a : a + PASSAGE]
+            f, x = _tfidf(passage, vocabulary, idf)
+            rows.append((f.tolist(), x.tolist()))
+            owner.append(k)
+            length.append(min(n for n in LENGTHS if n >= len(passage)))
     passages = spark.createDataFrame(rows, "f array<int>, x array<double>").repartition(max(1, len(rows) // 256))
     v = randomised_svd(passages, len(vocabulary), min(RANK, len(rows)))
     vectors = np.stack([np.asarray(x, dtype=np.float32) @ v[np.asarray(f)] for f, x in rows])
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-6)
-    weighted = idf > 0
-    some = vocabulary[weighted]
-    short = [(i, len(h), h[np.isin(h, some)], answer[np.isin(answer, some)]) for i, h, answer in items]
-    least = min(LEAST_WORDS, min(len(f) for f, _ in rows))
-    return Space(some, idf[weighted].astype(np.float32), v[weighted], vectors, np.asarray(owner), short, _filter(some), least)
+    least = {n: min(LEAST_WORDS, min(len(f) for (f, _), k in zip(rows, length, strict=True) if k == n)) for n in set(length)}
+    v = np.append(v * idf[:, None], np.zeros((1, v.shape[1])), axis=0).astype(np.float32)
+    own = [(i, np.searchsorted(vocabulary, h), np.searchsorted(vocabulary, answer)) for i, h, answer in items]
+    counts = np.zeros((len(own), len(vocabulary) + 1), dtype=np.uint16)
+    for n, (_, h, _) in enumerate(own):
+        counts[n] = np.minimum(np.bincount(h, minlength=len(vocabulary) + 1), 65535)
+    size, idf = np.asarray([len(h) for _, h, _ in own]), np.append(idf, 0)
+    return Space(vocabulary, v, vectors, np.asarray(length), np.asarray(owner), own, size, counts, idf, counts @ idf, _filter(vocabulary), least)
 
 
 def leaks(text: Column, found: list[Space], spark) -> Column:
@@ -275,9 +341,9 @@ def leaks(text: Column, found: list[Space], spark) -> Column:
         for i, j in runs(offsets):
             h, rows = bare_words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
             cuts = np.searchsorted(rows, np.arange(j - i + 1))
+            hits = [s.leaks(h, cuts) for s in own]
             for k in range(j - i):
-                hits = [x for s in own for x in s.leaks(h[cuts[k] : cuts[k + 1]])]
-                out.append([{"item_id": a, "cosine": c, "lcs": s} for a, c, s in hits])
+                out.append([{"item_id": a, "cosine": c, "lcs": s} for x in hits for a, c, s in x.get(k, ())])
         return pa.array(out, type=arrow)
 
     return search(text)

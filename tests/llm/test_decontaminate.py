@@ -39,6 +39,21 @@ def test_finds_planted_items_and_leaves_others(spark, make_docs):
     assert all(r.contaminated == bool(r.leaks) for r in got)
 
 
+def test_short_items_of_a_large_benchmark_are_found(spark, make_docs):
+    rng = random.Random(9)
+    sentence = lambda n: " ".join(rng.choice(["the", "of", "and"]) if rng.random() < 0.4 else f"w{int(9000 * rng.random() ** 2)}" for _ in range(n))
+    items = [(i, sentence(rng.randrange(10, 30))) for i in range(2048)]
+    docs, truth = [], {}
+    for i in range(0, 2048, 2):  # each in the middle of a text of 200 words
+        words = sentence(200).split()
+        at = rng.randrange(len(words))
+        docs.append((i, " ".join(words[:at] + [items[i][1]] + words[at:])))
+    docs += [(5000 + i, sentence(200)) for i in range(200)]
+    found = {r.doc_id: {x.item_id for x in r.leaks} for r in contamination(make_docs(docs), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert [d for d, _ in docs if d < 5000 and d not in found[d]] == []
+    assert [d for d, _ in docs if found[d] - {d}] == []
+
+
 def test_empty_tables(spark, make_docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert [r.contaminated for r in contamination(make_docs([(1, "some text")]), none).collect()] == [False]
