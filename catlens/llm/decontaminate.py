@@ -1,6 +1,7 @@
 """Operator 4: benchmark decontamination by latent semantic retrieval.
 
-1. Document frequencies of words are counted over all documents; words in more than COMMON of them carry no weight.
+1. Document frequencies of words are counted over all documents. A word's weight falls with them to 0.1 and never to 0, so
+   an item that copies or a hot source carry into many documents keeps all its words.
 2. Benchmark passages (PASSAGE words, half overlapping) become TF-IDF rows. Their randomised SVD is distributed:
    a random projection Y = A R and Z = A'Y are summed by feature over tasks, Q = orth(Z), the Gram matrix of A Q is summed
    over tasks, and its eigenvectors turn Q into the right singular vectors V.
@@ -39,7 +40,6 @@ STRIDE = 16
 RANK = 128
 BLOCK = 256
 CHUNK = 1 << 14  # words whose running sum is held at once
-COMMON = 0.05
 COSINE = 0.5
 LCS = 0.7
 LCS_ANSWER = 0.5
@@ -303,8 +303,6 @@ def _space(docs: DataFrame, items: list[tuple[int, np.ndarray, np.ndarray]]) ->
     vocabulary = np.unique(np.concatenate([h for _, h, _ in items]))
     df, n = _frequencies(docs, vocabulary)
     idf = np.log((n + 1) / (df + 1)) + 0.1
-    # in a small corpus a share says little: a word must also stand in more documents than there are items
-    idf[(df > COMMON * n) & (df > max(50, 2 * len(items)))] = 0
     rows, owner, length = [], [], []
     for k, (_, h, _) in enumerate(items):
         for a in range(0, max(1, len(h) - PASSAGE // 2), PASSAGE // 2):
@@ -353,7 +351,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """All rows and columns of docs with `leaks` (array of item_id, cosine, lcs) and `contaminated` boolean.
 
     Null and blank texts hold nothing; repeated rows are judged alike; an empty benchmark leaks nothing; an empty
-    table gives no rows. Columns of docs named like the new ones are replaced. Items all of whose words are common can't be found.
+    table gives no rows. Columns of docs named like the new ones are replaced.
     """
     found = leaks(F.col("text").cast("string"), spaces(docs, benchmark), docs.sparkSession)
     return docs.withColumn("leaks", found).withColumn("contaminated", F.size("leaks") > 0)

@@ -39,6 +39,16 @@ def test_finds_planted_items_and_leaves_others(spark, make_docs):
     assert all(r.contaminated == bool(r.leaks) for r in got)
 
 
+def test_item_in_a_third_of_the_rows_is_found(spark, make_docs):
+    docs, items, truth = corpus()
+    for k in (0, 2):  # items of about 20 and 60 words, each in a third: more than max(50, 2 * items) and 5 % of the rows
+        docs += [(3000 + 1000 * k + i, text + " " + items[k][1]) for i, (_, text) in enumerate(docs[:150])]
+        truth |= {3000 + 1000 * k + i: truth[docs[i][0]] | {k} for i in range(150)}
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {r.doc_id: {x.item_id for x in r.leaks} for r in contamination(make_docs(docs), bench).collect()}
+    assert found == truth
+
+
 def test_short_items_of_a_large_benchmark_are_found(spark, make_docs):
     rng = random.Random(9)
     sentence = lambda n: " ".join(rng.choice(["the", "of", "and"]) if rng.random() < 0.4 else f"w{int(9000 * rng.random() ** 2)}" for _ in range(n))
