@@ -8,7 +8,7 @@
 3. Document windows are folded into the latent space (a running sum of idf * V over their words, so a window costs two
    lookups), and benchmark passages with a cosine of at least COSINE are candidates. A passage is compared with windows of
    the least of LENGTHS that holds it, so it fills most of a window whatever its length.
-4. A candidate is a leak if the longest common subsequence of the item and the window's surroundings
+4. A candidate is a leak if the longest common subsequence of the item's words (all of them) and the window's surroundings
    covers LCS of the item, or LCS_ANSWER of it and ANSWER of the item's answer (its last sentence, or what follows its last question mark).
    The item's words that stand there must have that share of its weight (the sum of its idf) too: common words alone are no leak.
 
@@ -100,7 +100,7 @@ class Space:
     idf: np.ndarray  # of the features and one
     mass: np.ndarray  # sum of the idf of each item's words
     filter: np.ndarray  # which low hash bits occur
-    least: dict[int, int]  # so many feature words a window of each length needs
+    least: dict[int, int]  # so many feature words a window of each length needs to be looked at; it settles no leak
 
     def features(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions of h that are feature words, and their features."""

@@ -49,6 +49,18 @@ def test_item_in_a_third_of_the_rows_is_found(spark, make_docs):
     assert found == truth
 
 
+def test_rare_words_of_an_item_are_no_leak_without_its_common_ones(spark, make_docs):
+    rng = random.Random(4)
+    common = [f"common{i}" for i in range(15)]
+    rare = [f"rare{i}" for i in range(5)]
+    item = " ".join(w for i in range(5) for w in (*common[3 * i : 3 * i + 3], rare[i]))
+    filler = lambda n: " ".join(f"other{rng.randrange(3000)}" for _ in range(n))
+    docs = [(i, filler(40) + " " + " ".join(rng.sample(common, 15))) for i in range(200)]
+    docs += [(500, filler(60) + " " + " ".join(rare[:1] + rare[:4]) + " " + filler(60)), (501, filler(60) + " " + item + " " + filler(60))]
+    found = contamination(make_docs(docs), spark.createDataFrame([(7, item)], "item_id long, text string")).where("contaminated").collect()
+    assert [(r.doc_id, r.leaks[0].lcs) for r in found] == [(501, 1.0)]
+
+
 def test_short_items_of_a_large_benchmark_are_found(spark, make_docs):
     rng = random.Random(9)
     sentence = lambda n: " ".join(rng.choice(["the", "of", "and"]) if rng.random() < 0.4 else f"w{int(9000 * rng.random() ** 2)}" for _ in range(n))
