@@ -13,8 +13,9 @@
    The item's words that stand there must have that share of its weight (the sum of its idf) too: common words alone are no leak.
 
 The benchmark is worked through in blocks of BLOCK passages, small beside RANK, so that passages stay apart in the latent space
-however many items there are. A block's V and vectors are bounded: BLOCK * PASSAGE features of RANK 4-byte numbers, 8 MB.
-Documents are never joined with the benchmark.
+however many items there are. A block's V and vectors are bounded: BLOCK * PASSAGE features of RANK 4-byte numbers, 8 MB, and as
+much for the items' word counts. The benchmark's words pass through the driver and all blocks are broadcast together, so both
+grow with the benchmark, not with the documents. Documents are never joined with the benchmark.
 """
 
 from __future__ import annotations
@@ -216,7 +217,7 @@ def _frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, i
         some = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(df[some])], ["f", "n"])
 
-    got = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "f long, n long").groupBy("f").agg(F.sum("n").alias("n")).toArrow()  # one row a feature of the block
+    got = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "f long, n long").groupBy("f").agg(F.sum("n").alias("n")).toArrow()  # one row a word of the benchmark
     df = np.zeros(len(vocabulary) + 1, dtype=np.int64)
     df[got.column("f").to_numpy()] = got.column("n").to_numpy()
     return df[:-1], int(df[-1])
@@ -295,13 +296,17 @@ def spaces(docs: DataFrame, benchmark: DataFrame) -> list[Space]:
             size = 0
         blocks[-1].append(n)
         size += cut
-    return [_space(docs, [items[n] for n in b]) for b in blocks if b]
+    if not items:
+        return []
+    every = np.unique(np.concatenate([h for _, h, _ in items]))
+    df, n = _frequencies(docs, every)  # of all blocks' words in one scan
+    return [_space(docs.sparkSession, [items[k] for k in b], every, df, n) for b in blocks if b]
 
 
-def _space(docs: DataFrame, items: list[tuple[int, np.ndarray, np.ndarray]]) -> Space:
-    spark = docs.sparkSession
+def _space(spark, items: list[tuple[int, np.ndarray, np.ndarray]], every: np.ndarray, df: np.ndarray, n: int) -> Space:
+    """The space of one block; df: in how many of the n documents each word of every stands."""
     vocabulary = np.unique(np.concatenate([h for _, h, _ in items]))
-    df, n = _frequencies(docs, vocabulary)
+    df = df[np.searchsorted(every, vocabulary)]
     idf = np.log((n + 1) / (df + 1)) + 0.1
     rows, owner, length = [], [], []
     for k, (_, h, _) in enumerate(items):

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+from catlens.llm import decontaminate as module
 from catlens.llm.decontaminate import answer_of, contamination, lcs_length, randomised_svd
 
 
@@ -76,6 +77,15 @@ def test_short_items_of_a_large_benchmark_are_found(spark, make_docs):
     assert [d for d, _ in docs if found[d] - {d}] == []
 
 
+def test_blocks_share_one_count_of_the_documents(spark, make_docs, monkeypatch):
+    docs, items, truth = corpus()
+    calls, count = [], module._frequencies
+    monkeypatch.setattr(module, "_frequencies", lambda *a: calls.append(1) or count(*a))
+    monkeypatch.setattr(module, "BLOCK", 25)
+    found = {r.doc_id: {x.item_id for x in r.leaks} for r in contamination(make_docs(docs), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert found == truth and len(calls) == 1
+
+
 def test_empty_tables(spark, make_docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert [r.contaminated for r in contamination(make_docs([(1, "some text")]), none).collect()] == [False]
