@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catlens.session import delete_path
+
 LONG_MIN = -(2**63)
 
 
@@ -41,7 +43,15 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     """df written once as Parquet to the shared folder and read again: the lineage ends there."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete tables that `saved` gave, once all that reads them is written."""
+    for t in tables:
+        delete_path(t.sparkSession, t._scratch_path)
 
 
 def ship(spark: SparkSession) -> None:
