@@ -71,4 +71,59 @@ SELECT page_id, payload_bytes, d.payload_digest, CASE WHEN top <> page_id THEN '
 FROM d LEFT JOIN t ON t.payload_digest = d.payload_digest AND d.payload_bytes >= 1000
 """
 
-ORACLE_SQL = {"op3_ngram_join": OP3, "op5_hierarchical_mixing": OP5, "op7_fm_index_dedup": OP7, "op10_warc_index": OP10}
+# The CRC-32 step per bit (-1 in the list) and per character of the decimal text.
+_CRC32 = (
+    "xor(list_reduce(flatten(list_transform(string_split(CAST({0} AS VARCHAR), ''), lambda x: [CAST(ascii(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])), "
+    "lambda c, s: CASE WHEN s >= 0 THEN xor(c, s) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT))"
+)
+
+OP11 = f"""
+WITH o AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS ws, {_CRC32.format('doc_id')} AS h FROM documents
+), t AS (SELECT *, len(ws) AS n, CASE WHEN h % 10 = 0 AND len(ws) > 0 THEN (h // 10) % len(ws) END AS a FROM o
+), w AS (
+  SELECT doc_id, n, CASE WHEN a IS NULL THEN ws ELSE
+         list_transform(range(0, n), lambda i: ws[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) END]) END AS ws FROM t
+), g AS (SELECT doc_id, i, md5_number(array_to_string(ws[i+1:i+5], ' ')) AS s FROM (SELECT doc_id, ws, unnest(range(0, n - 4)) AS i FROM w WHERE n >= 5)
+), m AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM g x JOIN g y ON x.doc_id = y.doc_id AND x.s = y.s AND x.i < y.i
+), island AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS k FROM m
+), stretch AS (SELECT doc_id, min(i) AS s, max(i) + 5 + q AS e, q FROM island GROUP BY doc_id, q, k HAVING max(i) - min(i) + 5 + q >= greatest(6, 4 * q)
+), r AS (SELECT doc_id, s, e - s AS len, min(q) AS q FROM stretch GROUP BY doc_id, s, e
+), per AS (
+  SELECT doc_id, count(*) AS n_runs, sha256(string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q)) AS runs_sha256 FROM r GROUP BY doc_id
+), best AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY CAST(len AS DOUBLE) / q DESC, s, q) = 1
+), gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + len)) AS i FROM r
+), words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(0, n)) AS i FROM w
+), kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT w.doc_id, coalesce(n_runs, 0) AS n_runs, s AS start, len AS length, q AS period, 1000 * len // q AS exponent_milli,
+       coalesce(runs_sha256, sha256('')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM w LEFT JOIN per USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+OP12 = f"""
+WITH t AS (
+  SELECT conv_id AS c, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS u, strlen(coalesce(text, '')) AS b, turn
+  FROM conversations WHERE conv_id IS NOT NULL
+), size AS (SELECT u, any_value(b) AS b FROM t GROUP BY u
+), own AS (SELECT c, list(u ORDER BY turn NULLS FIRST, u) AS us, {_CRC32.format('c')} % 9 AS h FROM t GROUP BY c
+), built AS (SELECT o.c, list_concat(coalesce(d.us, [])[1:o.h], o.us[o.h + 1:]) AS us FROM own o LEFT JOIN own d ON d.c = o.c - o.c % 5
+), p AS (SELECT c, len(us) AS n, array_to_string(us, '') AS k, unnest(range(0, len(us) + 1)) AS d FROM built
+), node AS (
+  SELECT substr(k, 1, 32 * d) AS k, d, min(c) AS conv_id, count(*) AS n_convs, string_agg(CASE WHEN n = d THEN c END, ',' ORDER BY c) AS ends FROM p GROUP BY ALL
+), kids AS (SELECT substr(k, 1, 32 * (d - 1)) AS k, count(*) AS n_children FROM node WHERE d > 0 GROUP BY 1
+), cost AS (SELECT node.k, d, n_children IS NULL AS leaf, coalesce((n_convs - 1) * b, 0) AS saved FROM node LEFT JOIN size ON u = right(node.k, 32) LEFT JOIN kids USING (k)
+), below AS (
+  SELECT substr(k, 1, 32 * up) AS k, sum(CASE WHEN leaf THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved FROM (SELECT *, unnest(range(0, d + 1)) AS up FROM cost) GROUP BY 1)
+SELECT a.conv_id, a.d AS depth, b.conv_id AS parent_conv_id, a.n_convs, coalesce(n_children, 0) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(a.ends, '')) AS ends_sha256
+FROM node a LEFT JOIN kids ON kids.k = a.k JOIN below ON below.k = a.k LEFT JOIN node b ON a.d > 0 AND b.k = substr(a.k, 1, 32 * (a.d - 1))
+"""
+
+ORACLE_SQL = {
+    "op3_ngram_join": OP3,
+    "op5_hierarchical_mixing": OP5,
+    "op7_fm_index_dedup": OP7,
+    "op10_warc_index": OP10,
+    "op11_periodic_runs": OP11,
+    "op12_prefix_trie": OP12,
+}

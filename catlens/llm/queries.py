@@ -12,8 +12,11 @@ from .decontaminate import contamination
 from .fingerprint import fingerprints
 from .html_extract import extract_pages
 from .importance import resample
+from .lattice_lm import score_texts
 from .mixing import mix
 from .ngram_join import ngram_components
+from .periodic_runs import periodic_runs
+from .prefix_trie import prefix_trie
 from .shared import ship, table
 from .substring_dedup import remove_repeats
 from .token_files import read_tokens, write_tokens
@@ -84,6 +87,24 @@ def op10_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_and_read(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_runs, the strongest run and the digests of all runs and of the text without repeats, of every document."""
+    ship(spark)
+    return periodic_runs(table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per node of the prefix trie of all rebuilt conversations."""
+    ship(spark)
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
+    ship(spark)
+    return score_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of corpus_pipeline.run."""
     import corpus_pipeline
@@ -104,6 +125,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity_cnn,
         op9_bit_plane_tokens,
         op10_warc_index,
+        op11_periodic_runs,
+        op12_prefix_trie,
+        op13_lattice_lm,
         pipeline,
     )
 }
