@@ -30,6 +30,7 @@ from decimal import ROUND_CEILING, Decimal
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catlens.config import JobConfig
 from catlens.operators.cleaning import SPLIT_HASH, qcol
@@ -46,6 +47,8 @@ RANK_BLOCK = 42_949_673
 RANKS = 100 * RANK_BLOCK
 # Copies of one row that are expanded in one place.
 CHUNK_ROWS = 10_000
+# The threshold rows of the stratified split are broadcast up to this many bytes.
+BROADCAST_BYTES = 8 << 20
 
 
 def rank_threshold(test_fraction: float) -> int:
@@ -147,73 +150,68 @@ def _tie_cols(df: DataFrame, key_col: str | None, label_col: str) -> list[str]:
     return ([key_col] if key_col is not None else []) + rest
 
 
-def _is_row(values: tuple, names: list[str], types: dict) -> Column:
-    """Whether the row has exactly these values (NULL-safe)."""
-    out = F.lit(True)
-    for n, v in zip(names, values):
-        out = out & qcol(n).eqNullSafe(F.lit(v).cast(types[n]))
-    return out
-
-
-def _before_row(values: tuple, names: list[str], types: dict) -> Column:
-    """Whether the row comes before these values, column by column, NULL first."""
-    out = F.lit(False)
-    for n, v in zip(reversed(names), reversed(values)):
-        x, y = qcol(n), F.lit(v).cast(types[n])
-        less = F.coalesce(x < y, F.lit(False)) if v is not None else F.lit(False)
-        less = (less | x.isNull()) if v is not None else less
-        out = less | (x.eqNullSafe(y) & out)
-    return out
+def _row(names: list[str]) -> Column:
+    """The columns as one value; structs compare column by column, NULL first, and NULLs are equal."""
+    return F.struct(*[qcol(n).alias(f"_{i}") for i, n in enumerate(names)])
 
 
 def stratified_thresholds(
     df: DataFrame, label_col: str, test_fraction: float, key_col: str | None, bucket_bits: int
-) -> list[tuple]:
-    """(label, (hash, tie...) of the last test row, copies of it, copies that are test) for every label with
-    a quota, i.e. the m-th row in (hash, tie) order. Two passes: bucket counts,
+) -> tuple[list, T.StructType]:
+    """One row (label, _copies, _take, _edge) for every label with a quota, and their schema: the last test row, i.e. the m-th
+    row in (hash, tie) order, how many copies of it there are and how many of them are test. Two passes: bucket counts,
     and a running count over only the boundary bucket of each label (about
     n_label / 2^bits rows). At most k + 1 entries."""
     plan = stratified_plan(df, label_col, test_fraction, bucket_bits).collect()
-    if not plan:
-        return []
-    b_star = F.create_map(*[x for r in plan for x in (F.lit(r[0]), F.lit(r[1]))])
-    need = F.create_map(*[x for r in plan for x in (F.lit(r[0]), F.lit(r[2]))])
     names = [SPLIT_HASH, *_tie_cols(df, key_col, label_col)]
-    boundary = df.filter(_bucket(bucket_bits) == F.element_at(b_star, F.col(label_col)))
+    b_star = F.create_map(*[x for r in plan for x in (F.lit(r[0]), F.lit(r[1]))]) if plan else F.lit(None)
+    need = F.create_map(*[x for r in plan for x in (F.lit(r[0]), F.lit(r[2]))]) if plan else F.lit(None)
+    boundary = df.filter(_bucket(bucket_bits) == F.element_at(b_star, F.col(label_col))) if plan else df.limit(0)
     # Copies collapse to one row with a count, partially aggregated map-side,
     # so a hot group of identical rows never reaches the window task whole.
-    tuples = boundary.groupBy(label_col, *[qcol(c) for c in names]).agg(F.count(F.lit(1)).alias("_copies"))
-    w = Window.partitionBy(label_col).orderBy(*[qcol(c) for c in names]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    tuples = boundary.groupBy(F.col(label_col), _row(names).alias("_edge")).agg(F.count(F.lit(1)).alias("_copies"))
+    w = Window.partitionBy(label_col).orderBy("_edge").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = tuples.withColumn("_cum", F.sum("_copies").over(w))
-    m = F.element_at(need, F.col(label_col))
+    m = F.element_at(need, F.col(label_col)) if plan else F.lit(0)
     picked = ranked.filter((F.col("_cum") >= m) & (F.col("_cum") - F.col("_copies") < m))
-    rows = picked.select(label_col, F.col("_copies"), (m - F.col("_cum") + F.col("_copies")).alias("_take"), *[qcol(c) for c in names]).collect()
-    return [(r[0], tuple(r[3:]), r[1], r[2]) for r in rows]
+    picked = picked.select(label_col, "_copies", (m - F.col("_cum") + F.col("_copies")).cast("long").alias("_take"), "_edge")
+    return picked.collect() if plan else [], picked.schema
+
+
+def _fits_broadcast(rows: list, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether the threshold rows, as text, stay below the limit (a row may hold long values)."""
+    return sum(len(str(r)) for r in rows) <= limit
 
 
 def assign_stratified(
     df: DataFrame, label_col: str, test_fraction: float, key_col: str | None, bucket_bits: int | None = None, max_label_rows: int | None = None
 ) -> DataFrame:
-    """Exact stratified assignment (see module doc): narrow comparisons with one threshold row per
-    label; only the copies of a threshold row that lies on both sides are counted and expanded."""
+    """Exact stratified assignment (see module doc): each row is compared with its label's threshold row, which
+    comes by a join with a table of one row per label; only the copies of a threshold row that lies on both sides are counted and expanded.
+
+    The table is broadcast after a check of its size. Its rows are compared as structs, so the plan has the same size for any
+    number of columns and labels.
+    """
     if bucket_bits is None:
         if max_label_rows is None:
             max_label_rows = df.groupBy(label_col).count().agg(F.max("count")).first()[0] or 1
         bucket_bits = auto_bucket_bits(max_label_rows)
-    thresholds = stratified_thresholds(df, label_col, test_fraction, key_col, bucket_bits)
-    names = [SPLIT_HASH, *_tie_cols(df, key_col, label_col)]
-    types = {f.name: f.dataType for f in df.schema.fields}
-    test, cut, take = F.lit(False), F.lit(False), F.lit(0)
-    for label, values, copies, n in thresholds:
-        mine = F.col(label_col).eqNullSafe(F.lit(label))
-        test = test | (mine & (_before_row(values, names, types) | (_is_row(values, names, types) & F.lit(copies == n))))
-        if copies != n:
-            cut = cut | (mine & _is_row(values, names, types))
-            take = F.when(mine, F.lit(n)).otherwise(take)
-    if all(copies == n for _, _, copies, n in thresholds):
-        return df.withColumn(IS_TEST, test)
-    groups = df.filter(cut).groupBy(*[qcol(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
-    return df.filter(~cut).withColumn(IS_TEST, test).unionByName(_copies_to_sides(groups, "_copies", take))
+    rows, schema = stratified_thresholds(df, label_col, test_fraction, key_col, bucket_bits)
+    edges = df.sparkSession.createDataFrame(rows, schema).withColumnRenamed(label_col, "_label")
+    if _fits_broadcast(rows):
+        edges = F.broadcast(edges)
+    own = _row([SPLIT_HASH, *_tie_cols(df, key_col, label_col)])
+    cols = [qcol(c) for c in df.columns]
+    judged = df.join(edges, F.col(label_col).eqNullSafe(F.col("_label")), "left")
+    at = F.coalesce(own == F.col("_edge"), F.lit(False))
+    whole = F.col("_copies") == F.col("_take")
+    test = F.coalesce((own < F.col("_edge")) | (at & whole), F.lit(False))
+    if all(r["_copies"] == r["_take"] for r in rows):
+        return judged.select(*cols, test.alias(IS_TEST))
+    cut = at & ~whole
+    groups = judged.filter(cut).groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies"), F.first("_take").alias("_take"))
+    shared = _copies_to_sides(groups, "_copies", F.col("_take")).select(*cols, IS_TEST)
+    return judged.filter(~cut).select(*cols, test.alias(IS_TEST)).unionByName(shared)
 
 
 def assign(df: DataFrame, cfg: JobConfig, max_label_rows: int | None = None) -> DataFrame:
