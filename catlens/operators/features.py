@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from catlens.config import JobConfig
 from catlens.operators.cleaning import qcol
+from catlens.operators.ranking import position_in_group
 
 FEATURES = "features"
 LABEL = "label"
@@ -133,17 +134,18 @@ class Vocabulary:
         return sum(len(a) for a in self.arrays)
 
 
-def fit_vocabulary(train: DataFrame, cfg: JobConfig) -> tuple[Vocabulary, DataFrame]:
-    """The vocabulary and the persisted counts it comes from (labels x vocabulary rows; the caller unpersists).
+def fit_vocabulary(train: DataFrame, cfg: JobConfig, counts: DataFrame | None = None) -> tuple[Vocabulary, DataFrame]:
+    """The vocabulary and the persisted counts it comes from (labels x vocabulary rows; the caller unpersists), or the given ones.
 
     To the driver go one row per category, which MLlib's indexer models hold there anyway, and one per class.
     """
-    counts = vocabulary_counts(train, cfg).persist(StorageLevel.MEMORY_AND_DISK)
+    if counts is None:
+        counts = vocabulary_counts(train, cfg).persist(StorageLevel.MEMORY_AND_DISK)
     categories = [tuple(r) for r in category_counts(counts).collect()]
     return Vocabulary(categories, [tuple(r) for r in class_counts(counts, cfg).collect()], cfg), counts
 
 
-def fit_features(train: DataFrame, cfg: JobConfig):
+def fit_features(train: DataFrame, cfg: JobConfig, counts: DataFrame | None = None):
     """H1-H4 fitted on the training rows: (PipelineModel of indexers, encoder
     and assembler, Vocabulary or None, vocabulary counts or None).
 
@@ -155,7 +157,7 @@ def fit_features(train: DataFrame, cfg: JobConfig):
 
     if not cfg.fit_from_counts:
         return Pipeline(stages=feature_stages(cfg)).fit(train), None, None
-    vocab, counts = fit_vocabulary(train, cfg)
+    vocab, counts = fit_vocabulary(train, cfg, counts)
     stages = vocab.indexers()
     indexed = train
     for m in stages:
@@ -194,21 +196,22 @@ def index_to_label(pipeline_model, df: DataFrame) -> DataFrame:
     ).transform(df)
 
 
-def category_index_table(counts: DataFrame, cfg: JobConfig) -> DataFrame:
+def category_index_table(counts: DataFrame, cfg: JobConfig, keep: list) -> DataFrame:
     """(feature, category, idx, slot, slot_name) from the vocabulary counts, without a collect of categories.
 
     ``slot`` is the position in ``features``: the index plus the sizes of the
-    blocks before (one size per feature goes to the driver). The window runs
-    over one feature's vocabulary.
+    blocks before (one size per feature goes to the driver). A feature's categories are ranked over all range
+    partitions they fill, so no task reads a whole feature; ``keep`` gets what releases the ranked rows.
     """
-    ranked = category_counts(counts).withColumn("idx", (F.row_number().over(Window.partitionBy("feature").orderBy(*_by_frequency("category"))) - 1).cast("int"))
-    sizes = {r[0]: r[1] for r in category_counts(counts).groupBy("feature").count().collect()}
+    ranked, sizes = position_in_group(category_counts(counts), "feature", _by_frequency("category"), "idx", keep)
     offset, offsets = 0, []
     for c in cfg.feature_cols:
         offsets += [F.lit(c), F.lit(offset)]
         offset += sizes.get(c, 0)
     slot = (F.col("idx") + F.element_at(F.create_map(*offsets), F.col("feature"))).cast("int")
-    return ranked.select("feature", "category", "idx", slot.alias("slot"), F.concat("feature", F.lit(vec_col("")), F.lit("_"), "category").alias("slot_name"))
+    return ranked.select(
+        "feature", "category", F.col("idx").cast("int").alias("idx"), slot.alias("slot"), F.concat("feature", F.lit(vec_col("")), F.lit("_"), "category").alias("slot_name")
+    )
 
 
 def label_index_table(counts: DataFrame, cfg: JobConfig) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.ml.classification import NaiveBayes, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from catlens.config import JobConfig
 from catlens.operators import splits
@@ -21,8 +20,9 @@ from catlens.operators.features import (
     class_counts,
     feature_stages,
     fit_features,
-    slot_names,
 )
+from catlens.operators.forest import fit_memory_mb, named_importances, node_table
+from catlens.session import checkpoint_dir
 
 
 def naive_bayes(cfg: JobConfig) -> NaiveBayes:
@@ -30,18 +30,31 @@ def naive_bayes(cfg: JobConfig) -> NaiveBayes:
     return NaiveBayes(featuresCol=FEATURES, labelCol=LABEL, modelType="multinomial", smoothing=cfg.smoothing)
 
 
-def random_forest(cfg: JobConfig) -> RandomForestClassifier:
-    """A forest of gini trees (other parameters at MLlib defaults)."""
-    return RandomForestClassifier(
+def random_forest(cfg: JobConfig, slots: int | None = None, classes: int | None = None) -> RandomForestClassifier:
+    """A forest of gini trees (other parameters at MLlib defaults).
+
+    From ``cfg.deep_depth`` on each row's node is cached and checkpointed every ``cfg.deep_checkpoint`` levels instead of
+    sending ever larger trees to the executors, and the node aggregates get memory by the number of slots and classes.
+    """
+    forest = RandomForestClassifier(
         featuresCol=FEATURES, labelCol=LABEL, numTrees=cfg.num_trees, maxDepth=cfg.max_depth, seed=cfg.seed
     )
+    if cfg.max_depth < cfg.deep_depth:
+        return forest
+    return forest.setCacheNodeIds(True).setCheckpointInterval(cfg.deep_checkpoint).setMaxMemoryInMB(fit_memory_mb(slots or 1, classes or cfg.top_n_classes + 1))
+
 
+def _checkpointed(spark: SparkSession, cfg: JobConfig) -> None:
+    """Deep fits checkpoint their node ids to the shared folder."""
+    if cfg.max_depth >= cfg.deep_depth and spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
 
-def classifier(cfg: JobConfig, kind: str):
+
+def classifier(cfg: JobConfig, kind: str, slots: int | None = None, classes: int | None = None):
     if kind == "nb":
         return naive_bayes(cfg)
     if kind == "rf":
-        return random_forest(cfg)
+        return random_forest(cfg, slots, classes)
     raise ValueError(f"unknown model {kind!r}")
 
 
@@ -66,12 +79,12 @@ def canonical_layout(df: DataFrame, cfg: JobConfig) -> DataFrame:
     return placed.withColumn(SPLIT_HASH, F.col("_own")).select(*cols)
 
 
-def class_slot_counts(counts: DataFrame, vocab: Vocabulary, cfg: JobConfig) -> DataFrame:
+def class_slot_counts(counts: DataFrame, vocab: Vocabulary, cfg: JobConfig, keep: list) -> DataFrame:
     """(label, slot, slot_name, n) for every class and slot, 0 where the class never has the value.
 
     Classes (at most k + 1) are a literal array, so this is classes x slots rows, the size of the model.
     """
-    slots = category_index_table(counts, cfg).select("feature", "category", "slot", "slot_name")
+    slots = category_index_table(counts, cfg, keep).select("feature", "category", "slot", "slot_name")
     grid = slots.withColumn(cfg.label_col, F.explode(F.array(*[F.lit(lab) for lab in vocab.labels])))
     seen = counts.filter(F.col("feature") != ROWS)
     return grid.join(seen, [cfg.label_col, "feature", "category"], "left").select(
@@ -85,7 +98,8 @@ def nb_from_counts(counts: DataFrame, vocab: Vocabulary, cfg: JobConfig):
     the same class totals and per-slot sums as the full training rows (up to
     one rounding of cnt / n_c * n_c). The class rows are made on the executors
     from the counts; each holds one number per slot, as the model does."""
-    cells = class_slot_counts(counts, vocab, cfg)
+    keep: list = []
+    cells = class_slot_counts(counts, vocab, cfg, keep)
     rows = cells.groupBy(cfg.label_col).agg(F.array_sort(F.collect_list(F.struct("slot", "n"))).alias("cells"))
     index = F.create_map(*[F.lit(x) for i, lab in enumerate(vocab.labels) for x in (lab, float(i))])
     rows = rows.join(class_counts(counts, cfg).withColumnRenamed("n", "w"), cfg.label_col)
@@ -93,53 +107,55 @@ def nb_from_counts(counts: DataFrame, vocab: Vocabulary, cfg: JobConfig):
     compact = rows.select(
         F.element_at(index, F.col(cfg.label_col)).alias(LABEL), F.col("w").cast("double").alias("w"), array_to_vector(shares).alias(FEATURES)
     )
-    return naive_bayes(cfg).setWeightCol("w").fit(compact)
+    model = naive_bayes(cfg).setWeightCol("w").fit(compact)
+    for release in keep:
+        release()
+    return model
 
 
-def fit(train: DataFrame, cfg: JobConfig, kind: str = "nb") -> PipelineModel:
+def fit(train: DataFrame, cfg: JobConfig, kind: str = "nb", counts: DataFrame | None = None) -> PipelineModel:
     """H5: fit indexers, encoder, assembler and classifier on the training rows.
 
     Default (``cfg.fit_from_counts``): one distributed aggregation of
     (label, feature, category) counts gives the indexers and, for NB, the
     whole model; the forest then trains on the canonical layout. With
-    ``fit_from_counts=False`` MLlib fits every stage itself.
+    ``fit_from_counts=False`` MLlib fits every stage itself. ``counts``: persisted vocabulary counts of train, where the caller has them.
     """
+    if kind == "rf":
+        _checkpointed(train.sparkSession, cfg)
     if not cfg.fit_from_counts:
         if kind == "rf":
             train = canonical_layout(train, cfg)
         return Pipeline(stages=feature_stages(cfg) + [classifier(cfg, kind)]).fit(train)
-    feats, vocab, counts = fit_features(train, cfg)
+    feats, vocab, used = fit_features(train, cfg, counts)
     if kind == "nb":
-        clf = nb_from_counts(counts, vocab, cfg)
+        clf = nb_from_counts(used, vocab, cfg)
     else:
-        clf = classifier(cfg, kind).fit(feats.transform(canonical_layout(train, cfg)))
-    counts.unpersist()
+        clf = classifier(cfg, kind, vocab.num_slots, len(vocab.labels)).fit(feats.transform(canonical_layout(train, cfg)))
+    if counts is None:
+        used.unpersist()
     return PipelineModel(stages=list(feats.stages) + [clf])
 
 
-def nb_parameters(counts: DataFrame, vocab: Vocabulary, cfg: JobConfig) -> tuple[DataFrame, DataFrame]:
+def nb_parameters(counts: DataFrame, vocab: Vocabulary, cfg: JobConfig, keep: list) -> tuple[DataFrame, DataFrame]:
     """I1 as tables from the vocabulary counts: (label, log_prior) and (label, slot_name, theta).
 
     log_prior = ln(n_c + l) - ln(N + K l); theta = ln(cnt + l) - ln(sum of the class's cnt + D l).
-    Nothing is collected: the tables equal the fitted MLlib model's pi and theta.
+    Nothing is collected: the tables equal the fitted MLlib model's pi and theta. ``keep`` gets what releases the ranked slots.
     """
     lam, lab = cfg.smoothing, cfg.label_col
     total, k, d = sum(vocab.label_n.values()), len(vocab.labels), vocab.num_slots
     priors = class_counts(counts, cfg).select(lab, (F.log(F.col("n") + lam) - F.log(F.lit(total + k * lam))).alias("log_prior"))
-    cells = class_slot_counts(counts, vocab, cfg)
+    cells = class_slot_counts(counts, vocab, cfg, keep)
     sums = cells.groupBy(lab).agg(F.sum("n").alias("all"))
     theta = F.log(F.col("n") + lam) - F.log(F.col("all") + d * lam)
     return priors, cells.join(sums, lab).select(lab, "slot_name", theta.alias("theta"))
 
 
-def feature_importances_named(spark: SparkSession, pipeline_model: PipelineModel, cfg: JobConfig, top: int | None = 10) -> DataFrame:
-    """(feature_name, importance) of the forest's one-hot slots, biggest first, ties by name.
+def feature_importances_named(spark: SparkSession, pipeline_model: PipelineModel, slots: DataFrame, keep: list, top: int | None = 10) -> DataFrame:
+    """(feature_name, importance) of the forest's one-hot slots (slot, slot_name), biggest first, ties by name.
 
-    The forest holds its importances on the driver as one vector; ``top`` of them are picked there, so no more
-    than ``top`` rows are made (None: one row per slot).
+    Aggregated from the forest's node table and joined with the slot names; no row is made on the driver. ``keep`` gets what
+    deletes the node table. ``top`` None: every slot.
     """
-    scores = pipeline_model.stages[-1].featureImportances.toArray()
-    ranked = sorted(zip(slot_names(pipeline_model, cfg), (float(x) for x in scores)), key=lambda r: (-r[1], r[0]))
-    rows = ranked if top is None else ranked[:top]
-    schema = T.StructType([T.StructField("feature_name", T.StringType()), T.StructField("importance", T.DoubleType())])
-    return spark.createDataFrame(rows, schema).orderBy(F.desc("importance"), F.asc("feature_name"))
+    return named_importances(node_table(spark, pipeline_model.stages[-1], keep), slots.select("slot", "slot_name"), top)

@@ -100,9 +100,12 @@ class JobResult:
     summary: dict
     tables: dict[str, DataFrame] = field(default_factory=dict)
     owns_prepared: bool = True
+    keep: list = field(default_factory=list)
 
     def release(self) -> None:
         self.evaluation.confusion.unpersist()
+        while self.keep:
+            self.keep.pop()()
         if self.owns_prepared:
             self.prepared.release()
 
@@ -125,7 +128,13 @@ def run(
     prep_s = time.time() - t0
 
     t1 = time.time()
-    model = models.fit(train, cfg, kind)
+    # the forest's slot names come from the same counts as its indexers
+    keep: list = []
+    counts = None
+    if kind == "rf":
+        counts = features.vocabulary_counts(train, cfg).persist(StorageLevel.MEMORY_AND_DISK)
+        keep.append(counts.unpersist)
+    model = models.fit(train, cfg, kind, counts)
     train_s = time.time() - t1
 
     ev = evaluate(model, test, cfg, persist=True)
@@ -158,8 +167,9 @@ def run(
         "preview": cleaning.preview(prep.labelled.drop(cleaning.SPLIT_HASH), 5, order_by=cfg.key_col),
     }
     if kind == "rf":
-        tables["importances"] = models.feature_importances_named(spark, model, cfg, importances_top)
-    return JobResult(model, prep, ev, summary, tables, owns_prepared=prepared is None)
+        slots = features.category_index_table(counts, cfg, keep)
+        tables["importances"] = models.feature_importances_named(spark, model, slots, keep, importances_top)
+    return JobResult(model, prep, ev, summary, tables, owns_prepared=prepared is None, keep=keep)
 
 
 def save_model(model: PipelineModel, path: str, top_codes: list[int] | None = None, spark: SparkSession | None = None) -> str:

@@ -283,17 +283,37 @@ strat_side AS (
         "split_keyless_copies_counts": _with(base_ctes(keyless, COPIES_SQL), shared)
         + f"SELECT {lab}, 'test' AS split, CAST(sum(t) AS BIGINT) AS n FROM shares GROUP BY {lab} HAVING sum(t) > 0 "
         f"UNION ALL SELECT {lab}, 'train', CAST(sum(n - t) AS BIGINT) FROM shares GROUP BY {lab} HAVING sum(n - t) > 0",
+        "split_stratified_copies_counts": _with(base_ctes(keyless, COPIES_SQL))
+        + f"SELECT {lab}, split, n FROM (SELECT {lab}, unnest(['test', 'train']) AS split, "
+        f"unnest([CAST(floor(n_label * {tf} + 0.5) AS BIGINT), n_label - CAST(floor(n_label * {tf} + 0.5) AS BIGINT)]) AS n "
+        f"FROM (SELECT {lab}, count(*) AS n_label FROM labelled GROUP BY {lab})) WHERE n > 0",
+        "sink_retry": _with(b) + f"SELECT {raw_cols} FROM tickets_raw",
         "split_random_counts": _with(b) + f"SELECT {lab}, count(*) AS n FROM labelled GROUP BY {lab}",
         "category_index_many": _with(many_b, many_f) + "SELECT feature, category, idx, slot, slot_name FROM vocab",
         "one_hot_long_many": _with(many_b, many_f)
         + "SELECT l.row_id, v.feature, v.slot, v.slot_name FROM ("
         + _unpivot("labelled", list(many.feature_cols))
         + ") l JOIN vocab v ON v.feature = l.feature AND v.category = l.category",
+        "one_hot_long_joined": _with(many_b, many_f)
+        + "SELECT l.row_id, v.feature, v.slot, v.slot_name FROM ("
+        + _unpivot("labelled", list(many.feature_cols))
+        + ") l JOIN vocab v ON v.feature = l.feature AND v.category = l.category",
+        "one_hot_sparse": _with(many_b, feature_ctes(only))
+        + "SELECT l.row_id, CAST((SELECT count(*) FROM vocab) AS INTEGER) AS size, coalesce(string_agg(v.slot, ',' ORDER BY v.slot), '') AS slots, "
+        "CAST(count(v.slot) AS DOUBLE) AS total FROM ("
+        + _unpivot("labelled", list(only.feature_cols))
+        + ") l LEFT JOIN vocab v ON v.feature = l.feature AND v.category = l.category GROUP BY l.row_id",
+        "nb_predictions_sparse": _with(b, f, nb) + f"SELECT row_id, {lab}, predicted_label FROM predictions",
+        "nb_predictions_sparse_many": _with(many_b, many_f, nb_ctes(many)) + f"SELECT row_id, {lab}, predicted_label FROM predictions",
+        "nb_predictions_sparse_unseen": _with(many_b, feature_ctes(only), nb_ctes(only)) + f"SELECT row_id, {lab}, predicted_label FROM predictions",
         "nb_predictions_many": _with(many_b, many_f, nb_ctes(many)) + f"SELECT row_id, {lab}, predicted_label FROM predictions",
         "nb_predictions_unseen": _with(many_b, feature_ctes(only), nb_ctes(only)) + f"SELECT row_id, {lab}, predicted_label FROM predictions",
         "nb_predictions_reloaded": _with(b, f, nb) + f"SELECT row_id, {lab}, predicted_label FROM predictions",
         "rf_facts": _with(b, f)
         + "SELECT count(*) AS n_test, true AS recall_is_accuracy, 1.0::DOUBLE AS importance_sum, (SELECT count(*) FROM vocab) AS n_slots FROM test",
+        "rf_deep_facts": _with(b, f)
+        + f"SELECT count(*) AS n_test, true AS depth_9_to_20, {cfg.num_trees}::BIGINT AS n_trees, true AS children_add_up, true AS leaves_fit, "
+        "1.0::DOUBLE AS importance_sum, (SELECT count(*) FROM vocab) AS n_slots FROM test",
         "rf_test_rows": _with(b) + f"SELECT {lab}, count(*) AS n_test_examples FROM test GROUP BY {lab}",
         "rf_stump_split": _with(b, f, stump) + "SELECT slot_name, round(impurity, 6) AS impurity, round(gain, 6) AS gain FROM stump",
         "rf_stump_predictions": _with(b, f, stump)

@@ -14,15 +14,17 @@ import tempfile
 from collections.abc import Callable
 
 from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catlens.config import FIXTURE_CONFIG, JobConfig
 from catlens.functions import year_bucket
-from catlens.operators import cleaning, features, labels, metrics, models, report, splits
+from catlens.operators import cleaning, features, forest, joined, labels, metrics, models, report, splits
 from catlens.plans import job
 from catlens.session import delete_path, scratch_path
+from catlens.sources.committed import read_committed, write_committed
 from catlens.sources.csv_dir import read_csv_dir, write_csv_dir, write_parquet
 from catlens.sources.tickets import tickets_raw
 
@@ -35,6 +37,8 @@ COPY_VALUES = {
 # Fixture variants: a wide skewed category whose rare values are unseen in training, alone and with the others.
 MANY = CFG.with_(categorical_cols=(*CFG.categorical_cols, "maker"))
 MANY_ONLY = MANY.with_(features=("maker",))
+# The local twin's depth.
+DEEP = CFG.with_(max_depth=20)
 # A forest that is one best gini split, which SQL can compute.
 STUMP = CFG.with_(num_trees=1, max_depth=1)
 DIGITS = 6
@@ -61,11 +65,16 @@ def _prepared(spark: SparkSession, sf_dir: str, cfg: JobConfig = CFG, raw: DataF
     return prep
 
 
-def _fitted(spark: SparkSession, sf_dir: str, kind: str, cfg: JobConfig = CFG, raw: DataFrame | None = None):
-    """Prepared rows, split and the fitted model (fit on the training rows)."""
+def _fitted(spark: SparkSession, sf_dir: str, kind: str, cfg: JobConfig = CFG, raw: DataFrame | None = None, counts: list | None = None):
+    """Prepared rows, split and the fitted model (fit on the training rows); counts, if a list, gets the vocabulary counts."""
     prep = _prepared(spark, sf_dir, cfg, raw)
     train, test = prep.split()
-    model: PipelineModel = models.fit(train, cfg, kind)
+    own = None
+    if counts is not None:
+        own = features.vocabulary_counts(train, cfg).persist()
+        _HELD.append(own.unpersist)
+        counts.append(own)
+    model: PipelineModel = models.fit(train, cfg, kind, own)
     return prep, train, test, model
 
 
@@ -231,6 +240,25 @@ def q_split_stratified_counts(spark, sf_dir):
     return _side_counts(_prepared(spark, sf_dir, CFG.with_(split="stratified")).assign())
 
 
+def q_split_stratified_copies_counts(spark, sf_dir):
+    """G2 without a key, a third of the rows copies of one row: the exact quota per label."""
+    return _side_counts(_prepared(spark, sf_dir, CFG.with_(key_col=None, split="stratified"), _copies(spark, sf_dir)).assign())
+
+
+def q_sink_retry(spark, sf_dir):
+    """A4: a first attempt that dies in a task, one that dies before its commit, then a retry; the committed result, read back."""
+    path = scratch_path(spark, "committed")
+    _HELD.append(lambda: delete_path(spark, path))
+    rows = cleaning.select_needed(tickets_raw(spark, sf_dir), CFG.needed_cols)
+    torn = rows.withColumn("color", F.when(F.col("row_id") % 1000 == 1, F.raise_error(F.lit("lost"))).otherwise(F.col("color")))
+    with contextlib.suppress(Py4JError, PySparkException):
+        write_committed(torn, path, "tickets")
+    rows.limit(10).write.parquet(f"{path}/attempt-without-commit")
+    write_committed(rows, path, "tickets")
+    write_committed(rows.limit(1), path, "tickets")  # a retry after the commit changes nothing
+    return read_committed(spark, path)
+
+
 def q_split_random_counts(spark, sf_dir):
     """G1 as the original job does it: seeded randomSplit. Which rows fall on
     a side depends on the layout, so the rows per label of both sides together are returned."""
@@ -265,12 +293,12 @@ def _vocabulary(spark, sf_dir, cfg=CFG, raw=None):
 
 def q_category_index(spark, sf_dir):
     """H1 + H3: fitted vocabulary with index and slot position."""
-    return features.category_index_table(_vocabulary(spark, sf_dir)[1], CFG)
+    return features.category_index_table(_vocabulary(spark, sf_dir)[1], CFG, _HELD)
 
 
 def q_category_index_many(spark, sf_dir):
     """H1 + H3 with a wide, skewed category."""
-    return features.category_index_table(_vocabulary(spark, sf_dir, MANY, _many(spark, sf_dir))[1], MANY)
+    return features.category_index_table(_vocabulary(spark, sf_dir, MANY, _many(spark, sf_dir))[1], MANY, _HELD)
 
 
 def q_label_index(spark, sf_dir):
@@ -295,6 +323,28 @@ def q_one_hot_long_many(spark, sf_dir):
     return _one_hot(spark, sf_dir, MANY, _many(spark, sf_dir))
 
 
+def _joined(spark, sf_dir, cfg=CFG, raw=None):
+    """Numbered rows of all sides and the bucketed vocabulary of the training rows."""
+    prep = _prepared(spark, sf_dir, cfg, raw)
+    counts = features.vocabulary_counts(prep.split()[0], cfg)
+    return joined.numbered(prep.labelled, _HELD), joined.vocabulary_table(counts, cfg, _HELD)
+
+
+def q_one_hot_long_joined(spark, sf_dir):
+    """H1-H3 by a join with the vocabulary table: nothing of its size on the driver."""
+    rows, table = _joined(spark, sf_dir, MANY, _many(spark, sf_dir))
+    found = joined.one_hot_long_joined(rows, table, MANY, _HELD)
+    return rows.select(joined.ROW, "row_id").join(found, joined.ROW).select("row_id", "feature", "slot", "slot_name")
+
+
+def q_one_hot_sparse(spark, sf_dir):
+    """H2 + H3: the sparse vector of every usable row (size, active slots as text, their sum)."""
+    rows, table = _joined(spark, sf_dir, MANY_ONLY, _many(spark, sf_dir))
+    vectors = joined.sparse_vectors(rows, table, MANY_ONLY, _HELD)
+    total = F.aggregate("values", F.lit(0.0), lambda a, x: a + x)
+    return rows.select(joined.ROW, "row_id").join(vectors, joined.ROW).select("row_id", "size", F.concat_ws(",", "indices").alias("slots"), total.alias("total"))
+
+
 # ---- I, J: Naive Bayes ---------------------------------------------------------
 
 
@@ -306,13 +356,13 @@ def _nb(spark, sf_dir, cfg=CFG, raw=None):
 def q_nb_priors(spark, sf_dir):
     """Class log-priors (smoothed)."""
     vocab, counts = _vocabulary(spark, sf_dir)
-    return models.nb_parameters(counts, vocab, CFG)[0].select(CFG.label_col, _r(F.col("log_prior"), "log_prior"))
+    return models.nb_parameters(counts, vocab, CFG, _HELD)[0].select(CFG.label_col, _r(F.col("log_prior"), "log_prior"))
 
 
 def q_nb_model(spark, sf_dir):
     """Per (class, slot) log-likelihoods."""
     vocab, counts = _vocabulary(spark, sf_dir)
-    return models.nb_parameters(counts, vocab, CFG)[1].select(CFG.label_col, "slot_name", _r(F.col("theta"), "theta"))
+    return models.nb_parameters(counts, vocab, CFG, _HELD)[1].select(CFG.label_col, "slot_name", _r(F.col("theta"), "theta"))
 
 
 def q_nb_predictions(spark, sf_dir):
@@ -333,6 +383,29 @@ def q_nb_predictions_unseen(spark, sf_dir):
     return ev.predictions.select("row_id", CFG.label_col, features.PREDICTED_LABEL)
 
 
+def _nb_sparse(spark, sf_dir, cfg=CFG, raw=None):
+    train, test = _prepared(spark, sf_dir, cfg, raw).split()
+    counts = features.vocabulary_counts(train, cfg).persist()
+    _HELD.append(counts.unpersist)
+    model = joined.SparseNaiveBayes(counts, cfg, _HELD)
+    return model.predict(joined.numbered(test, _HELD)).select("row_id", cfg.label_col, features.PREDICTED_LABEL)
+
+
+def q_nb_predictions_sparse(spark, sf_dir):
+    """I1 + I2 by joins: a gain per seen (class, slot), a default per class."""
+    return _nb_sparse(spark, sf_dir)
+
+
+def q_nb_predictions_sparse_many(spark, sf_dir):
+    """I2 by joins with a wide category, many of its values unseen."""
+    return _nb_sparse(spark, sf_dir, MANY, _many(spark, sf_dir))
+
+
+def q_nb_predictions_sparse_unseen(spark, sf_dir):
+    """I2 by joins where rows often have no known value at all."""
+    return _nb_sparse(spark, sf_dir, MANY_ONLY, _many(spark, sf_dir))
+
+
 def q_nb_predictions_reloaded(spark, sf_dir):
     """H5: the model saved, loaded and applied to the test rows."""
     prep, train, test, model = _fitted(spark, sf_dir, "nb")
@@ -396,9 +469,17 @@ def q_run_summary_nb(spark, sf_dir):
 # ---- I3-I5: forest -------------------------------------------------------------
 
 
-def _rf(spark, sf_dir):
-    prep, train, test, model = _fitted(spark, sf_dir, "rf")
-    return prep, model, job.evaluate(model, test, CFG)
+def _rf(spark, sf_dir, cfg=CFG):
+    prep, train, test, model = _fitted(spark, sf_dir, "rf", cfg)
+    return prep, model, job.evaluate(model, test, cfg)
+
+
+def _rf_importances(spark, sf_dir, top, cfg=CFG):
+    """Model, evaluation and importances of every slot or the top ones."""
+    counts: list = []
+    _, _, test, model = _fitted(spark, sf_dir, "rf", cfg, counts=counts)
+    slots = features.category_index_table(counts[0], cfg, _HELD)
+    return model, job.evaluate(model, test, cfg), models.feature_importances_named(spark, model, slots, _HELD, top)
 
 
 def q_rf_metrics(spark, sf_dir):
@@ -414,8 +495,7 @@ def q_rf_confusion(spark, sf_dir):
 
 
 def q_rf_importances_top10(spark, sf_dir):
-    _, model, _ = _rf(spark, sf_dir)
-    return models.feature_importances_named(spark, model, CFG, 10)
+    return _rf_importances(spark, sf_dir, 10)[2]
 
 
 def q_rf_predictions(spark, sf_dir):
@@ -437,46 +517,56 @@ def q_run_summary_rf(spark, sf_dir):
 def q_rf_facts(spark, sf_dir):
     """What holds for every forest exactly: test rows, importances that add up to one, one slot per
     category, weighted recall equal to accuracy."""
-    _, model, ev = _rf(spark, sf_dir)
-    total = models.feature_importances_named(spark, model, CFG, None).agg(F.round(F.sum("importance"), DIGITS).alias("importance_sum"), F.count(F.lit(1)).alias("n_slots"))
+    _, ev, importances = _rf_importances(spark, sf_dir, None)
+    total = importances.agg(F.round(F.sum("importance"), DIGITS).alias("importance_sum"), F.count(F.lit(1)).alias("n_slots"))
     m = ev.metrics.select("n_test", (F.abs(F.col("weighted_recall") - F.col("accuracy")) < 1e-9).alias("recall_is_accuracy"))
     return m.withColumn("one", F.lit(1)).join(total.withColumn("one", F.lit(1)), "one").drop("one")
 
 
+def q_rf_deep_facts(spark, sf_dir):
+    """I3 at depth 20 (cached node ids, checkpoints): test rows, trees, depth between 9 and 20, class counts of children
+    that add up at every node, leaves = inner nodes + trees, importances that add up to one over all slots."""
+    model, ev, importances = _rf_importances(spark, sf_dir, None, DEEP)
+    depth = max(t.depth for t in model.stages[-1].trees)
+    shape = forest.shape_facts(forest.node_table(spark, model.stages[-1], _HELD)).withColumn("one", F.lit(1))
+    total = importances.agg(F.round(F.sum("importance"), DIGITS).alias("importance_sum"), F.count(F.lit(1)).alias("n_slots"))
+    out = ev.metrics.select("n_test", F.lit(1).alias("one"), F.lit(9 <= depth <= DEEP.max_depth).alias("depth_9_to_20")).join(shape, "one")
+    return out.join(total.withColumn("one", F.lit(1)), "one").drop("one")
+
+
 def q_rf_test_rows(spark, sf_dir):
     """I4: test rows per actual class that the forest judged."""
     return _rf(spark, sf_dir)[2].per_class.select(CFG.label_col, "n_test_examples")
 
 
 def _stump(spark, sf_dir):
-    """One tree of one split on all rows and all features: the best gini split."""
+    """One tree of one split on all rows and all features, the best gini split: model, test rows, node table and slots."""
     prep = _prepared(spark, sf_dir, STUMP)
     train, test = prep.split()
     feats, _, counts = features.fit_features(train, STUMP)
     _HELD.append(counts.unpersist)
     tree = models.random_forest(STUMP).setBootstrap(False).setFeatureSubsetStrategy("all")
     clf = tree.fit(feats.transform(models.canonical_layout(train, STUMP)))
-    return PipelineModel(stages=[*feats.stages, clf]), test
+    slots = features.category_index_table(counts, STUMP, _HELD).select("slot", "slot_name")
+    return PipelineModel(stages=[*feats.stages, clf]), test, forest.node_table(spark, clf, _HELD), slots
 
 
 def q_rf_stump_split(spark, sf_dir):
-    """The slot of the one split, its impurity and its gain."""
-    model, _ = _stump(spark, sf_dir)
-    root = model.stages[-1].trees[0]._call_java("rootNode")
-    slot = features.slot_names(model, STUMP)[root.split().featureIndex()]
-    return spark.createDataFrame([(slot, round(root.impurity(), DIGITS), round(root.gain(), DIGITS))], "slot_name string, impurity double, gain double")
+    """The slot of the one split, its impurity and its gain, from the node table."""
+    _, _, nodes, slots = _stump(spark, sf_dir)
+    return nodes.filter("slot is not null").join(slots, "slot").select("slot_name", _r(F.col("impurity"), "impurity"), _r(F.col("gain"), "gain"))
 
 
 def q_rf_stump_predictions(spark, sf_dir):
     """I4: the stump's class of every test row."""
-    model, test = _stump(spark, sf_dir)
+    model, test, _, _ = _stump(spark, sf_dir)
     return job.evaluate(model, test, STUMP).predictions.select("row_id", CFG.label_col, features.PREDICTED_LABEL)
 
 
 def q_rf_stump_importances(spark, sf_dir):
     """The split's slot has importance one, all others zero."""
-    model, _ = _stump(spark, sf_dir)
-    return models.feature_importances_named(spark, model, STUMP, None)
+    _, _, nodes, slots = _stump(spark, sf_dir)
+    return forest.named_importances(nodes, slots, None)
 
 
 def _query(f: Query) -> Query:

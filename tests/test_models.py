@@ -68,7 +68,7 @@ def test_one_hot_matches_vector(spark):
     rows = longform.collect()
     names = features.slot_names(fm, CFG)
     n_vocab = len(names)
-    vocab = features.category_index_table(features.vocabulary_counts(train, CFG), CFG).collect()
+    vocab = features.category_index_table(features.vocabulary_counts(train, CFG), CFG, []).collect()
     assert sorted((r["slot"], r["slot_name"]) for r in vocab) == list(enumerate(names))
     assert all(names[r["slot"]] == r["slot_name"] for r in rows)
     by_row = {}
@@ -116,8 +116,9 @@ def test_rf_invariants(rf_runs):
     s = res.summary
     assert s["weighted_recall"] == pytest.approx(s["accuracy"], abs=1e-12)
     assert s["num_trees"] == 20 and s["max_depth"] == 8
-    top = models.feature_importances_named(res.tables["importances"].sparkSession, res.model, CFG, 10)
-    assert top.count() == 10
+    mllib = dict(zip(features.slot_names(res.model, CFG), res.model.stages[-1].featureImportances.toArray()))
+    got = {r[0]: r[1] for r in res.tables["importances"].collect()}
+    assert got.keys() == mllib.keys() and all(abs(got[k] - mllib[k]) < 1e-12 for k in mllib)
 
 
 def test_rf_deterministic_across_input_partitioning(rf_runs):
@@ -301,7 +302,7 @@ def test_nb_tables_equal_the_fitted_model(spark):
     train, _ = job.prepare(tickets_raw(spark, SF001), CFG).split()
     model = models.fit(train, CFG.with_(fit_from_counts=False), "nb")
     vocab, counts = features.fit_vocabulary(train, CFG)
-    priors, thetas = models.nb_parameters(counts, vocab, CFG)
+    priors, thetas = models.nb_parameters(counts, vocab, CFG, [])
     names, classes = features.slot_names(model, CFG), features.label_names(model)
     pi, theta = model.stages[-1].pi.toArray(), model.stages[-1].theta.toArray()
     got = {r[0]: r[1] for r in priors.collect()}
