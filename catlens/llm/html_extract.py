@@ -1,13 +1,18 @@
 """Operator 6: main text of HTML pages by tag-path ratios.
 
 A page is read once into blocks: the text between two boundaries of block elements, with its
-root-to-leaf tag path (tags with their class names). Per path, text length and punctuation count
+root-to-leaf tag path (tags with their class names; the outermost article or main element is part of the path). Per path, text length and punctuation count
 are summed over its blocks; their means are the path's ratios. Along the page both are smoothed with a Gaussian
-window, fused (length x punctuation), and a path is content if its fused mean reaches a share of
-the spread of all paths. Blocks inside elements that are boilerplate by their kind (navigation,
-headers, footers, asides, forms, scripts, adverts, notices, comments) never count. Where a page
-names its article (article, main, role=main), the article's paths are content and the ratios only
-decide which outermost article is the main one and drop link lists.
+window and fused (length x punctuation), and a path is content if its score reaches a threshold.
+
+On pages without an article the score is the fused mean and the threshold a share of the spread of all paths. Where a page names
+articles (article, main, role=main), lying in one is a feature of a path: it adds the best fused mean of such paths, which is then the
+threshold too, so all of an article stays, and a path outside has to be as rich as the best one inside. An article is one by its own ratios: a
+teaser, whose mean is below `TEASER` of the strongest article's or that is mostly links, adds nothing. Inside elements that are boilerplate by their kind (navigation,
+headers, footers, asides, forms, scripts) or by a plain name (adverts, comments, cookies) nothing counts. A name that may be
+a topic as well (legal, discussion, notice) is a feature only: it takes away a quarter of what the article adds, or asks for the page's mean.
+
+The page is scanned once: an element knows the elements that could close before it, so neither unclosed tags nor deep nesting are scanned again.
 """
 
 from __future__ import annotations
@@ -22,7 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|</[^>]*>", re.S)
+_OPENS = re.compile(r"<(?:(/?)([a-zA-Z][a-zA-Z0-9:-]*)|!--|[!?/])")
+_STOPS = re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-a-zA-Z0-9_:.]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _PUNCTUATION = re.compile(r"[.,;:!?…、。，！？；：]")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
@@ -37,11 +43,14 @@ BOILERPLATE_TAGS = frozenset("nav header footer aside form dialog menu fieldset"
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 #: Words of class names and ids.
 BOILERPLATE_NAMES = frozenset(
-    "ad ads advert adverts advertisement advertisements advertising sponsor sponsored promo promotion nav navbar navigation menu menus breadcrumb breadcrumbs "
-    "header masthead footer sidebar aside rail widget widgets comment comments disqus reply replies discussion respond cookie cookies consent gdpr notice notices "
-    "banner alert popup modal overlay subscribe subscription newsletter signup login share sharing social related recommended recommendations trending "
-    "pagination pager toolbar form search copyright legal disclaimer".split()
+    "ad ads advert adverts advertisement advertisements advertising sponsor sponsored promo nav navbar navigation menu menus breadcrumb breadcrumbs "
+    "masthead footer sidebar aside rail widget widgets comment comments disqus replies respond cookie cookies consent gdpr "
+    "popup modal overlay subscribe subscription newsletter signup login share sharing social related recommended recommendations trending "
+    "pagination pager toolbar".split()
 )
+#: Words that may name a topic: one of them is a feature of the path's score, two are boilerplate.
+DOUBTFUL_NAMES = frozenset("header notice notices banner alert reply discussion form search promotion copyright legal disclaimer".split())
+TEASER = 0.25
 MAIN_ROLES = frozenset({"main", "article"})
 #: A start tag of the key ends open elements of these kinds (within their parent).
 CLOSES = {
@@ -53,115 +62,185 @@ SCOPES = frozenset("ul ol dl table article section div main body html blockquote
 
 @dataclass
 class Block:
-    path: str
+    path: int  # number of its tag path
+    leaf: str  # tag of the path's last element
     text: str
     boilerplate: bool
+    doubtful: bool  # inside an element with a doubtful name
     article: int  # number of the outermost article it lies in, or -1
     links: int  # characters inside links
 
 
+@dataclass
+class _Open:
+    """An open element; what it inherits from those around it is copied, so it is found without a scan."""
+
+    tag: str
+    path: int
+    leaf: str
+    boilerplate: bool
+    doubtful: bool
+    article: int
+    block: bool
+    linked: bool
+    paragraph: int  # the nearest p or scope at or below this place of the stack
+    closable: int  # the nearest element at or below this place that a start tag may close, or scope
+
+
 def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): entities.unescape((m[2] or "").strip("\"'")) for m in _ATTRIBUTE.finditer(raw)}
 
 
-def _is_boilerplate(tag: str, attrs: dict[str, str]) -> bool:
+def _judged(tag: str, attrs: dict[str, str]) -> tuple[bool, bool]:
+    """Whether an element is boilerplate, and whether its name makes it doubtful."""
     if tag in BOILERPLATE_TAGS or attrs.get("role", "").lower() in BOILERPLATE_ROLES:
-        return True
+        return True, False
     if "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", attrs.get("style", "")):
-        return True
-    names = f"{attrs.get('class', '')} {attrs.get('id', '')}"
-    return tag not in ("html", "body", "article", "main") and any(x.lower() in BOILERPLATE_NAMES for x in _NAME.findall(names))
+        return True, False
+    if tag in ("html", "body", "article", "main"):
+        return False, False
+    names = {x.lower() for x in _NAME.findall(f"{attrs.get('class', '')} {attrs.get('id', '')}")}
+    doubts = len(names & DOUBTFUL_NAMES)
+    return bool(names & BOILERPLATE_NAMES) or doubts > 1, doubts == 1
+
+
+_CLOSABLE = frozenset(x for kinds in CLOSES.values() for x in kinds)
+_CELLS = frozenset(("td", "th"))
+
+
+def _tag_end(page: str, at: int, missing: dict[str, int]) -> int:
+    """The place of the > that ends a tag, or -1; a quote without its partner is an ordinary character."""
+    while True:
+        m = _STOPS.search(page, at)
+        if m is None:
+            return -1
+        if m[0] == ">":
+            return m.start()
+        at = m.end()
+        if at > missing.get(m[0], len(page)):
+            continue
+        close = page.find(m[0], at)
+        if close < 0:
+            missing[m[0]] = at - 1
+        else:
+            at = close + 1
 
 
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in order; broken markup (open elements, stray end tags, an end inside a tag) is tolerated."""
     out: list[Block] = []
-    stack: list[tuple[str, str, bool, int, bool]] = []  # tag, path, boilerplate, article, block element
+    base = _Open("", 0, "", False, False, -1, True, False, -1, -1)
+    stack: list[_Open] = []
+    open_tags: dict[str, int] = {}
+    holders: list[_Open] = [base]  # the open block elements
+    paths: dict[tuple[int, str], int] = {}
     parts: list[str] = []
-    link_chars = 0
-    n_articles = 0
-    at, size = 0, len(page)
-
-    def top() -> tuple[str, str, bool, int, bool]:
-        return stack[-1] if stack else ("", "", False, -1, True)
-
-    def holder() -> tuple[str, str, bool, int, bool]:
-        return next((e for e in reversed(stack) if e[4]), ("", "", False, -1, True))
+    missing: dict[str, int] = {}
+    endless: set[str] = set()
+    link_chars = n_articles = at = 0
+    size = len(page)
 
     def flush() -> None:
         nonlocal link_chars
         text = " ".join(entities.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            _, path, _, article, _ = holder()
-            out.append(Block(path, text, top()[2], article, link_chars))
+            holder, top = holders[-1], stack[-1] if stack else base
+            out.append(Block(holder.path, holder.leaf, text, top.boilerplate, top.doubtful, holder.article, link_chars))
         link_chars = 0
 
     def pop_to(k: int) -> None:
-        if any(e[4] or e[2] != (stack[k - 1][2] if k else False) for e in stack[k:]):
+        around = stack[k - 1] if k else base
+        if any(e.block or (e.boilerplate, e.doubtful) != (around.boilerplate, around.doubtful) for e in stack[k:]):
             flush()
+        for e in stack[k:]:
+            open_tags[e.tag] -= 1
+            if e.block:
+                holders.pop()
         del stack[k:]
 
     def text(chunk: str) -> None:
         nonlocal link_chars
         parts.append(chunk)
-        if any(e[0] == "a" for e in stack):
+        if stack and stack[-1].linked:
             link_chars += len(chunk.strip())
 
     while at < size:
-        m = _MARKUP.search(page, at)
+        m = _OPENS.search(page, at)
         if m is None:
             text(page[at:])
             break
         if m.start() > at:
             text(page[at : m.start()])
-        at = m.end()
+        if m[0] == "<!--":
+            end = page.find("-->", m.end())
+            at = size if end < 0 else end + 3
+            continue
         tag = (m[2] or "").lower()
+        end = _tag_end(page, m.end(), missing) if tag else page.find(">", m.end())
+        if end < 0:  # no later tag can end either
+            text(page[m.start() :])
+            break
+        raw, at = page[m.end() : end], end + 1
         if not tag:
             continue
         if m[1]:
-            k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if k is not None:
-                pop_to(k)
+            if open_tags.get(tag):
+                pop_to(next(i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag))
             continue
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            if end is None:
+            found = None if tag in endless else re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            if found is None:
+                endless.add(tag)
                 if tag in ("script", "style", "title", "textarea"):
                     at = size
             else:
-                at = end.end()
+                at = found.end()
             if tag not in ("button", "select", "svg", "math"):
                 continue
             parts.append(" ")
             continue
         inline = tag in INLINE
         if not inline:
-            k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == "p" or stack[i][4] and stack[i][0] in SCOPES), None)
-            if k is not None and stack[k][0] == "p":
+            k = stack[-1].paragraph if stack else -1
+            if k >= 0 and stack[k].tag == "p":
                 pop_to(k)
             if tag in CLOSES:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] in CLOSES[tag]:
-                        pop_to(i)
+                k = stack[-1].closable if stack else -1
+                while k >= 0:
+                    if stack[k].tag in CLOSES[tag]:
+                        pop_to(k)
                         break
-                    if stack[i][0] in SCOPES and stack[i][0] not in ("td", "th"):
+                    if stack[k].tag in SCOPES and stack[k].tag not in _CELLS:
                         break
+                    k = stack[k - 1].closable if k else -1
         if tag == "br":
             parts.append(" ")
-        if tag in VOID or m[3].rstrip().endswith("/") and tag not in SCOPES and tag != "p":
+        if tag in VOID or raw.rstrip().endswith("/") and tag not in SCOPES and tag != "p":
             if not inline:
                 flush()
             continue
-        attrs = _attributes(m[3]) if m[3].strip() else {}
-        _, path, bad, article, _ = top()
-        now_bad = bad or _is_boilerplate(tag, attrs)
-        if not inline or now_bad != bad:
+        attrs = _attributes(raw) if raw.strip() else {}
+        around = stack[-1] if stack else base
+        bad, doubt = _judged(tag, attrs)
+        bad, doubt, article = bad or around.boilerplate, doubt or around.doubtful, around.article
+        if not inline or (bad, doubt) != (around.boilerplate, around.doubtful):
             flush()
-        if article < 0 and not now_bad and (tag in ("article", "main") or attrs.get("role", "").lower() in MAIN_ROLES or attrs.get("itemprop", "") == "articleBody"):
+        opens_article = tag in ("article", "main") or attrs.get("role", "").lower() in MAIN_ROLES or attrs.get("itemprop", "") == "articleBody"
+        if article < 0 and not bad and opens_article:
             article, n_articles = n_articles, n_articles + 1
-        name = tag + "".join(f".{c}" for c in sorted(attrs.get("class", "").split()))
-        stack.append((tag, path if inline else f"{path}/{name}", now_bad, article, not inline))
+        path, leaf = around.path, around.leaf
+        if not inline:
+            name = tag + "".join(f".{c}" for c in sorted(attrs.get("class", "").split())) + ("" if article == around.article else f"#{article}")
+            path, leaf = paths.setdefault((path, name), len(paths) + 1), tag
+        here = len(stack)
+        scope = not inline and tag in SCOPES
+        paragraph = here if tag == "p" or scope else around.paragraph
+        closable = here if tag in _CLOSABLE or tag in SCOPES else around.closable
+        stack.append(_Open(tag, path, leaf, bad, doubt, article, not inline, around.linked or tag == "a", paragraph, closable))
+        open_tags[tag] = open_tags.get(tag, 0) + 1
+        if not inline:
+            holders.append(stack[-1])
     flush()
     return out
 
@@ -175,9 +254,9 @@ def _smooth(values: list[float], radius: int = 2) -> list[float]:
     return out
 
 
-def path_scores(found: list[Block]) -> dict[str, float]:
+def path_scores(found: list[Block]) -> dict[int, float]:
     """Fused, smoothed length and punctuation ratio of every tag path."""
-    total: dict[str, list[float]] = {}
+    total: dict[int, list[float]] = {}
     for b in found:
         t = total.setdefault(b.path, [0.0, 0.0, 0.0])
         plain = max(0, len(b.text) - b.links)
@@ -186,36 +265,50 @@ def path_scores(found: list[Block]) -> dict[str, float]:
         t[2] += len(_PUNCTUATION.findall(b.text)) if plain else 0
     lengths = _smooth([total[b.path][1] / total[b.path][0] for b in found])
     marks = _smooth([total[b.path][2] / total[b.path][0] for b in found])
-    fused: dict[str, list[float]] = {}
+    fused: dict[int, list[float]] = {}
     for b, x, y in zip(found, lengths, marks, strict=True):
         fused.setdefault(b.path, []).append(math.log1p(x) * math.log1p(y) if total[b.path][1] else 0.0)
     return {p: sum(v) / len(v) for p, v in fused.items()}
 
 
+def main_parts(found: list[Block], scores: dict[int, float]) -> set[int]:
+    """The articles that are no teasers: by the mean score of their text, against the strongest one's, and by their links."""
+    size: dict[int, list[float]] = {}
+    for b in found:
+        if b.article >= 0:
+            t = size.setdefault(b.article, [0.0, 0.0, 0.0])
+            t[0] += len(b.text)
+            t[1] += b.links
+            # its own text alone: neighbours in other articles don't lend it theirs
+            t[2] += len(b.text) * math.log1p(len(b.text)) * math.log1p(len(_PUNCTUATION.findall(b.text)))
+    strength = {a: t[2] / t[0] for a, t in size.items()}
+    best = max(strength.values(), default=0.0)
+    return {a for a, x in strength.items() if len(size) == 1 or x >= TEASER * best and size[a][1] < 0.5 * size[a][0]}
+
+
 def main_text(page: str | None, spread: float = 0.5) -> str:
     """The main text: content blocks in page order, one a line. Null, empty and text-free pages give ''."""
     found = [b for b in blocks(page or "") if not b.boilerplate]
     if not found:
         return ""
-    articles = {b.article for b in found if b.article >= 0}
     scores = path_scores(found)
-    if articles:
-        weight = {a: sum(scores[b.path] * (len(b.text) - b.links) for b in found if b.article == a) for a in articles}
-        best = max(weight.values())
-        # several articles of about equal weight are one text (a page of parts); small ones are teasers
-        kept = {a for a in articles if weight[a] >= 0.5 * best}
-        return "\n".join(b.text for b in found if b.article in kept)
+    parts = main_parts(found, scores)
+    if parts:
+        best = max(scores[b.path] for b in found if b.article in parts)
+        adds = [best * (0.75 if b.doubtful else 1.0) if b.article in parts else 0.0 for b in found]
+        content = [i for i, b in enumerate(found) if scores[b.path] + adds[i] >= best and (b.article in parts or scores[b.path] > 0 and not b.doubtful and b.article < 0)]
+        return "\n".join(found[i].text for i in content)
     values = list(scores.values())
     mean = sum(values) / len(values)
     deviation = math.sqrt(sum((v - mean) ** 2 for v in values) / len(values))
     least = spread * deviation if len(values) > 1 else 0.0
-    content = [i for i, b in enumerate(found) if scores[b.path] >= least and b.links < 0.5 * max(1, len(b.text))]
+    content = [i for i, b in enumerate(found) if scores[b.path] >= (max(least, mean) if b.doubtful else least) and b.links < 0.5 * max(1, len(b.text))]
     if not content:
         return ""
     first, last = content[0], content[-1]
     chosen = set(content)
     for i, b in enumerate(found):  # headings between or right before content
-        if i not in chosen and re.search(r"/h[1-6][^/]*$", b.path) and (first <= i <= last or i == first - 1):
+        if i not in chosen and re.fullmatch("h[1-6]", b.leaf) and (first <= i <= last or i == first - 1):
             chosen.add(i)
     return "\n".join(found[i].text for i in sorted(chosen))
 

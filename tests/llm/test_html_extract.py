@@ -39,6 +39,38 @@ def test_plain_text_and_entities():
     assert [b.text for b in blocks("<p>a<p>b<b>c</b>d<div>e</div>f")] == ["a", "bcd", "e", "f"]
 
 
+def test_second_article_part_stays():
+    first = "<article><p>" + "Main text, of some length. " * 40 + "</p></article>"
+    second = "<article><h2>Part two</h2><p>" + "More of it, as text goes. " * 6 + "</p></article>"
+    assert main_text(first + second).split("\n")[1:] == ["Part two", ("More of it, as text goes. " * 6).strip()]
+    links = "<article><p>" + "<a href=x>Another story, quite long. Yes.</a> " * 6 + "</p></article>"
+    assert "Another" not in main_text(first + links)
+
+
+def test_names_that_may_be_topics():
+    text = "".join(f"<p>Sentence {i}, with a clause; and an end. More of it.</p>" for i in range(5))
+    page = f"<article>{text}<p class='legal'>The legal case, which went on for years, ended; nobody won. Both paid.</p><section class='discussion'><h2>Discussion</h2><p>We see, in short, what was to be seen; more work is needed. Indeed.</p></section></article>"
+    got = main_text(page)
+    assert "The legal case" in got and "what was to be seen" in got
+    outside = f"<div class='legal'>All rights.</div><article>{text}<div class='legal-notice'>No liability, of any kind. None.</div><div class=comments><p>Nice, really. Good.</p></div></article><div class='notice'>We changed, a bit.</div>"
+    assert main_text(outside) == main_text(f"<article>{text}</article>")
+
+
+def test_an_unmarked_neighbour_is_left_out():
+    text = "<p>" + "A sentence, with a clause; and an end. " * 9 + "</p>"
+    assert "Buy" not in main_text(f"<body><div>Buy this, now. Good.</div><article>{text}{text}</article><div><p>Buy that, too. Fine.</p></div></body>")
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<div>x", "<b>x", "<p a='", '<a "', "<button>", "<!", "</x", "<li><b>", "<table><tr>", "<h1>x", "&amp;<i>", "<!--", "<span class='a", "<svg>x", "<em><h2>x</h2>"])
+def test_long_broken_pages_are_scanned_once(piece):
+    import time
+
+    page = piece * (1_000_000 // len(piece))
+    t = time.process_time()
+    main_text(page + "<p>end")
+    assert time.process_time() - t < 12
+
+
 def test_table(spark):
     rows = [(1, "u", ARTICLE, "clash"), (None, None, None, None), (2, "", "", "x"), (1, "u", ARTICLE, "clash")]
     got = extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
