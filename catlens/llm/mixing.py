@@ -15,10 +15,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import saved
+from .shared import drop, saved
 
 LEVELS = ("domain", "lang", "source")
 WORD = r"[^\x20\x09-\x0D]+"
+#: Up to so many leaves (a row of about 100 bytes each) their budgets are broadcast to the documents.
+BROADCAST_LEAVES = 100_000
 
 
 def token_count(text: Column) -> Column:
@@ -93,8 +95,8 @@ def mix(docs: DataFrame, domain: Column | None = None, total: float | None = Non
     rows = docs.select(*tree, F.col("doc_id").cast("long").alias("doc_id"), token_count(F.col("text").cast("string")).alias("n"))
     rows = saved(rows, "mix")
     leaves = rows.groupBy(*LEVELS).agg(F.sum("n").alias("tokens"))
-    plan = saved(budgets(leaves, total, share, max_epochs, weights), "budgets")
-    plan = plan.withColumn("epochs", F.when(F.col("tokens") > 0, F.floor(F.col("budget") / F.col("tokens"))).otherwise(0).cast("long"))
+    plan_table = saved(budgets(leaves, total, share, max_epochs, weights), "budgets")
+    plan = plan_table.withColumn("epochs", F.when(F.col("tokens") > 0, F.floor(F.col("budget") / F.col("tokens"))).otherwise(0).cast("long"))
     plan = plan.withColumn("rest", F.when(F.col("tokens") > 0, F.col("budget") - F.col("epochs") * F.col("tokens")).otherwise(0))
 
     keyed = rows.join(plan.where("rest > 0").select(*LEVELS, "epochs", "rest"), list(LEVELS))
@@ -111,6 +113,10 @@ def mix(docs: DataFrame, domain: Column | None = None, total: float | None = Non
     m = [f"mix_{c}" for c in LEVELS]
     epochs, cut = "mix_epochs_", "mix_cut_"
     decided = plan.join(cuts, list(LEVELS), "left").select(*(F.col(c).alias(x) for c, x in zip(LEVELS, m, strict=True)), F.col("budget").alias("mix_budget"), F.col("epochs").alias(epochs), F.col("cut").alias(cut))
+    decided = saved(decided, "decided")
+    drop(rows, plan_table, cuts)
+    if decided.count() <= BROADCAST_LEAVES:
+        decided = F.broadcast(decided)  # so the texts stay where they are
     bare = docs.drop("mix_budget", "mix_tokens", "mix_copies", epochs, cut, *m)
     named = bare.withColumns(dict(zip(m, tree, strict=True)))
     joined = named.join(decided, m, "left")
