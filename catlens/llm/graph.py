@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import saved
+from .shared import drop, saved
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -34,7 +34,10 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     edges = saved(links.select("a", "b").where("a is not null and b is not null and a != b").distinct(), "components")
     mark = None
     for _ in range(max_rounds):
-        edges = saved(_star(saved(_star(edges, large=True), "components"), large=False), "components")
+        half = saved(_star(edges, large=True), "components")
+        drop(edges)
+        edges = saved(_star(half, large=False), "components")
+        drop(half)
         now = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
         if now == mark or now["n"] == 0:
             break

@@ -28,8 +28,8 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import drop, runs, saved, text_buffers
-from .words import _BYTE, _FOLD, _SPACE, U, words
+from .shared import drop, kth_largest, runs, saved, text_buffers
+from .words import _BYTE, U, coded_words
 from .words import _powers as powers
 
 ROUNDS = 3
@@ -201,16 +201,6 @@ def lattices(vocabulary: Vocabulary, col: pa.Array) -> Iterator[tuple[np.ndarray
         i = j
 
 
-def coded_words(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """The distinct lower-cased words of the texts, and the number and text of each word in order."""
-    starts, stops, rows = words(data, offsets)
-    black = _FOLD.astype(np.uint8)[data[~_SPACE[data]]]
-    ends = np.concatenate([[0], np.cumsum(stops - starts)]).astype(np.int64)
-    col = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(black)])
-    coded = col.dictionary_encode()
-    return coded.dictionary.cast(pa.string()), coded.indices.to_numpy(), rows
-
-
 def held_out(key: Column) -> Column:
     """Whether crc32(key as text) mod 7 is 2; a null key is a training row."""
     return F.coalesce(F.pmod(F.crc32(F.encode(key.cast("string"), "UTF-8")), F.lit(FOLDS)) == HELD, F.lit(False))
@@ -303,7 +293,11 @@ def score_texts(docs: DataFrame, vocabulary_path: str, key: str = "doc_id", text
     drop(counts)
     below = float(n + v + 1)
     base = F.log10((F.col("c") + 1) / F.lit(below))
-    common = scored.where(F.octet_length("word") <= COMMON_BYTES).orderBy(F.desc("n"), "word").limit(COMMON)
+    # fewer than COMMON words are more frequent than the COMMON-th: found by counts, no task sorts them
+    short = scored.where(F.octet_length("word") <= COMMON_BYTES)
+    n_short = short.count()
+    least = kth_largest(short, "n", COMMON) if 0 < COMMON < n_short else (0 if COMMON else None)
+    common = short.where(F.col("n") > least) if least is not None else short.limit(0)
     rows = common.select("word", F.col("c"), base.alias("base"), "lp").toArrow()
     table = rows.combine_chunks()
     shared = spark.sparkContext.broadcast((table, float(weights[vocabulary.end] / _LN10), float(np.log10((ends + 1) / below)), ends > 0))

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .shared import LONG_MIN, partitions, runs, saved, text_buffers
+from .shared import LONG_MIN, drop, partitions, runs, saved, text_buffers
 from .words import U, mix, mix_int, shingles, split_rows, word_hashes, words
 
 PARTS = 3
@@ -250,6 +250,7 @@ def _link(named: DataFrame, shared: DataFrame, sets: DataFrame, percent: int) ->
     kept = sets.repartition(partitions(sets.sparkSession), "node").persist(StorageLevel.MEMORY_AND_DISK)
     rows = shared.select("sig", "node", F.col("node").alias("root"))
     roots = tried = None
+    held, used = shared, [sets]  # the written table that rows reads, and those that go at the end
     for turn in range(ROUNDS + 1):
         if turn < ROUNDS:
             # one pivot for all buckets of a group of near copies first, then one of each bucket's own
@@ -261,25 +262,31 @@ def _link(named: DataFrame, shared: DataFrame, sets: DataFrame, percent: int) ->
             few, many = counted.where(F.col("n") <= FEW), counted.where(F.col("n") > FEW)
             x, y = few.alias("x"), few.alias("y")
             pairs = x.join(y, "sig").where("x.node < y.node and x.root != y.root").select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-            met = pairs.union(_by_prefix(many, kept, percent))
+            met = pairs.union(_by_prefix(many, kept, percent, used))
         met = met.select("a", "b", F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).dropDuplicates(["x", "y"])
         met = saved(met if tried is None else met.join(tried, ["x", "y"], "left_anti"), "pairs")
         links = saved(_verified(met.select("a", "b"), kept, percent), "links")
+        used += [met, links]
         tried = met.select("x", "y") if tried is None else tried.union(met.select("x", "y"))
         if roots is None or not links.isEmpty():
             roots = components(links if roots is None else links.union(roots.select(F.col("root").alias("a"), F.col("node").alias("b"))))
             if turn < ROUNDS:
                 rows = _open_buckets(rows, roots)
+                drop(held)
+                held = rows
         if rows.isEmpty():
             break
     kept.unpersist()
+    drop(held, *used)
     group = F.coalesce("root", "node").alias("g")
     placed = named.join(roots, "node", "left").select("doc_id", "k1", "k2", "n_shingles", "node", group)
     least = placed.where("g is not null").groupBy("g").agg(F.min("doc_id").alias("least"))
-    return placed.join(least, "g", "left").select("doc_id", "k1", "k2", "n_shingles", "node", F.coalesce("least", "doc_id").alias("component_id"), "g")
+    out = placed.join(least, "g", "left").select("doc_id", "k1", "k2", "n_shingles", "node", F.coalesce("least", "doc_id").alias("component_id"), "g")
+    out._scratch = [named]
+    return out
 
 
-def _by_prefix(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _by_prefix(rows: DataFrame, sets: DataFrame, percent: int, used: list[DataFrame]) -> DataFrame:
     """Pairs (a, b) of different components among the nodes of the open buckets that may still be linked.
 
     Linked sets of sizes s share more than s - p elements, p = s - ceil(percent * s / 100) + 1, so in any order of all
@@ -295,7 +302,7 @@ def _by_prefix(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     known = known.join(own.select("node", "root", "n"), "node")
     prefix = F.expr(f"cast(n - (n * {percent} + 99) div 100 + 1 - (n - size(t)) as int)")  # shingles of its own stand before the shared ones
     first = known.withColumn("p", prefix).where("p > 0").select("node", "root", "n", F.size("t").alias("m"), F.posexplode(F.slice("t", F.lit(1), F.col("p"))).alias("i", "e"))
-    first = saved(first.select("node", "root", "n", (F.col("n") - F.col("m") + F.col("i") + 1).alias("at"), F.col("e.token").alias("token")), "prefixes")
+    used.append(first := saved(first.select("node", "root", "n", (F.col("n") - F.col("m") + F.col("i") + 1).alias("at"), F.col("e.token").alias("token")), "prefixes"))
     x, y = first.alias("x"), first.alias("y")
     # if this is the first element in common, so many can follow in each set
     enough = f"1 + least(x.n - x.at, y.n - y.at) >= ({percent} * (x.n + y.n) + {99 + percent}) div {100 + percent}"
@@ -319,6 +326,7 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     first = rows.where("g is not null").groupBy("g").agg(F.min(F.struct("k1", "k2")).alias("f")).select("f.k1", "f.k2")
     empty = rows.where("g is null").select("k1", "k2").distinct()
     keep = saved(first.withColumn("once", F.lit(True)).union(empty.withColumn("once", F.lit(False))), "keep")
+    drop(*rows._scratch)
     own = {"keep_k1_": F.coalesce(F.col("doc_id").cast("long"), F.lit(LONG_MIN)), "keep_k2_": F.xxhash64(F.col("text").cast("string"))}
     kept = docs.withColumns(own).join(keep.select(F.col("k1").alias("keep_k1_"), F.col("k2").alias("keep_k2_"), F.col("once").alias("keep_once_")), list(own))
     once = kept.where("keep_once_").dropDuplicates(list(own))

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from catlens.session import delete_path
 
 LONG_MIN = -(2**63)
+#: Shuffle files go when the query that wrote them has ended, not when the driver's garbage collector finds them.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -55,8 +57,13 @@ def drop(*tables: DataFrame) -> None:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python workers, once per context, however the driver found it."""
+    """Send this package to the executors' Python workers, once per context, however the driver found it.
+
+    Also has shuffle files removed at the end of each query, unless the application says otherwise.
+    """
     sc = spark.sparkContext
+    if not sc.getConf().contains(CLEANUP):
+        spark.conf.set(CLEANUP, "true")
     if getattr(sc, "_catlens_shipped", False):
         return
     package = Path(__file__).resolve().parents[1]

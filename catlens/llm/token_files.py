@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from .files import RangeReader, atomic_writer
 from .shared import bucket_of, order_bounds, partitions, runs, saved, scratch, text_buffers
+from .words import coded_words
 
 MAGIC = b"BPT1"
 BLOCK_IDS = 1 << 16
@@ -198,19 +199,25 @@ class WordEncoder:
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the UTF-8 texts, END_ID after each, and the number of ids of each text."""
+        data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+        return self.encode_buffer(data, np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64))
+
+    def encode_buffer(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts data[offsets[i]:offsets[i + 1]]: each distinct word is looked up once."""
         if len(self._number) > self._cached:
             self._clear()
-        pieces = [t.split() for t in texts]
-        every = [w for p in pieces for w in p]
+        distinct, code, rows = coded_words(data, offsets, lower=False)
+        every = distinct.cast(pa.binary()).to_pylist()
         get = self._number.get
         numbers = np.fromiter((get(w, -1) for w in every), dtype=np.int64, count=len(every))
         if (numbers < 0).any():
-            self._learn(list(dict.fromkeys(every[k] for k in np.flatnonzero(numbers < 0))))
+            self._learn([every[k] for k in np.flatnonzero(numbers < 0)])
             numbers = np.fromiter((get(w) for w in every), dtype=np.int64, count=len(every))
+        numbers = numbers[code] if len(every) else numbers
         sizes = self._len[numbers]
         ends = np.cumsum(sizes)
-        word_ends = np.cumsum([len(p) for p in pieces], dtype=np.int64)
-        text_ends = np.concatenate([[0], ends])[word_ends] if len(pieces) else np.zeros(0, np.int64)
+        word_ends = np.searchsorted(rows, np.arange(len(offsets) - 1), side="right")
+        text_ends = np.concatenate([[0], ends])[word_ends] if len(offsets) > 1 else np.zeros(0, np.int64)
         ids = self._flat[np.repeat(self._at[numbers] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
         return np.insert(ids, text_ends, END_ID), np.diff(np.concatenate([[0], text_ends])) + 1
 
@@ -253,8 +260,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, out: str | None = None, m
                 data, offsets = text_buffers(b.column("text"))
                 ids = b.column("doc_id").fill_null(-(2**63)).to_numpy()
                 for i, j in runs(offsets):
-                    texts = [data[offsets[k] : offsets[k + 1]].tobytes() for k in range(i, j)]
-                    tokens, lengths = words.encode(texts)
+                    tokens, lengths = words.encode_buffer(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                     writer.add(ids[i:j], lengths, tokens)
 
             add(first)

@@ -8,6 +8,7 @@ so a text is never split into Python strings.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 
 U = np.uint64
 _SPACE = np.zeros(256, dtype=bool)
@@ -122,3 +123,15 @@ def split_rows(values: np.ndarray, rows: np.ndarray, n_rows: int) -> list[np.nda
     """values of each row number 0 .. n_rows - 1; rows ascends."""
     cuts = np.searchsorted(rows, np.arange(n_rows + 1))
     return [values[cuts[i] : cuts[i + 1]] for i in range(n_rows)]
+
+
+def coded_words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words of the texts (with lower, A-Z as a-z), and the number and text of each word in order."""
+    starts, stops, rows = words(data, offsets)
+    black = data[~_SPACE[data]]
+    if lower:
+        black = _FOLD.astype(np.uint8)[black]
+    ends = np.concatenate([[0], np.cumsum(stops - starts)]).astype(np.int64)
+    col = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(black)])
+    coded = col.dictionary_encode()
+    return coded.dictionary.cast(pa.string()), coded.indices.to_numpy(), rows

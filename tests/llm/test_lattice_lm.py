@@ -8,7 +8,8 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
-from catlens.llm.lattice_lm import MARK, Vocabulary, coded_words, lattices, score_texts, word_counts
+from catlens.llm.lattice_lm import MARK, Vocabulary, lattices, score_texts, word_counts
+from catlens.llm.words import coded_words
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
