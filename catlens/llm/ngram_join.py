@@ -13,7 +13,7 @@ with the same fate; the first domain in which one of them has enough gives them
 only be linked with equal ones. So no pair at or above the threshold is missed, up to 64-bit hash
 collisions, and no bucket is capped.
 
-Candidates are verified exactly on their shingle sets. Equal sets are one node from the start, a
+Candidates are verified exactly on their shingle sets, after an upper bound from histograms of their hashes. Equal sets are one node from the start, a
 signature that many sets of one Arrow batch share is pre-aggregated there, and a bucket compares its
 members with one pivot, in ROUNDS rounds with other pivots as long as it holds several components. What is then
 still apart in small buckets is compared pair by pair, in larger ones if a second exact condition holds (common rare
@@ -191,7 +191,39 @@ def _set_rows(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Recor
         nodes = b.column("node")
         for i, sets in shingle_sets(b.column("text"), size):
             lists = pa.ListArray.from_arrays(np.cumsum([0, *map(len, sets)]).astype(np.int32), pa.array(np.concatenate(sets).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([nodes.slice(i, len(sets)), lists], ["node", "shingles"])
+            hists = pa.array([histogram(x) for x in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([nodes.slice(i, len(sets)), lists, hists], ["node", "shingles", "hist"])
+
+
+def histogram(shingle_set: np.ndarray) -> bytes:
+    """How many shingles lie in each range of hashes, one byte a range; about two a range, the ranges a power of two (empty bytes: a count beyond a byte)."""
+    bits = min(16, max(5, (len(shingle_set) // 2).bit_length()))
+    counts = np.bincount((shingle_set >> U(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256 else b""
+
+
+def most_common(a: bytes, b: bytes, size_a: int, size_b: int) -> int:
+    """An upper bound of the number of common shingles, from two histograms: the sum of the lesser counts."""
+    if not a or not b:
+        return min(size_a, size_b)
+    x, y = np.frombuffer(a, np.uint8).astype(np.int64), np.frombuffer(b, np.uint8).astype(np.int64)
+    n = min(len(x), len(y))
+    return int(np.minimum(x.reshape(n, -1).sum(axis=1), y.reshape(n, -1).sum(axis=1)).sum())
+
+
+def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, x, y) whose histograms allow the threshold. A histogram is a tenth of its set, and pairs that only share a
+    passage fail here, so the sets of few others are moved. No pair at the threshold is lost, since the bound is never below the truth."""
+    hists = sets.select("node", F.size("shingles").alias("n"), "hist")
+    both = pairs.join(hists.toDF("b", "nb", "hb"), "b").join(hists.toDF("a", "na", "ha"), "a").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in batches:
+            rows = zip(*(t.column(c).to_pylist() for c in ("ha", "hb", "na", "nb")))
+            keep = [100 * (c := most_common(*r)) >= percent * (r[2] + r[3] - c) for r in rows]
+            yield t.select(["a", "b", "x", "y"]).filter(pa.array(keep, pa.bool_()))
+
+    return both.select("a", "b", "x", "y", "ha", "hb", "na", "nb").mapInArrow(work, "a long, b long, x long, y long")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -241,13 +273,13 @@ def components_of(docs: DataFrame, size: int, percent: int) -> DataFrame:
     # one document's text for each node that has a candidate
     reps = named.join(shared.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min(F.struct("k1", "k2")).alias("r")).select("node", "r.k1", "r.k2")
     texts = base.where("text is not null").select("text", *key).join(reps, ["k1", "k2"]).select("node", "text")
-    sets = saved(texts.mapInArrow(lambda it: _set_rows(it, size), "node long, shingles array<long>").groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
+    sets = saved(texts.mapInArrow(lambda it: _set_rows(it, size), "node long, shingles array<long>, hist binary").groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("hist").alias("hist")), "sets")
     return _link(named, shared, sets, percent)
 
 
 def _link(named: DataFrame, shared: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Rounds: the members of every open bucket that aren't yet in its pivot's component meet the pivot. Then the pairs that are left."""
-    kept = sets.repartition(partitions(sets.sparkSession), "node").persist(StorageLevel.MEMORY_AND_DISK)
+    kept = sets.select("node", "shingles").repartition(partitions(sets.sparkSession), "node").persist(StorageLevel.MEMORY_AND_DISK)
     rows = shared.select("sig", "node", F.col("node").alias("root"))
     roots = tried = None
     held, used = shared, [sets]  # the written table that rows reads, and those that go at the end
@@ -265,8 +297,9 @@ def _link(named: DataFrame, shared: DataFrame, sets: DataFrame, percent: int) ->
             met = pairs.union(_by_prefix(many, kept, percent, used))
         met = met.select("a", "b", F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).dropDuplicates(["x", "y"])
         met = saved(met if tried is None else met.join(tried, ["x", "y"], "left_anti"), "pairs")
-        links = saved(_verified(met.select("a", "b"), kept, percent), "links")
-        used += [met, links]
+        near = saved(_possible(met, sets, percent), "near")
+        links = saved(_verified(near.select("a", "b"), kept, percent), "links")
+        used += [met, near, links]
         tried = met.select("x", "y") if tried is None else tried.union(met.select("x", "y"))
         if roots is None or not links.isEmpty():
             roots = components(links if roots is None else links.union(roots.select(F.col("root").alias("a"), F.col("node").alias("b"))))

@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 from catlens.llm.graph import components
-from catlens.llm.ngram_join import keep_one, ngram_components, signatures
+from catlens.llm.ngram_join import histogram, keep_one, most_common, ngram_components, signatures
 
 FOLD = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
@@ -93,6 +93,20 @@ def test_similar_sets_share_a_signature():
             assert set(signatures(a, 85).tolist()) & set(signatures(b, 85).tolist())
 
 
+def test_histograms_never_bound_below_the_truth():
+    rng = np.random.default_rng(2)
+    pruned = 0
+    for _ in range(300):
+        a = np.unique(rng.integers(0, 2**63, int(rng.integers(1, 900))).astype(np.uint64) * np.uint64(2))
+        b = np.unique(np.concatenate([a[: int(rng.integers(0, len(a) + 1))], rng.integers(0, 2**63, int(rng.integers(0, 300))).astype(np.uint64)]))
+        n, bound = len(np.intersect1d(a, b)), most_common(histogram(a), histogram(b), len(a), len(b))
+        assert n <= bound <= min(len(a), len(b))
+        pruned += 100 * bound < 80 * (len(a) + len(b) - bound)
+    assert pruned > 100
+    crowded = np.arange(100_000, dtype=np.uint64)
+    assert histogram(crowded) == b"" and most_common(b"", histogram(a), 100_000, len(a)) == len(a)
+
+
 def test_empty_table_and_bad_threshold(make_docs):
     assert ngram_components(make_docs([]), 4, 85).count() == 0
     with pytest.raises(ValueError):
