@@ -68,7 +68,9 @@ def test_one_hot_matches_vector(spark):
     rows = longform.collect()
     names = features.slot_names(fm, CFG)
     n_vocab = len(names)
-    vocab = features.category_index_table(features.vocabulary_counts(train, CFG), CFG, []).collect()
+    keep = []
+    vocab = features.category_index_table(features.vocabulary_counts(train, CFG), CFG, keep).collect()
+    [release() for release in keep]
     assert sorted((r["slot"], r["slot_name"]) for r in vocab) == list(enumerate(names))
     assert all(names[r["slot"]] == r["slot_name"] for r in rows)
     by_row = {}
@@ -302,7 +304,8 @@ def test_nb_tables_equal_the_fitted_model(spark):
     train, _ = job.prepare(tickets_raw(spark, SF001), CFG).split()
     model = models.fit(train, CFG.with_(fit_from_counts=False), "nb")
     vocab, counts = features.fit_vocabulary(train, CFG)
-    priors, thetas = models.nb_parameters(counts, vocab, CFG, [])
+    keep = []
+    priors, thetas = models.nb_parameters(counts, vocab, CFG, keep)
     names, classes = features.slot_names(model, CFG), features.label_names(model)
     pi, theta = model.stages[-1].pi.toArray(), model.stages[-1].theta.toArray()
     got = {r[0]: r[1] for r in priors.collect()}
@@ -311,6 +314,7 @@ def test_nb_tables_equal_the_fitted_model(spark):
     assert len(cells) == theta.size
     assert all(abs(cells[c, n] - theta[i, j]) < 1e-12 for i, c in enumerate(classes) for j, n in enumerate(names))
     assert {r[0]: r[1] for r in features.label_index_table(counts, CFG).collect()} == {c: i for i, c in enumerate(classes)}
+    [release() for release in keep]
     counts.unpersist()
 
 
