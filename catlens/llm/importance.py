@@ -1,10 +1,11 @@
 """Operator 2: quality selection by importance resampling.
 
 Two bags of hashed n-grams are estimated: the target's, from a bounded sample of rows labelled good, and
-the raw one, from all documents. A document's log weight is the sum over its n-grams of the log ratio of the
-two models. Documents are sampled without replacement by Gumbel top-k: the k greatest of
-log weight / temperature + Gumbel noise, where the noise is a hash of the row and the seed. k is the number
-of documents whose log weight reaches a cut that labelled rows calibrate.
+the raw one, from all documents. A document's log weight is the log ratio of the two models per n-gram, so
+it doesn't grow with the text; PRIOR n-grams of ratio 0 are added, so a few n-grams alone decide nothing. Documents are sampled
+without replacement by Gumbel top-k: the k greatest of log weight / temperature + Gumbel noise, where the noise is
+a hash of the row and the seed. A row's chance to be drawn next is thus proportional to exp(log weight / temperature). k is
+given, or the number of documents whose log weight reaches a cut that labelled rows calibrate, none of which the target model has seen.
 
 n-grams: one and two tokens (words or runs of punctuation, lower-cased A-Z, a token that repeats the one before
 as a mark of its own) and one to three token shapes (capitals, digits, punctuation itself).
@@ -20,13 +21,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import kth_largest, runs, saved, text_buffers
+from .shared import drop, kth_largest, runs, saved, text_buffers
 from .words import U, _SPACE, mix, mix_int, word_hashes
 
 BUCKETS = 1 << 14
 TARGET_ROWS = 5000
 CALIBRATION_ROWS = 5000
-TEMPERATURE = 0.25
+#: Of log weights per n-gram: a difference of 0.05 makes a row e times as likely to be drawn next.
+TEMPERATURE = 0.05
+PRIOR = 20
+#: One labelled row in five calibrates the cut; the others are fitted.
+CALIBRATION_SHARE = 5
 
 _CLASS = np.full(256, 2, dtype=np.uint8)  # 0 white space, 1 letters, digits and all beyond ASCII, 2 the rest
 _CLASS[_SPACE] = 0
@@ -93,32 +98,35 @@ class Weights:
     cut: float = 0.0
 
     def of_texts(self, col: pa.Array) -> np.ndarray:
-        """Log weight of every text; 0 of a text without tokens."""
+        """Log weight per n-gram of every text; 0 of a text without tokens."""
         data, offsets = text_buffers(col)
         out = np.zeros(len(offsets) - 1)
         for i, j in runs(offsets, 1 << 19):
             b, r = ngrams(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-            out[i:j] = np.bincount(r, weights=self.ratio[b], minlength=j - i)
+            out[i:j] = np.bincount(r, weights=self.ratio[b], minlength=j - i) / (np.bincount(r, minlength=j - i) + PRIOR)
         return out
 
 
-def _labelled(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """doc_id, quality of at most `rows` labelled rows of each quality, by least hash of the doc_id."""
+def _labelled(docs: DataFrame, labels: DataFrame, target_rows: int, calibration_rows: int) -> DataFrame:
+    """doc_id, quality, fitted: at most target_rows good rows that are fitted, calibration_rows of each quality that aren't, by least hash of the doc_id."""
     usable = labels.where("quality in (0, 1) and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).dropDuplicates(["doc_id"])
-    parts = [usable.where(F.col("quality") == y).orderBy(F.xxhash64("doc_id", F.lit(2)), "doc_id").limit(rows) for y in (0, 1)]
-    return parts[0].union(parts[1])
+    usable = usable.withColumn("fitted", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(CALIBRATION_SHARE)) != 0)
+    least = lambda rows, n: rows.orderBy(F.xxhash64("doc_id", F.lit(2)), "doc_id").limit(n)
+    parts = [least(usable.where(~F.col("fitted") & (F.col("quality") == y)), calibration_rows) for y in (0, 1)]
+    return parts[0].union(parts[1]).union(least(usable.where("fitted and quality = 1"), target_rows))
 
 
 def fit(docs: DataFrame, labels: DataFrame, target_rows: int = TARGET_ROWS, calibration_rows: int = CALIBRATION_ROWS) -> Weights:
     """Estimate both models and the cut.
 
-    The raw model counts all documents. The target model and the cut use at most target_rows and
-    calibration_rows labelled rows of each quality (documented bounds). Without good rows the ratio is 0 everywhere; without
-    rows of both kinds the cut lets everything pass.
+    The raw model counts all documents. The target model uses at most target_rows good rows, the cut at most
+    calibration_rows other labelled rows of each quality (documented bounds). Without good rows the ratio is 0 everywhere; without
+    rows of both kinds to calibrate on the cut lets everything pass.
     """
-    sample = _labelled(docs, labels, max(target_rows, calibration_rows))
+    sample = _labelled(docs, labels, target_rows, calibration_rows)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    marked = base.join(F.broadcast(sample), "doc_id", "left").select("text", "quality")  # at most 2 * rows rows of two numbers
+    target = sample.where("fitted").select("doc_id", "quality")
+    marked = base.join(F.broadcast(target), "doc_id", "left").select("text", "quality")  # at most target_rows rows of two numbers
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, good = np.zeros(BUCKETS), np.zeros(BUCKETS)
@@ -140,7 +148,7 @@ def fit(docs: DataFrame, labels: DataFrame, target_rows: int = TARGET_ROWS, cali
     weights = Weights(np.zeros(BUCKETS))
     if good.sum():
         weights.ratio = np.log((good + 1) / (good.sum() + BUCKETS)) - np.log((raw + 1) / (raw.sum() + BUCKETS))
-    known = base.where("text is not null").join(F.broadcast(sample), "doc_id").select(log_weight(F.col("text"), weights).alias("w"), "quality").toPandas()
+    known = base.where("text is not null").join(F.broadcast(sample.where("not fitted")), "doc_id").select(log_weight(F.col("text"), weights).alias("w"), "quality").toPandas()
     if len(set(known["quality"])) == 2:
         weights.cut = _cut(known["w"].to_numpy(), known["quality"].to_numpy())
     else:
@@ -168,29 +176,29 @@ def log_weight(text: Column, weights: Weights) -> Column:
     return weigh(text)
 
 
-def _noise(doc_id: Column, text: Column, seed: int) -> Column:
-    """Gumbel noise that depends on the row and the seed only."""
+def sample_key(weight: Column, doc_id: Column, text: Column, seed: int | Column, temperature: float) -> Column:
+    """weight / temperature + Gumbel noise that depends on the row and the seed only."""
     uniform = (F.xxhash64(F.lit(seed), doc_id, text).bitwiseAND(F.lit((1 << 52) - 1)).cast("double") + 0.5) / float(1 << 52)
-    return -F.log(-F.log(uniform))
+    return weight / temperature - F.log(-F.log(uniform))
 
 
-def resample(docs: DataFrame, labels: DataFrame, seed: int = 11, temperature: float = TEMPERATURE) -> DataFrame:
+def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int = 11, temperature: float = TEMPERATURE) -> DataFrame:
     """The rows of docs, all columns, with log_weight double, sample_key double and selected boolean.
 
     Selected are the k rows with the greatest sample_key = log_weight / temperature + Gumbel noise (rows at the
-    threshold, such as exact repeated rows, all count), k being the number of rows whose log weight reaches the cut.
+    threshold, such as exact repeated rows, all count). Without k it is the number of rows whose log weight reaches the cut: then
+    the noise decides among rows near the cut, and with a smaller k also among good ones. k from the row count on selects all, k below 1 none.
     Null and blank texts have weight 0; null doc_ids and repeated rows are sampled as they are; an empty table gives no rows.
     Columns of docs named like the new ones are replaced.
     """
     weights = fit(docs, labels)
-    scored = docs.withColumn("log_weight", log_weight(F.col("text").cast("string"), weights))
-    key = F.col("log_weight") / temperature + _noise(F.col("doc_id").cast("long"), F.col("text").cast("string"), seed)
-    scored = scored.withColumn("sample_key", key)
+    text = F.col("text").cast("string")
+    scored = docs.withColumn("log_weight", log_weight(text, weights))
+    scored = scored.withColumn("sample_key", sample_key(F.col("log_weight"), F.col("doc_id").cast("long"), text, seed, temperature))
     # the key as a long in units of 2^-20 orders like the key
     rank = F.floor(F.col("sample_key") * float(1 << 20))
-    ranks = scored.select(rank.alias("r"), (F.col("log_weight") >= F.lit(weights.cut)).alias("good"))
-    ranks = saved(ranks, "ranks")
-    k = ranks.where("good").count()
-    if k == 0:
-        return scored.withColumn("selected", F.lit(False))
-    return scored.withColumn("selected", rank >= F.lit(kth_largest(ranks, "r", k)))
+    ranks = saved(scored.select(rank.alias("r"), (F.col("log_weight") >= F.lit(weights.cut)).alias("good")), "ranks")
+    wanted = ranks.where("good").count() if k is None else min(k, ranks.count())
+    least = kth_largest(ranks, "r", wanted) if wanted > 0 else None
+    drop(ranks)
+    return scored.withColumn("selected", F.lit(False) if least is None else rank >= F.lit(least))
