@@ -14,24 +14,29 @@
 
 The benchmark is worked through in blocks of BLOCK passages, small beside RANK, so that passages stay apart in the latent space
 however many items there are. A block's V and vectors are bounded: BLOCK * PASSAGE features of RANK 4-byte numbers, 8 MB, and as
-much for the items' word counts. The benchmark's words pass through the driver and all blocks are broadcast together, so both
-grow with the benchmark, not with the documents. Documents are never joined with the benchmark.
+much for the items' word counts. Blocks are made one after another and broadcast in batches of at most SENT bytes (or one block): a
+benchmark of one batch is searched in one pass; of more, each batch has a pass of its own over the texts, writes the few leaks it
+finds and is taken back from the executors before the next one is made. Only the hashes of the benchmark's words stay on the driver. Documents
+are never joined with the benchmark.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import runs, text_buffers
+from .shared import runs, saved, text_buffers
 from .words import BARE, U, mix, word_hashes, words
 
 PASSAGE = 64
@@ -40,6 +45,8 @@ LENGTHS = {8: 2, 12: 4, 16: 4, 24: 8, 32: 8, 48: 16, 64: 16}
 STRIDE = 16
 RANK = 128
 BLOCK = 256
+TASK_PASSAGES = 32  # passages of a task of the SVD
+SENT = 256 << 20
 CHUNK = 1 << 14  # words whose running sum is held at once
 COSINE = 0.5
 LCS = 0.7
@@ -279,8 +286,8 @@ def randomised_svd(passages: DataFrame, n_features: int, rank: int, seed: int =
     return (q @ vectors[:, best]).astype(np.float32)
 
 
-def spaces(docs: DataFrame, benchmark: DataFrame) -> list[Space]:
-    """The latent spaces of the benchmark's blocks (benchmark: item_id, text). Null and wordless items are left out; equal ids are kept apart."""
+def spaces(docs: DataFrame, benchmark: DataFrame) -> Iterator[Space]:
+    """The latent spaces of the benchmark's blocks (benchmark: item_id, text), made as they are asked for. Null and wordless items are left out; equal ids are kept apart."""
     items = []
     for row in benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).toLocalIterator():
         h = _hashes(row["text"] or "")
@@ -297,10 +304,24 @@ def spaces(docs: DataFrame, benchmark: DataFrame) -> list[Space]:
         blocks[-1].append(n)
         size += cut
     if not items:
-        return []
+        return
     every = np.unique(np.concatenate([h for _, h, _ in items]))
     df, n = _frequencies(docs, every)  # of all blocks' words in one scan
-    return [_space(docs.sparkSession, [items[k] for k in b], every, df, n) for b in blocks if b]
+    for b in blocks:
+        yield _space(docs.sparkSession, [items[k] for k in b], every, df, n)
+
+
+def batches(found: Iterator[Space], limit: int) -> Iterator[list[Space]]:
+    """Consecutive spaces of at most `limit` bytes together; a larger one is a batch of its own. At least one batch, which may be empty."""
+    held, size = [], 0
+    for s in found:
+        own = s.v.nbytes + s.vectors.nbytes + s.counts.nbytes + s.filter.nbytes
+        if held and size + own > limit:
+            yield held
+            held, size = [], 0
+        held.append(s)
+        size += own
+    yield held
 
 
 def _space(spark, items: list[tuple[int, np.ndarray, np.ndarray]], every: np.ndarray, df: np.ndarray, n: int) -> Space:
@@ -316,7 +337,7 @@ def _space(spark, items: list[tuple[int, np.ndarray, np.ndarray]], every: np.nda
             rows.append((f.tolist(), x.tolist()))
             owner.append(k)
             length.append(min(n for n in LENGTHS if n >= len(passage)))
-    passages = spark.createDataFrame(rows, "f array<int>, x array<double>").repartition(max(1, len(rows) // 256))
+    passages = spark.createDataFrame(rows, "f array<int>, x array<double>").repartition(-(-len(rows) // TASK_PASSAGES))
     v = randomised_svd(passages, len(vocabulary), min(RANK, len(rows)))
     vectors = np.stack([np.asarray(x, dtype=np.float32) @ v[np.asarray(f)] for f, x in rows])
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-6)
@@ -330,9 +351,8 @@ def _space(spark, items: list[tuple[int, np.ndarray, np.ndarray]], every: np.nda
     return Space(vocabulary, v, vectors, np.asarray(length), np.asarray(owner), own, size, counts, idf, counts @ idf, _filter(vocabulary), least)
 
 
-def leaks(text: Column, found: list[Space], spark) -> Column:
+def leaks(text: Column, sent: list[Broadcast[Space]]) -> Column:
     """array<struct<item_id, cosine, lcs>> of the benchmark items that the whole text holds (empty if none)."""
-    sent = [spark.sparkContext.broadcast(s) for s in found]
     kind = "array<struct<item_id:long,cosine:double,lcs:double>>"
     arrow = pa.list_(pa.struct([("item_id", pa.int64()), ("cosine", pa.float64()), ("lcs", pa.float64())]))
 
@@ -352,11 +372,31 @@ def leaks(text: Column, found: list[Space], spark) -> Column:
     return search(text)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, sent_bytes: int = SENT) -> DataFrame:
     """All rows and columns of docs with `leaks` (array of item_id, cosine, lcs) and `contaminated` boolean.
 
     Null and blank texts hold nothing; repeated rows are judged alike; an empty benchmark leaks nothing; an empty
-    table gives no rows. Columns of docs named like the new ones are replaced.
+    table gives no rows. Columns of docs named like the new ones are replaced. sent_bytes bounds what is broadcast at a time, not the result.
     """
-    found = leaks(F.col("text").cast("string"), spaces(docs, benchmark), docs.sparkSession)
-    return docs.withColumn("leaks", found).withColumn("contaminated", F.size("leaks") > 0)
+    sc, text = docs.sparkSession.sparkContext, F.col("text").cast("string")
+    todo = batches(spaces(docs, benchmark), sent_bytes)
+    batch, following = next(todo), next(todo, None)
+    if following is None:
+        found = leaks(text, [sc.broadcast(s) for s in batch])
+        return docs.withColumn("leaks", found).withColumn("contaminated", F.size("leaks") > 0)
+    row = f"row_{uuid.uuid4().hex}"
+    numbered = saved(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    hits, number = [], 0
+    while batch is not None:
+        sent = [sc.broadcast(s) for s in batch]
+        hits.append(saved(numbered.select(F.col(row).alias("row"), F.lit(number).alias("batch"), F.posexplode(leaks(text, sent)).alias("place", "leak")), "leaks"))
+        for b in sent:
+            b.destroy()
+        batch, following = following, next(todo, None)
+        number += 1
+    # a row has at most one leak an item
+    every = reduce(DataFrame.union, hits).groupBy(F.col("row").alias(row)).agg(F.array_sort(F.collect_list(F.struct("batch", "place", "leak")))["leak"].alias("leaks"))
+    out = numbered.drop("leaks").join(every, row, "left").drop(row)
+    out = out.withColumn("leaks", F.coalesce("leaks", F.array().cast(every.schema["leaks"].dataType)))
+    names = [*docs.columns, *(["leaks"] if "leaks" not in docs.columns else [])]
+    return out.select(*names).withColumn("contaminated", F.size("leaks") > 0)

@@ -86,6 +86,28 @@ def test_blocks_share_one_count_of_the_documents(spark, make_docs, monkeypatch):
     assert found == truth and len(calls) == 1
 
 
+def test_batches_of_blocks_give_the_same_rows(spark, make_docs, monkeypatch):
+    docs, items, truth = corpus()
+    docs += [(9000, None), (None, docs[10][1]), (9001, docs[10][1]), (9001, docs[10][1])]
+    truth |= {9000: set(), None: truth[10], 9001: truth[10]}
+    monkeypatch.setattr(module, "BLOCK", 25)
+    table = make_docs(docs).withColumnRenamed("extra", "leaks").withColumnRenamed("k", "row")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    once, parts = contamination(table, bench), contamination(table, bench, sent_bytes=1)
+    assert parts.columns == once.columns
+    got = parts.collect()
+    assert len(got) == len(docs) and {r.doc_id: {x.item_id for x in r.leaks} for r in got} == truth
+    key = lambda r: (r.node, [x.item_id for x in r.leaks], r.contaminated)
+    assert sorted(map(key, got)) == sorted(map(key, once.collect()))
+
+
+def test_item_in_a_very_long_text(spark, make_docs):
+    docs, items, _ = corpus()
+    filler = " ".join(f"other{i % 9973}" for i in range(300_000))
+    got = contamination(make_docs([(1, f"{filler} {items[3][1]} {filler}"), (2, filler)]), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {r.doc_id: [x.item_id for x in r.leaks] for r in got} == {1: [3], 2: []}
+
+
 def test_empty_tables(spark, make_docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert [r.contaminated for r in contamination(make_docs([(1, "some text")]), none).collect()] == [False]
