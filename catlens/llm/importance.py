@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import drop, kth_largest, runs, saved, text_buffers
+from .shared import drop, give_back, kth_largest, lean, runs, saved, text_buffers
 from .words import U, _SPACE, mix, mix_int, word_hashes
 
 BUCKETS = 1 << 14
@@ -141,7 +141,7 @@ def fit(docs: DataFrame, labels: DataFrame, target_rows: int = TARGET_ROWS, cali
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(raw[some]), pa.array(good[some])], ["bucket", "raw", "good"])
 
     # one row a bucket: at most BUCKETS rows
-    counts = marked.mapInArrow(count, "bucket long, raw double, good double").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).toArrow()
+    counts = marked.mapInArrow(lambda it: lean(count(it)), "bucket long, raw double, good double").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).toArrow()
     raw, good = np.zeros(BUCKETS), np.zeros(BUCKETS)
     at = counts.column("bucket").to_numpy()
     raw[at], good[at] = counts.column("raw").to_numpy(), counts.column("good").to_numpy()
@@ -171,7 +171,9 @@ def _cut(w: np.ndarray, quality: np.ndarray) -> float:
 def log_weight(text: Column, weights: Weights) -> Column:
     @F.arrow_udf("double")
     def weigh(col: pa.Array) -> pa.Array:
-        return pa.array(weights.of_texts(col))
+        out = pa.array(weights.of_texts(col))
+        give_back()
+        return out
 
     return weigh(text)
 

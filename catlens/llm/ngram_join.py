@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .shared import LONG_MIN, drop, partitions, runs, saved, text_buffers
+from .shared import LONG_MIN, drop, lean, partitions, runs, saved, text_buffers
 from .words import U, mix, mix_int, shingles, split_rows, word_hashes, words
 
 PARTS = 3
@@ -223,7 +223,7 @@ def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             keep = [100 * (c := most_common(*r)) >= percent * (r[2] + r[3] - c) for r in rows]
             yield t.select(["a", "b", "x", "y"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "x", "y", "ha", "hb", "na", "nb").mapInArrow(work, "a long, b long, x long, y long")
+    return both.select("a", "b", "x", "y", "ha", "hb", "na", "nb").mapInArrow(lambda it: lean(work(it)), "a long, b long, x long, y long")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -263,17 +263,17 @@ def components_of(docs: DataFrame, size: int, percent: int) -> DataFrame:
         raise ValueError("percent must lie between 70 and 100")
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     key = [F.coalesce("doc_id", F.lit(LONG_MIN)).alias("k1"), F.xxhash64("text").alias("k2")]
-    named = saved(base.select("doc_id", "text", *key).mapInArrow(lambda it: _nodes(it, size), "doc_id long, k1 long, k2 long, n_shingles long, node long"), "nodes")
+    named = saved(base.select("doc_id", "text", *key).mapInArrow(lambda it: lean(_nodes(it, size)), "doc_id long, k1 long, k2 long, n_shingles long, node long"), "nodes")
 
-    sigs = base.select("text").mapInArrow(lambda it: _signature_rows(it, size, percent), "sig long, node long")
+    sigs = base.select("text").mapInArrow(lambda it: lean(_signature_rows(it, size, percent)), "sig long, node long")
     meet = F.when(F.col("node") < 0, F.xxhash64("sig", "node")).otherwise(F.col("sig"))
     placed = sigs.repartition(partitions(docs.sparkSession), meet).sortWithinPartitions("sig", "node")
-    shared = saved(placed.mapInArrow(_shared_rows, "sig long, node long"), "signatures")
+    shared = saved(placed.mapInArrow(lambda it: lean(_shared_rows(it)), "sig long, node long"), "signatures")
 
     # one document's text for each node that has a candidate
     reps = named.join(shared.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min(F.struct("k1", "k2")).alias("r")).select("node", "r.k1", "r.k2")
     texts = base.where("text is not null").select("text", *key).join(reps, ["k1", "k2"]).select("node", "text")
-    sets = saved(texts.mapInArrow(lambda it: _set_rows(it, size), "node long, shingles array<long>, hist binary").groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("hist").alias("hist")), "sets")
+    sets = saved(texts.mapInArrow(lambda it: lean(_set_rows(it, size)), "node long, shingles array<long>, hist binary").groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("hist").alias("hist")), "sets")
     return _link(named, shared, sets, percent)
 
 

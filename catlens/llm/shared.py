@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import bisect
+import ctypes
 import tempfile
 import uuid
 import zipfile
@@ -124,6 +125,26 @@ def kth_largest(df: DataFrame, col: str, k: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
+# --- memory of Python workers -----------------------------------------------------------------
+
+
+def give_back() -> None:
+    """Return freed memory to the system: an idle worker lives on beside the tasks that follow and would hold the most it ever took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same batches; what the work on each has freed is given back."""
+    for b in batches:
+        yield b
+        del b
+        give_back()
+    give_back()
+
+
 # --- Arrow text buffers -----------------------------------------------------------------------
 
 
