@@ -12,8 +12,10 @@
    in step, gives at each position the suffixes that match `window` words, and those give the least document.
 5. Results return to all occurrences by a join on the passage hash, and to documents by a join.
 
-An anchor with more than CROWDED distinct passages, which would be one large shard, is split: its windows
-are spread by their own hashes and the least document of each comes from a pre-aggregated groupBy.
+An anchor with more than CROWDED distinct passages, which would be one large shard, is cut finer: its passages
+are anchored anew by longer grams (12, 31, 41, 46, 48, 49 and 50 of 50 words, one length at a time while an anchor
+is crowded), still by the least gram of a window, so equal windows stay together, and reduced to distinct ones. At the
+last length an anchor is one window, so every window is answered by the FM-index of a shard of bounded size.
 """
 
 from __future__ import annotations
@@ -52,19 +54,19 @@ def _run_hash(total: np.ndarray, down: np.ndarray, a: np.ndarray, b: np.ndarray)
     return mix((total[b] - total[a]) * down[a] + (b - a).astype(U))
 
 
-def _anchors(part: np.ndarray, offsets: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
+def _anchors(part: np.ndarray, offsets: np.ndarray, window: int, gram: int = GRAM) -> tuple[np.ndarray, ...]:
     """row, anchor hash, passage hash, first and last window start (in words) of every passage."""
     starts, ends, rows = words(part, offsets)
     h = word_hashes(part, starts, ends, lower=False)
-    span = window - GRAM + 1
+    span = window - gram + 1
     z = np.zeros(0, dtype=np.int64)
     if len(h) < window:
         return z, z, z, z, z
     n_rows = len(offsets) - 1
     first_word = np.searchsorted(rows, np.arange(n_rows))
     grams = np.full(len(h), U(0))
-    g = np.zeros(len(h) - GRAM + 1, dtype=U)
-    for j in range(GRAM):
+    g = np.zeros(len(h) - gram + 1, dtype=U)
+    for j in range(gram):
         g += h[j : j + len(g)] * U(mix_int(1000 + j) | 1)
     grams[: len(g)] = mix(g)
     least = np.lib.stride_tricks.sliding_window_view(grams[: len(g)], span).argmin(axis=1)
@@ -167,21 +169,41 @@ def _shard(passages: pa.Table, window: int) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(x) for x in (anchor[doc[first]], passage[doc[first]], at[first].astype(np.int32), at[last].astype(np.int32), value[first])], ["anchor", "passage", "begin", "finish", "least"])
 
 
-def _crowded_windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+def _finer(batches: Iterator[pa.RecordBatch], window: int, gram: int) -> Iterator[pa.RecordBatch]:
+    """The passages of longer grams inside each passage: the anchor that both give, and the place in the passage."""
     for b in batches:
         data, offsets = text_buffers(b.column("text"))
-        for i, j in runs(offsets, 1 << 18):
+        anchor, passage, k = (b.column(c).to_numpy() for c in ("anchor", "passage", "k"))
+        for i, j in runs(offsets, 1 << 16):  # a word can be in as many finer passages as a window has words
             part, off = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+            row, a, p, s1, s2 = _anchors(part, off, window, gram)
+            if not len(row):
+                continue
             starts, ends, rows = words(part, off)
-            h = word_hashes(part, starts, ends, lower=False)
-            begin = np.flatnonzero(rows[: len(h) - window + 1] == rows[window - 1 :])
-            total, down = _prefix_hashes(h)
-            other, down2 = _prefix_hashes(mix(h + U(9)))
-            first_word = np.searchsorted(rows, np.arange(j - i))
-            pick = i + rows[begin]
-            cols = [b.column(c).to_numpy()[pick] for c in ("anchor", "passage", "k")]
-            w1, w2 = _run_hash(total, down, begin, begin + window), _run_hash(other, down2, begin, begin + window)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*cols, (begin - first_word[rows[begin]]).astype(np.int32), w1.view(np.int64), w2.view(np.int64))], ["anchor", "passage", "k", "at", "w1", "w2"])
+            first, raw, at = np.searchsorted(rows, row), part.tobytes(), i + row
+            texts = [raw[x:y].decode("utf-8") for x, y in zip(starts[first + s1].tolist(), ends[first + s2 + window - 1].tolist(), strict=True)]
+            both = mix(mix(anchor[at].view(U)) ^ a.view(U)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (anchor[at], passage[at], s1.astype(np.int32), both, p, k[at], texts)], ["anchor", "passage", "at", "finer", "part", "k", "text"])
+
+
+def _answers(passages: DataFrame, window: int, crowded: int, gram: int = GRAM) -> DataFrame:
+    """The least document of every window of distinct passages, as ranges of window starts in a passage."""
+    n = partitions(passages.sparkSession)
+    shards = lambda df: df.repartition(n, "anchor").sortWithinPartitions("anchor", "passage").mapInArrow(lambda it: _shards(it, window), _ANSWER)
+    if gram >= window:
+        return shards(passages)
+    crowds = saved(passages.groupBy("anchor").count().where(F.col("count") > crowded).select("anchor"), "crowds")
+    if crowds.isEmpty():
+        return shards(passages)
+    longer = (gram + window + 1) // 2
+    parts = passages.join(crowds, "anchor").mapInArrow(lambda it: _finer(it, window, longer), "anchor long, passage long, at int, finer long, part long, k long, text string")
+    parts = saved(parts, "finer")
+    distinct = parts.groupBy(F.col("finer").alias("anchor"), F.col("part").alias("passage")).agg(F.min("k").alias("k"), F.min("text").alias("text"))
+    below = _answers(saved(distinct, "texts"), window, crowded, longer)
+    below = below.select(F.col("anchor").alias("finer"), F.col("passage").alias("part"), "begin", "finish", "least")
+    back = parts.select("anchor", "passage", "at", "finer", "part").join(below, ["finer", "part"])
+    back = back.select("anchor", "passage", (F.col("at") + F.col("begin")).alias("begin"), (F.col("at") + F.col("finish")).alias("finish"), "least")
+    return shards(passages.join(crowds, "anchor", "left_anti")).union(back)
 
 
 def _kept(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -223,7 +245,6 @@ def remove_repeats(docs: DataFrame, window: int = 50, crowded: int = CROWDED) ->
     """
     if window <= GRAM:
         raise ValueError("window must be greater than 12")
-    n = partitions(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     base = base.withColumn("k", F.coalesce("doc_id", F.lit(LONG_MIN))).withColumn("t", F.xxhash64("text"))
     rows = saved(base.select("text", "k", "t").mapInArrow(lambda it: _anchor_rows(it, window), "anchor long, passage long, k long, t long, s1 int, more int"), "anchors")
@@ -237,13 +258,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, crowded: int = CROWDED) ->
     # exact repeated rows would give their passages more than once: the shards drop them by (anchor, passage)
     passages = saved(texts.select("text", "passages", "k").mapInArrow(lambda it: _texts_of_passages(it, window), "anchor long, passage long, k long, text string"), "texts")
 
-    crowds = saved(passages.groupBy("anchor").count().where(F.col("count") > crowded).select("anchor"), "crowds")
-    calm = passages.join(crowds, "anchor", "left_anti")
-    answers = calm.repartition(n, "anchor").sortWithinPartitions("anchor", "passage").mapInArrow(lambda it: _shards(it, window), _ANSWER)
-    windows = passages.join(crowds, "anchor").mapInArrow(lambda it: _crowded_windows(it, window), "anchor long, passage long, k long, at int, w1 long, w2 long")
-    windows = windows.join(windows.groupBy("w1", "w2").agg(F.min("k").alias("least")), ["w1", "w2"])
-    answers = answers.union(windows.select("anchor", "passage", "at", "at", "least"))
-
+    answers = _answers(passages, window, crowded)
     hits = found.join(answers, ["anchor", "passage"]).where("least < k")
     span = F.struct((F.col("s1") + F.col("begin")).cast("long").alias("from"), (F.col("s1") + F.col("finish") + window).cast("long").alias("to"))
     spans = hits.select("k", "t", span.alias("span")).groupBy("k", "t").agg(F.collect_set("span").alias("spans"))

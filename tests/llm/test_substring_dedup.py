@@ -43,7 +43,7 @@ def repeated_rows(seed, window):
     return rows
 
 
-@pytest.mark.parametrize(("window", "crowded"), [(50, 20_000), (20, 20_000), (20, 1)])
+@pytest.mark.parametrize(("window", "crowded"), [(50, 20_000), (20, 20_000), (20, 1), (20, 4)])
 def test_equals_brute_force(make_docs, window, crowded):
     rows = repeated_rows(window, window)
     got = remove_repeats(make_docs(rows), window, crowded).collect()
@@ -51,6 +51,18 @@ def test_equals_brute_force(make_docs, window, crowded):
     assert all(sum(s["to"] - s["from"] for s in r.spans) == r.n_removed for r in got)
 
 
+@pytest.mark.parametrize("shared", [14, 35, 49, 60])
+def test_crowded_anchors_are_cut_finer(make_docs, shared):
+    """A line of 14 to 60 words in all documents between other words: its anchors have more passages than allowed."""
+    rng = random.Random(shared)
+    line = [f"c{i}" for i in range(shared)]
+    some = lambda: [f"w{rng.randrange(30)}" for _ in range(60)]
+    rows = [(i, " ".join(some() + line + some())) for i in range(60)]
+    rows += [(100 + i, rows[i][1]) for i in range(5)]
+    got = remove_repeats(make_docs(rows), 50, 10).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got), key=str) == brute(rows, 50)
+
+
 def test_empty_table_and_window(make_docs):
     assert remove_repeats(make_docs([])).count() == 0
     with pytest.raises(ValueError):
