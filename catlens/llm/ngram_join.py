@@ -109,7 +109,7 @@ def _cell_signatures(shingle_set: np.ndarray, low: int, domain: int, n_cells: in
 def shingle_sets(col: pa.Array, size: int) -> Iterator[tuple[int, list[np.ndarray]]]:
     """(first row number, sorted distinct shingle hashes of each row) for runs of rows of a text column."""
     data, offsets = text_buffers(col)
-    for i, j in runs(offsets):
+    for i, j in runs(offsets, 1 << 18):
         part, off = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         starts, ends, rows = words(part, off)
         h, r = shingles(word_hashes(part, starts, ends), rows, j - i, size)
@@ -150,8 +150,10 @@ def _signature_rows(batches: Iterator[pa.RecordBatch], size: int, percent: int)
         if not sigs:
             continue
         sig, node = np.concatenate(sigs), np.concatenate(nodes)
+        del sigs, nodes
         order = np.lexsort((node, sig))
         sig, node = sig[order], node[order]
+        del order
         first = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
         length = np.diff(np.r_[first, len(sig)])
         group = np.repeat(np.arange(len(first)), length)

@@ -128,6 +128,10 @@ def kth_largest(df: DataFrame, col: str, k: int) -> int:
 # --- memory of Python workers -----------------------------------------------------------------
 
 
+#: What an operator keeps in a worker process from task to task; work of another kind that goes through `lean` lets go of it.
+KEPT: dict[str, object] = {}
+
+
 def give_back() -> None:
     """Return freed memory to the system: an idle worker lives on beside the tasks that follow and would hold the most it ever took."""
     pa.default_memory_pool().release_unused()
@@ -137,7 +141,8 @@ def give_back() -> None:
 
 
 def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The same batches; what the work on each has freed is given back."""
+    """The same batches; what earlier work kept in this process, and what the work on each batch has freed, is given back."""
+    KEPT.clear()
     for b in batches:
         yield b
         del b

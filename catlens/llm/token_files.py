@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .files import RangeReader, atomic_writer
-from .shared import bucket_of, order_bounds, partitions, runs, saved, scratch, text_buffers
+from .shared import KEPT, bucket_of, order_bounds, partitions, runs, saved, scratch, text_buffers
 from .words import coded_words
 
 MAGIC = b"BPT1"
@@ -222,14 +222,11 @@ class WordEncoder:
         return np.insert(ids, text_ends, END_ID), np.diff(np.concatenate([[0], text_ends])) + 1
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
 def encoder(tokenizer_path: str) -> WordEncoder:
-    """The worker process's encoder: its words stay known from task to task."""
-    if tokenizer_path not in _ENCODERS:
-        _ENCODERS[tokenizer_path] = WordEncoder(tokenizer_path)
-    return _ENCODERS[tokenizer_path]
+    """The worker process's encoder: its words stay known from task to task, until other work needs the memory."""
+    if tokenizer_path not in KEPT:
+        KEPT[tokenizer_path] = WordEncoder(tokenizer_path)
+    return KEPT[tokenizer_path]
 
 
 def write_tokens(docs: DataFrame, tokenizer_path: str, out: str | None = None, mode: str = "byte", shards: int | None = None, block_ids: int = BLOCK_IDS) -> DataFrame:

@@ -42,7 +42,7 @@ _BYTE_LOWER = _BYTE[_FOLD]
 def _powers(kind: str, n: int) -> np.ndarray:
     have = _POWERS.get(kind)
     if have is None or len(have) < n:
-        size = max(n, 1 << 20)
+        size = 1 << max(18, (n - 1).bit_length())
         p = np.full(size, U(_BASE if kind == "up" else _INVERSE), dtype=U)
         p[0] = U(1)
         have = np.multiply.accumulate(p)

@@ -4,8 +4,8 @@ import numpy as np
 import public_tokenizers
 import pytest
 from catlens.llm.files import atomic_writer
-from catlens.llm.shared import scratch
-from catlens.llm.token_files import ShardReader, ShardWriter, from_planes, read_tokens, to_planes, write_tokens
+from catlens.llm.shared import KEPT, lean, scratch
+from catlens.llm.token_files import ShardReader, ShardWriter, encoder, from_planes, read_tokens, to_planes, write_tokens
 from tokenizers import Tokenizer
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -53,3 +53,10 @@ def test_planes_and_ranges(spark, mode):
         assert (r.read_ids(a, n) == ids[a : a + n]).all()
     assert [x.tolist() for x in r.documents()] == [[5, 9], [400, 601]]
     r.close()
+
+
+def test_other_work_lets_go_of_the_encoder():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert encoder(path) is encoder(path)
+    assert list(lean(iter([1, 2]))) == [1, 2]
+    assert path not in KEPT
