@@ -21,6 +21,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -194,8 +195,7 @@ class WordEncoder:
         self._at[base : base + len(new)] = self._n_flat + np.cumsum(sizes) - sizes
         self._len[base : base + len(new)] = sizes
         self._n_flat += n
-        for w in new:
-            self._number[w] = len(self._number)
+        self._number.update(zip(new, range(base, base + len(new)), strict=True))
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the UTF-8 texts, END_ID after each, and the number of ids of each text."""
@@ -208,11 +208,11 @@ class WordEncoder:
             self._clear()
         distinct, code, rows = coded_words(data, offsets, lower=False)
         every = distinct.cast(pa.binary()).to_pylist()
-        get = self._number.get
-        numbers = np.fromiter((get(w, -1) for w in every), dtype=np.int64, count=len(every))
-        if (numbers < 0).any():
-            self._learn([every[k] for k in np.flatnonzero(numbers < 0)])
-            numbers = np.fromiter((get(w) for w in every), dtype=np.int64, count=len(every))
+        numbers = np.fromiter(map(self._number.get, every, repeat(-1)), dtype=np.int64, count=len(every))
+        unknown = np.flatnonzero(numbers < 0)
+        if len(unknown):
+            numbers[unknown] = len(self._number) + np.arange(len(unknown))
+            self._learn([every[k] for k in unknown.tolist()])
         numbers = numbers[code] if len(every) else numbers
         sizes = self._len[numbers]
         ends = np.cumsum(sizes)
