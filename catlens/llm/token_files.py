@@ -11,16 +11,19 @@ block its offset, number of ids, plane lengths and the CRC-32 of its ids, so `re
 the blocks that a range of ids touches. The document table holds doc_id and length of each document.
 
 Words are encoded once per worker process and cached: the tokenizer drops white space and no rule of it looks
-across ASCII white space, so a text's ids are those of its white-space-separated pieces in order.
+across ASCII white space, so a text's ids are those of its white-space-separated pieces in order. Where the
+tokenizer's rules are known to allow it, a word of ASCII letters and marks is two such pieces, its letters in lower case and its marks.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import partial
 from itertools import repeat
 
 import numpy as np
@@ -32,12 +35,17 @@ from pyspark.sql import functions as F
 
 from .files import RangeReader, atomic_writer
 from .shared import KEPT, bucket_of, order_bounds, partitions, runs, saved, scratch, text_buffers
-from .words import coded_words
+from .words import MARKS, coded_pieces, coded_words
 
 MAGIC = b"BPT1"
 BLOCK_IDS = 1 << 16
 END_ID = 1
 CACHED_WORDS = 1_000_000
+#: New words of a line given to the tokenizer, and of a call of it: what it returns takes some hundred bytes a token.
+LINE, CALL_WORDS = 64, 1 << 13
+# fixed values: rules by which a tokenizer makes texts pieces
+_WHITE = {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
+_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 def to_planes(ids: np.ndarray, mode: str) -> list[bytes]:
@@ -162,6 +170,26 @@ class ShardReader:
         self._file.close()
 
 
+def _splits_pieces(tokenizer) -> bool:
+    """Whether the ids of a word of ASCII letters and then marks are those of its letters in lower case and those of its marks.
+
+    True only for rules known to keep to that: texts are put in lower case, a run of letters is a piece of its own, and no
+    added token can lie in such a word or come of its lower case.
+    """
+    rules = json.loads(tokenizer.to_str())
+    steps = (rules["normalizer"] or {}).get("normalizers", [])
+    known = [s["type"] == "NFC" or s["type"] == "Lowercase" or s == _WHITE for s in steps]
+    splits = (rules["pre_tokenizer"] or {}).get("pretokenizers", [])
+    first = splits[0] if splits else {}
+    return bool(
+        all(known) and any(s["type"] == "Lowercase" for s in steps)
+        and first.get("type") == "Split" and first["pattern"] == {"Regex": _PIECES} and first["invert"] and first["behavior"] == "Removed"
+        and all(s["type"] == "ByteLevel" and not s["add_prefix_space"] and not s["use_regex"] for s in splits[1:])
+        and rules["model"]["type"] == "BPE" and rules["model"]["end_of_word_suffix"]
+        and not any(re.fullmatch(f"[A-Za-z{MARKS}]*", t["content"]) for t in rules["added_tokens"])
+    )
+
+
 class WordEncoder:
     """Texts to ids through a cache of encoded words of bounded size."""
 
@@ -170,6 +198,12 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(tokenizer_path)
+        self._pieces = _splits_pieces(self._tokenizer)
+        self._coded = coded_pieces if self._pieces else partial(coded_words, lower=False)
+        if self._pieces:
+            vocabulary, suffix = self._tokenizer.get_vocab(), self._tokenizer.model.end_of_word_suffix
+            self._last = np.zeros(1 + max(vocabulary.values()), dtype=bool)
+            self._last[[k for w, k in vocabulary.items() if w.endswith(suffix)]] = True
         self._cached = cached
         self._clear()
 
@@ -178,14 +212,8 @@ class WordEncoder:
         self._flat, self._n_flat = np.zeros(1 << 16, dtype=np.uint32), 0
         self._at, self._len = np.zeros(1 << 14, dtype=np.int64), np.zeros(1 << 14, dtype=np.int64)
 
-    def _learn(self, new: list[bytes]) -> None:
-        # one call for all: a token belongs to the word in which it starts
-        words = [w.decode("utf-8") for w in new]
-        found = self._tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ids = np.array(found.ids, dtype=np.uint32)
-        starts = np.fromiter((o[0] for o in found.offsets), dtype=np.int64, count=len(ids))
-        word_ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1)
-        sizes = np.bincount(np.searchsorted(word_ends, starts, side="right"), minlength=len(new))
+    def _learn(self, new: list[bytes], letters: bool) -> None:
+        ids, sizes = self._ids_of_letters(new) if letters else self._ids_of_words(new)
         base, n = len(self._number), len(ids)
         while self._n_flat + n > len(self._flat):
             self._flat = np.concatenate([self._flat, np.zeros_like(self._flat)])
@@ -197,6 +225,22 @@ class WordEncoder:
         self._n_flat += n
         self._number.update(zip(new, range(base, base + len(new)), strict=True))
 
+    def _ids_of_letters(self, new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        # each is one piece, whose last token alone has the suffix
+        lines = [b" ".join(new[k : k + LINE]).decode("ascii") for k in range(0, len(new), LINE)]
+        ids = np.concatenate([np.array(e.ids, dtype=np.uint32) for e in self._tokenizer.encode_batch_fast(lines, add_special_tokens=False)])
+        sizes = np.diff(np.flatnonzero(self._last[ids]), prepend=-1)
+        return (ids, sizes) if len(sizes) == len(new) else self._ids_of_words(new)
+
+    def _ids_of_words(self, new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        # one call for all: a token belongs to the word in which it starts
+        words = [w.decode("utf-8") for w in new]
+        found = self._tokenizer.encode(" ".join(words), add_special_tokens=False)
+        ids = np.array(found.ids, dtype=np.uint32)
+        starts = np.fromiter((o[0] for o in found.offsets), dtype=np.int64, count=len(ids))
+        word_ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1)
+        return ids, np.bincount(np.searchsorted(word_ends, starts, side="right"), minlength=len(new))
+
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the UTF-8 texts, END_ID after each, and the number of ids of each text."""
         data = np.frombuffer(b"".join(texts), dtype=np.uint8)
@@ -206,13 +250,18 @@ class WordEncoder:
         """The same for texts data[offsets[i]:offsets[i + 1]]: each distinct word is looked up once."""
         if len(self._number) > self._cached:
             self._clear()
-        distinct, code, rows = coded_words(data, offsets, lower=False)
+        distinct, code, rows = self._coded(data, offsets)
         every = distinct.cast(pa.binary()).to_pylist()
         numbers = np.fromiter(map(self._number.get, every, repeat(-1)), dtype=np.int64, count=len(every))
         unknown = np.flatnonzero(numbers < 0)
         if len(unknown):
-            numbers[unknown] = len(self._number) + np.arange(len(unknown))
-            self._learn([every[k] for k in unknown.tolist()])
+            new = [every[k] for k in unknown.tolist()]
+            letters = np.fromiter(map(bytes.isalpha, new), dtype=bool, count=len(new)) & self._pieces
+            for kind in (True, False):
+                at = np.flatnonzero(letters == kind)
+                numbers[unknown[at]] = len(self._number) + np.arange(len(at))
+                for i in range(0, len(at), CALL_WORDS):
+                    self._learn([new[k] for k in at[i : i + CALL_WORDS].tolist()], kind)
         numbers = numbers[code] if len(every) else numbers
         sizes = self._len[numbers]
         ends = np.cumsum(sizes)

@@ -55,6 +55,12 @@ def _powers(kind: str, n: int) -> np.ndarray:
 BARE = _SPACE.copy()
 BARE[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
 
+#: Marks that `coded_pieces` takes off the end of a word.
+MARKS = ",.;:!?"
+_LETTER, _MARK = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_MARK[list(MARKS.encode())] = True
+
 
 def words(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte starts, byte ends and row numbers of all words of the texts data[offsets[i]:offsets[i+1]]; `between` marks the bytes between words."""
@@ -131,7 +137,28 @@ def coded_words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tu
     black = data[~_SPACE[data]]
     if lower:
         black = _FOLD.astype(np.uint8)[black]
-    ends = np.concatenate([[0], np.cumsum(stops - starts)]).astype(np.int64)
-    col = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(black)])
+    return *_coded(black, stops - starts), rows
+
+
+def coded_pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """As coded_words without lower, but a word of ASCII letters and then marks (MARKS) counts as two, its letters in lower case and its marks."""
+    starts, stops, rows = words(data, offsets)
+    black, sizes = data[~_SPACE[data]], stops - starts
+    at = np.concatenate([[0], np.cumsum(sizes)])
+    letters, marks = (np.concatenate([[0], np.cumsum(kind[black], dtype=np.int32 if len(black) < 1 << 31 else np.int64)]) for kind in (_LETTER, _MARK))
+    n = letters[at[1:]] - letters[at[:-1]]
+    plain = (n > 0) & (n + marks[at[1:]] - marks[at[:-1]] == sizes) & (letters[at[:-1] + n] - letters[at[:-1]] == n)
+    black = np.where(np.repeat(plain, sizes), _FOLD.astype(np.uint8)[black], black)
+    two = plain & (n < sizes)
+    parts = 1 + two
+    lengths = np.repeat(np.where(two, n, sizes), parts)
+    second = np.cumsum(parts)[two] - 1
+    lengths[second] = (sizes - n)[two]
+    return *_coded(black, lengths), np.repeat(rows, parts)
+
+
+def _coded(black: np.ndarray, sizes: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    col = pa.Array.from_buffers(pa.large_string(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(black)])
     coded = col.dictionary_encode()
-    return coded.dictionary.cast(pa.string()), coded.indices.to_numpy(), rows
+    return coded.dictionary.cast(pa.string()), coded.indices.to_numpy()

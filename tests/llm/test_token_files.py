@@ -1,3 +1,4 @@
+import json
 import zlib
 
 import numpy as np
@@ -5,7 +6,7 @@ import public_tokenizers
 import pytest
 from catlens.llm.files import atomic_writer
 from catlens.llm.shared import KEPT, lean, scratch
-from catlens.llm.token_files import ShardReader, ShardWriter, encoder, from_planes, read_tokens, to_planes, write_tokens
+from catlens.llm.token_files import ShardReader, ShardWriter, WordEncoder, encoder, from_planes, read_tokens, to_planes, write_tokens
 from tokenizers import Tokenizer
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -60,3 +61,34 @@ def test_other_work_lets_go_of_the_encoder():
     assert encoder(path) is encoder(path)
     assert list(lean(iter([1, 2]))) == [1, 2]
     assert path not in KEPT
+
+
+def test_forms_of_a_word_are_learned_once():
+    words = WordEncoder(PATH)
+    words.encode([" ".join(f"{w}{m}" for w in ("stone", "Stone", "STONE") for m in ("", ",", ".", "?!")).encode()])
+    assert set(words._number) == {b"stone", b",", b".", b"?!"}
+
+
+def test_words_cut_into_pieces_keep_their_ids(monkeypatch):
+    monkeypatch.setattr("catlens.llm.token_files.CALL_WORDS", 7)
+    monkeypatch.setattr("catlens.llm.token_files.LINE", 3)
+    odd = ["<|endoftext|>", "<|EndOfText|>", "<|endoftext|>,", "endoftext.", "x<|startoftext|>!", "I\u0307,", "İ.", "A\u0301B;", "K:", "ΣΑΣ,", "don't,", "'S.", "it's!", "'s", "A,B.", "...", "!?!?", "\u00a0", "\u00a0,",
+           "a\u00a0B", "1.", "abc123.", "X1", "ABC,,,", ",abc", ";", "wörld,", "Qqqq:", "(Quoted)", '"Yes."', "e\u0301", "\u0301", "Supercalifragilistic", "ſ,", "ﬁ.", "\x00", "a\x1cb"]
+    rng = np.random.default_rng(5)
+    texts = ["", *odd, *[" ".join(rng.choice(odd, 40)) for _ in range(30)], "".join(chr(c) for c in range(1, 128)), " ".join(chr(c) + "," for c in range(0x80, 0x3000) if not 0xD800 <= c < 0xE000)]
+    words, tokenizer = WordEncoder(PATH), Tokenizer.from_file(PATH)
+    for _ in range(2):
+        ids, lengths = words.encode([t.encode() for t in texts])
+        expected = [[*tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+        assert lengths.tolist() == [len(x) for x in expected]
+        assert ids.tolist() == [i for x in expected for i in x]
+
+
+def test_other_rules_keep_words_whole(tmp_path):
+    rules = json.loads(Tokenizer.from_file(PATH).to_str())
+    rules["normalizer"]["normalizers"] = rules["normalizer"]["normalizers"][:2]  # no lower case
+    path = tmp_path / "cased.json"
+    path.write_text(json.dumps(rules))
+    texts = ["Stone, stone. STONE", "stone Stone,"]
+    ids, _ = WordEncoder(str(path)).encode([t.encode() for t in texts])
+    assert ids.tolist() == [i for t in texts for i in [*Tokenizer.from_file(str(path)).encode(t, add_special_tokens=False).ids, 1]]
