@@ -82,6 +82,8 @@ class JobConfig:
     # From this depth on a forest caches each row's node and checkpoints it every so many levels.
     deep_depth: int = 12
     deep_checkpoint: int = 10
+    # A deep forest's nodes of at most so many distinct rows are split to the end by one task each.
+    deep_node_rows: int = 1 << 18
     # Canonical layout before a forest fit: one hash shuffle of the training
     # rows so the forest does not depend on the input's file layout. Off: no
     # shuffle; the forest is then reproducible only for the same input layout.

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catlens.operators.deep_forest import DeepForestModel
 from catlens.session import delete_path, scratch_path
 
 # Nodes of a level that one pass over the rows should be able to split.
@@ -28,8 +29,12 @@ def fit_memory_mb(slots: int, classes: int) -> int:
 def node_table(spark: SparkSession, forest, keep: list[Callable[[], None]]) -> DataFrame:
     """(tree, node, slot, gain, impurity, rows, stats, left, right) of every node, from the model's saved form; leaves have no slot.
 
-    The nodes are written by MLlib in its own format and read back as a table; ``keep`` gets what deletes them.
+    MLlib's nodes are written in its own format and read back as a table; ``keep`` gets what deletes them. A deep forest is such a table.
     """
+    if isinstance(forest, DeepForestModel):
+        rows = F.aggregate("stats", F.lit(0.0), lambda a, x: a + x)
+        child = F.when(F.col("slot").isNotNull(), 2 * F.col("node"))
+        return forest.nodes().select("tree", "node", "slot", "gain", "impurity", rows.alias("rows"), "stats", child.alias("left"), (child + 1).alias("right"))
     path = scratch_path(spark, "forest")
     forest.write().save(path)
     keep.append(lambda: delete_path(spark, path))

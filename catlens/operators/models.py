@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import NaiveBayes, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
@@ -9,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catlens.config import JobConfig
-from catlens.operators import splits
+from catlens.operators import deep_forest, splits
 from catlens.operators.cleaning import SPLIT_HASH, qcol
 from catlens.operators.features import (
     FEATURES,
@@ -20,6 +22,7 @@ from catlens.operators.features import (
     class_counts,
     feature_stages,
     fit_features,
+    idx_col,
 )
 from catlens.operators.forest import fit_memory_mb, named_importances, node_table
 from catlens.session import checkpoint_dir
@@ -33,7 +36,7 @@ def naive_bayes(cfg: JobConfig) -> NaiveBayes:
 def random_forest(cfg: JobConfig, slots: int | None = None, classes: int | None = None) -> RandomForestClassifier:
     """A forest of gini trees (other parameters at MLlib defaults).
 
-    From ``cfg.deep_depth`` on each row's node is cached and checkpointed every ``cfg.deep_checkpoint`` levels instead of
+    From ``cfg.deep_depth`` on (deep forests fitted from counts are ``deep_forest_model``'s) each row's node is cached and checkpointed every ``cfg.deep_checkpoint`` levels instead of
     sending ever larger trees to the executors, and the node aggregates get memory by the number of slots and classes.
     """
     forest = RandomForestClassifier(
@@ -113,12 +116,35 @@ def nb_from_counts(counts: DataFrame, vocab: Vocabulary, cfg: JobConfig):
     return model
 
 
+def deep_forest_model(indexed: DataFrame, vocab: Vocabulary, cfg: JobConfig) -> deep_forest.DeepForestModel:
+    """I3 from ``cfg.deep_depth`` on: the forest as a table of nodes, with MLlib's split rule (see ``deep_forest``), fitted on indexed rows.
+
+    The caller gives the nodes back with ``release``.
+    """
+    names, sizes = tuple(idx_col(c) for c in cfg.feature_cols), tuple(len(a) for a in vocab.arrays)
+    slots = deep_forest.slot_columns([(qcol(c), n) for c, n in zip(names, sizes)])
+    rows = indexed.select(*[x.alias(c) for c, x in slots.items()], F.col(LABEL).cast("int").alias("y"))
+    classes = len(vocab.labels) + 1  # and one for labels that training lacks, as in MLlib's label index
+    tried = vocab.num_slots if cfg.num_trees == 1 else math.ceil(math.sqrt(vocab.num_slots))
+    model = deep_forest.DeepForestModel(None, names, sizes, classes, cfg.num_trees)
+    space = deep_forest.Space(model.col, classes, tried, cfg.max_depth, cfg.seed)
+    model.path = deep_forest.fit_nodes(rows, space, len(sizes), cfg.num_trees, cfg.layout_partitions, cfg.deep_node_rows, cfg.deep_checkpoint)
+    return model
+
+
+def release(model: PipelineModel) -> None:
+    """Give back what a fitted model keeps in the shared folder."""
+    for stage in model.stages:
+        if isinstance(stage, deep_forest.DeepForestModel):
+            stage.release()
+
+
 def fit(train: DataFrame, cfg: JobConfig, kind: str = "nb", counts: DataFrame | None = None) -> PipelineModel:
     """H5: fit indexers, encoder, assembler and classifier on the training rows.
 
     Default (``cfg.fit_from_counts``): one distributed aggregation of
     (label, feature, category) counts gives the indexers and, for NB, the
-    whole model; the forest then trains on the canonical layout. With
+    whole model; the forest then trains on the canonical layout, a deep one as a table of nodes. With
     ``fit_from_counts=False`` MLlib fits every stage itself. ``counts``: persisted vocabulary counts of train, where the caller has them.
     """
     if kind == "rf":
@@ -130,6 +156,8 @@ def fit(train: DataFrame, cfg: JobConfig, kind: str = "nb", counts: DataFrame |
     feats, vocab, used = fit_features(train, cfg, counts)
     if kind == "nb":
         clf = nb_from_counts(used, vocab, cfg)
+    elif kind == "rf" and cfg.max_depth >= cfg.deep_depth:
+        clf = deep_forest_model(feats.transform(train), vocab, cfg)
     else:
         clf = classifier(cfg, kind, vocab.num_slots, len(vocab.labels)).fit(feats.transform(canonical_layout(train, cfg)))
     if counts is None:

@@ -135,6 +135,7 @@ def run(
         counts = features.vocabulary_counts(train, cfg).persist(StorageLevel.MEMORY_AND_DISK)
         keep.append(counts.unpersist)
     model = models.fit(train, cfg, kind, counts)
+    keep.append(lambda: models.release(model))
     train_s = time.time() - t1
 
     ev = evaluate(model, test, cfg, persist=True)

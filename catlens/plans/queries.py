@@ -75,6 +75,7 @@ def _fitted(spark: SparkSession, sf_dir: str, kind: str, cfg: JobConfig = CFG, r
         _HELD.append(own.unpersist)
         counts.append(own)
     model: PipelineModel = models.fit(train, cfg, kind, own)
+    _HELD.append(lambda: models.release(model))
     return prep, train, test, model
 
 
@@ -527,7 +528,7 @@ def q_rf_deep_facts(spark, sf_dir):
     """I3 at depth 20 (cached node ids, checkpoints): test rows, trees, depth between 9 and 20, class counts of children
     that add up at every node, leaves = inner nodes + trees, importances that add up to one over all slots."""
     model, ev, importances = _rf_importances(spark, sf_dir, None, DEEP)
-    depth = max(t.depth for t in model.stages[-1].trees)
+    depth = model.stages[-1].depth
     shape = forest.shape_facts(forest.node_table(spark, model.stages[-1], _HELD)).withColumn("one", F.lit(1))
     total = importances.agg(F.round(F.sum("importance"), DIGITS).alias("importance_sum"), F.count(F.lit(1)).alias("n_slots"))
     out = ev.metrics.select("n_test", F.lit(1).alias("one"), F.lit(9 <= depth <= DEEP.max_depth).alias("depth_9_to_20")).join(shape, "one")
